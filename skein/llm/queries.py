@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from skein.llm import chat_format, license_scan
+from skein.llm import chat_format, license_scan, packing, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_license_scan": license_scan.query,
+        "op4_best_fit_packing": packing.query,
+        "op5_token_counts": token_counts.query,
         "op9_chat_format": chat_format.query,
     }
 
