@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm import chat_format, license_scan, packing, token_counts
+from skein.llm import chat_format, license_scan, packing, quality, token_counts, token_files
 
 
 def queries() -> dict:
@@ -10,7 +10,9 @@ def queries() -> dict:
         "op1_license_scan": license_scan.query,
         "op4_best_fit_packing": packing.query,
         "op5_token_counts": token_counts.query,
+        "op6_token_files": token_files.query,
         "op9_chat_format": chat_format.query,
+        "op10_quality_classifier": quality.query,
     }
 
 
