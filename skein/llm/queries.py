@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from skein.llm import chat_format, license_scan, packing, quality, token_counts, token_files
+from skein.llm import chat_format, license_scan, media, packing, quality, token_counts, token_files
 
 
 def queries() -> dict:
     return {
         "op1_license_scan": license_scan.query,
+        "op2_flac_media": media.query,
         "op4_best_fit_packing": packing.query,
         "op5_token_counts": token_counts.query,
         "op6_token_files": token_files.query,
