@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from skein.llm import chat_format, license_scan, media, packing, quality, simhash, token_counts, token_files
+from skein.llm import chat_format, decontamination, license_scan, media, packing, quality, simhash, token_counts, token_files
 
 
 def queries() -> dict:
     return {
         "op1_license_scan": license_scan.query,
         "op2_flac_media": media.query,
+        "op3_fm_decontamination": decontamination.query,
         "op4_best_fit_packing": packing.query,
         "op5_token_counts": token_counts.query,
         "op6_token_files": token_files.query,
@@ -21,5 +22,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": license_scan.oracle(),
+        "op3_fm_decontamination": decontamination.ORACLE,
         "op9_chat_format": chat_format.ORACLE,
     }
