@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm import chat_format, decontamination, license_scan, media, packing, quality, simhash, token_counts, token_files
+from skein.llm import chat_format, decontamination, license_scan, line_dedup, media, packing, quality, simhash, token_counts, token_files
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_token_counts": token_counts.query,
         "op6_token_files": token_files.query,
         "op7_simhash_anchors": simhash.query,
+        "op8_line_dedup": line_dedup.query,
         "op9_chat_format": chat_format.query,
         "op10_quality_classifier": quality.query,
     }

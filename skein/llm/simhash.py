@@ -210,16 +210,21 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id", te
     """(doc_id, fingerprint, component_id) for each row of docs; fingerprint as a signed number."""
     rows = work.table(fingerprints(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), ["id"]), "rows")
     groups = work.table(components(rows, work), "groups")
+    work.keep_only("rows", "groups")
     return rows.join(groups, "fingerprint").select(F.col("id").alias("doc_id"), "fingerprint", F.col("least").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs less near-duplicates: of each component one row of the least id stays."""
-    numbered = work.table(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    """The rows of docs less near-duplicates: of each component one row of the least id stays.
+
+    docs is read twice and must give its rows alike each time, as a table does.
+    """
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
     key = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row")).alias("id")
     prints = fingerprints(numbered.select(key, F.col(text_col).alias("text")), ["id"])
     rows = work.table(prints, "rows")
-    kept = components(rows, work).select(F.col("least.row").alias("__row")).distinct()
+    kept = work.table(components(rows, work).select(F.col("least.row").alias("__row")).distinct(), "kept")
+    work.keep_only("kept")
     return numbered.join(kept, "__row", "left_semi").drop("__row")
 
 

@@ -31,6 +31,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -41,6 +42,7 @@ class Workspace:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(name))
+        self.names.add(name)
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
@@ -52,3 +54,8 @@ class Workspace:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(conf).delete(path, True)
+            self.names.discard(name)
+
+    def keep_only(self, *names: str) -> None:
+        """Drop all tables but those named."""
+        self.drop(*sorted(self.names - set(names)))
