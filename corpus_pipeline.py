@@ -19,7 +19,7 @@ from skein.llm.workspace import Workspace
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores 0.5 or more."""
     network = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_quality(docs, network, docs.columns).where("score >= 0.5").drop("score")
+    return quality.score_quality(docs, network, docs.columns, out="__score").where("__score >= 0.5").drop("__score")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -176,12 +176,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Net
     return fit([r["text"].encode() for r in texts], [wanted[r["doc_id"]] for r in texts])
 
 
-def score_quality(docs: DataFrame, network: Network | None, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The kept columns of docs and score, for each row."""
+def score_quality(docs: DataFrame, network: Network | None, keep: list[str], text_col: str = "text", out: str = "score") -> DataFrame:
+    """The kept columns of docs and the score, for each row; a kept column of the score's name gives way to it."""
+    keep = [c for c in keep if c != out]
     if network is None:
-        return docs.select(*keep, F.lit(0.5).alias("score"))
-    schema = docs.select(*keep, F.lit(0.5).alias("score")).schema
-    names = [*keep, "score"]
+        return docs.select(*keep, F.lit(0.5).alias(out))
+    schema = docs.select(*keep, F.lit(0.5).alias(out)).schema
+    names = [*keep, out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = network.pair_tables()
