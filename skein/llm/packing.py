@@ -108,7 +108,7 @@ class LocalSearch:
     def _best(self, b: int, over: int, gap: int) -> tuple[int, int, int] | None:
         """(gain, bin, piece): the longest piece in another bin with over < length <= over + gap that fills b past that bin."""
         n = min(over + gap, self.size - 1)
-        for _ in range(4):
+        for _ in range(16):
             found = self.present & ((1 << (n + 1)) - 1)
             n = found.bit_length() - 1
             if n <= over:
@@ -152,7 +152,11 @@ class LocalSearch:
     def run(self, passes: int) -> list[list[int]]:
         for _ in range(passes):
             under = sorted((b for b in range(len(self.bins)) if 0 < self.fill[b] < self.size), key=lambda b: -self.fill[b])
-            if not sum(self.improve(b) for b in under):
+            steps = 0
+            for b in under:  # each is filled as far as it goes before the next
+                while self.improve(b):
+                    steps += 1
+            if not steps:
                 break
         return [b for b in self.bins if b]
 
