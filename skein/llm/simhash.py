@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from skein.llm.batches import text_pieces
 from skein.llm.components import connected_components, local_components
 from skein.llm.covering import RADIUS, anchors
-from skein.llm.workspace import Workspace
+from skein.llm.workspace import Workspace, numbered
 
 SHINGLE, THRESHOLD, SEED = 4, 4, 42
 #: Bits in which the halves may differ: (shift of the half, threshold there).
@@ -217,15 +217,15 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id", te
 def one_of_each(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs less near-duplicates: of each component one row of the least id stays.
 
-    docs is read twice and must give its rows alike each time, as a table does.
+    docs is read twice.
     """
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    keyed = numbered(docs, work)
     key = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row")).alias("id")
-    prints = fingerprints(numbered.select(key, F.col(text_col).alias("text")), ["id"])
+    prints = fingerprints(keyed.select(key, F.col(text_col).alias("text")), ["id"])
     rows = work.table(prints, "rows")
     kept = work.table(components(rows, work).select(F.col("least.row").alias("__row")).distinct(), "kept")
-    work.keep_only("kept")
-    return numbered.join(kept, "__row", "left_semi").drop("__row")
+    work.keep_only("kept", "numbered")
+    return keyed.join(kept, "__row", "left_semi").drop("__row")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

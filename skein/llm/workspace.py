@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -59,3 +61,18 @@ class Workspace:
     def keep_only(self, *names: str) -> None:
         """Drop all tables but those named."""
         self.drop(*sorted(self.names - set(names)))
+
+
+def numbered(docs: DataFrame, work: Workspace, name: str = "__row") -> DataFrame:
+    """docs with a key for each row that is the same whenever and wherever it is read.
+
+    The key is the place of the row in its Parquet file, and a 64-bit hash of
+    the file's path. Numbers made by tasks would change with the way files are
+    split, which follows the executors there are. Rows of other origin are written
+    as a table first.
+    """
+    key = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    try:
+        return docs.select("*", key.alias(name))
+    except AnalysisException:
+        return work.table(docs, "numbered").select("*", key.alias(name))
