@@ -1,9 +1,8 @@
 """Dedup, order, split and sampling (WIN), and sets of rows (SET).
 
 Orders come from a digest of keys and a seed, so they do not depend on how the
-data are partitioned. A split of exact sizes needs places in one global order:
-rows are sorted by range, each partition counted, and places made from the
-counts, so no task sees all rows.
+data are partitioned. A split of exact sizes needs places in one global order;
+see ``digest_places``.
 """
 
 from __future__ import annotations
@@ -33,23 +32,26 @@ def shuffle_key(seed: int, *columns: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]).cast("binary"))
 
 
-def global_places(rows: DataFrame, order: list[str], name: str = "place") -> DataFrame:
-    """rows with their place from 0 in a total order, without a single-partition window."""
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    tagged = ordered.withColumn("__id", F.monotonically_increasing_id())
-    part, within = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
-    tagged = tagged.withColumns({"__part": part, "__within": within})
-    counts = tagged.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
-    # a row for each partition of the sort
-    return tagged.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__within")).drop("__id", "__part", "__within", "__before")
+def digest_places(rows: DataFrame, digest: str, key: list[str], name: str = "place", digits: int = 4) -> DataFrame:
+    """rows with their place from 0 in the order of a hexadecimal digest (ties by key).
+
+    Rows are numbered within buckets of the digest's first digits, and the
+    buckets before each are counted: no task sees all rows. There are at most
+    16 ** digits buckets, so their counts are small enough to broadcast.
+    """
+    bucketed = rows.withColumn("__bucket", F.left(F.col(digest), F.lit(digits)))
+    counts = bucketed.groupBy("__bucket").agg(F.count("*").alias("__n"))
+    before = counts.select("__bucket", (F.sum("__n").over(Window.orderBy("__bucket")) - F.col("__n")).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__bucket").orderBy(digest, *key))
+    placed = bucketed.withColumn("__within", within).join(F.broadcast(before), "__bucket")
+    return placed.withColumn(name, F.col("__before") + F.col("__within") - 1).drop("__bucket", "__within", "__before")
 
 
 def exact_split(rows: DataFrame, key: list[str], seed: int = 42, train: float = 0.90, valid: float = 0.05) -> DataFrame:
     """rows with split: floor(n * train) train, floor(n * valid) valid, the rest test."""
     n = rows.count()
     n_train, n_valid = int(n * train), int(n * valid)
-    placed = global_places(rows.withColumn("__order", shuffle_key(seed, *key)), ["__order", *key], "__place")
+    placed = digest_places(rows.withColumn("__order", shuffle_key(seed, *key)), "__order", key, "__place")
     split = F.when(F.col("__place") < n_train, "train").when(F.col("__place") < n_train + n_valid, "valid").otherwise("test")
     return placed.withColumn("split", split).drop("__order", "__place")
 
