@@ -26,7 +26,7 @@ are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.llm.workspace import Workspace
@@ -62,49 +62,32 @@ def fold_messages(events: DataFrame) -> DataFrame:
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    folded = F.aggregate(
-        "log",
-        F.struct(F.lit("").alias("role"), F.array().cast("array<string>").alias("parts")),
-        lambda state, e: F.struct(
-            F.when(e["role"] != "", e["role"]).otherwise(state["role"]).alias("role"),
-            F.when(e["kind"].isin(*RESETS), F.array(e["text"])).otherwise(F.concat(state["parts"], F.array(e["text"]))).alias("parts"),
-        ),
-    )
     logs = events.groupBy("conv_id", "msg_id").agg(F.sort_array(F.collect_list(event)).alias("log"))
-    return logs.select("conv_id", F.col("log")[0]["seq"].alias("seq"), folded.alias("m")).select(
-        "conv_id", "seq", F.col("m.role").alias("role"), F.array_join("m.parts", "").alias("text")
-    )
+    resets = F.filter(F.transform("log", lambda e, i: F.when(e["kind"].isin(*RESETS), i)), lambda i: i.isNotNull())
+    since = F.coalesce(F.try_element_at(resets, F.lit(-1)), F.lit(0))
+    roles = F.filter(F.transform("log", lambda e: e["role"]), lambda r: r != "")
+    text = F.array_join(F.transform(F.slice("log", since + 1, F.size("log")), lambda e: e["text"]), "")
+    return logs.select("conv_id", F.col("log")[0]["seq"].alias("seq"), F.coalesce(F.try_element_at(roles, F.lit(-1)), F.lit("")).alias("role"), text.alias("text"))
 
 
 def render(messages: DataFrame) -> DataFrame:
     """(conv_id, formatted, loss_spans): spans [start, end) in code points of what is trained on.
 
-    Messages of equal seq stand in the order of (role, text).
+    Messages of equal seq stand in the order of (role, text). Where each turn
+    starts is a running sum; a conversation costs its length, not its square.
     """
-    parts = messages.select("conv_id", F.struct("seq", "role", "text", escape(F.col("role")).alias("r"), escape(F.col("text")).alias("t")).alias("m"))
-    sorted_parts = parts.groupBy("conv_id").agg(F.sort_array(F.collect_list("m")).alias("ms"))
-    head = lambda m: F.concat(F.lit(TURN), m["r"], F.lit(TEXT))
-    turns = F.transform("ms", lambda m: F.concat(head(m), m["t"], F.lit(END)))
-    spans = F.aggregate(
-        "ms",
-        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("spans")),
-        lambda s, m: F.struct(
-            (s["at"] + F.length(head(m)) + F.length(m["t"]) + F.lit(len(END))).alias("at"),
-            F.when(
-                m["role"] == "assistant",
-                F.concat(s["spans"], F.lit(","), s["at"] + F.length(head(m)), F.lit(":"), s["at"] + F.length(head(m)) + F.length(m["t"])),
-            )
-            .otherwise(s["spans"])
-            .alias("spans"),
-        ),
-    )["spans"]
-    as_span = lambda p: F.struct(
-        F.split_part(p, F.lit(":"), F.lit(1)).cast("long").alias("start"), F.split_part(p, F.lit(":"), F.lit(2)).cast("long").alias("end")
-    )
-    return sorted_parts.select(
+    head = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT))
+    turns = messages.select("conv_id", "seq", "role", "text", head.alias("head"), escape(F.col("text")).alias("body"))
+    size = F.length("head") + F.length("body") + F.lit(len(END))
+    before = Window.partitionBy("conv_id").orderBy("seq", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    placed = turns.withColumn("start", F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head"))
+    piece = F.struct("seq", "role", "text", "start", F.concat("head", "body", F.lit(END)).alias("turn"), F.length("body").alias("n"))
+    ordered = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(piece)).alias("ms"))
+    trained = F.filter("ms", lambda m: m["role"] == "assistant")
+    return ordered.select(
         "conv_id",
-        F.array_join(turns, "").alias("formatted"),
-        F.transform(F.filter(F.split(spans, ","), lambda p: p != ""), as_span).alias("loss_spans"),
+        F.array_join(F.transform("ms", lambda m: m["turn"]), "").alias("formatted"),
+        F.transform(trained, lambda m: F.struct(m["start"].alias("start"), (m["start"] + m["n"]).alias("end"))).alias("loss_spans"),
     )
 
 
