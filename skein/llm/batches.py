@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,8 +15,26 @@ PIECE_BYTES = 2 << 20
 def text_pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, data, offsets): consecutive rows and their texts' UTF-8 bytes, null as empty.
 
-    ``data[offsets[i]:offsets[i + 1]]`` is the text of row i of ``rows``.
+    ``data[offsets[i]:offsets[i + 1]]`` is the text of row i of ``rows``. At
+    the end memory goes back to the system: workers are used again by tasks of
+    other stages.
     """
+    try:
+        yield from _pieces(batches, column, limit)
+    finally:
+        release()
+
+
+def release() -> None:
+    """Return freed memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        return  # another C library
+
+
+def _pieces(batches, column, limit):
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
         if pa.types.is_string(texts.type):

@@ -183,8 +183,8 @@ def _blocks(broadcasts: list) -> Iterator[Phrases]:
         yield one.value if len(broadcasts) == 1 or one._path is None else one.load_from_path(one._path)
 
 
-def _search(broadcasts: list, names: list[str]):
-    """For each shard of rows (kept columns, __text): the kept columns and those of FOUND."""
+def _search(broadcasts: list, names: list[str], cut: bool = False):
+    """For each shard of rows (kept columns, __text): the kept columns, and those of FOUND or the texts less their spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches, "__text", SHARD_BYTES):
@@ -211,30 +211,42 @@ def _search(broadcasts: list, names: list[str]):
                 pa.array(np.searchsorted(doc, np.arange(n + 1)), pa.int32()),
                 pa.StructArray.from_arrays([pa.array(words.starts[opens] - offsets[doc]), pa.array(words.ends[closes] - offsets[doc])], ["start", "end"]),
             )
+            if cut:
+                texts = rows.column(rows.num_columns - 1)
+                if len(opens):
+                    lists = zip(texts.to_pylist(), spans.to_pylist(), strict=True)
+                    texts = pa.array([without_spans(t.encode(), x).decode() if x else t for t, x in lists], pa.string())
+                yield pa.record_batch([*rows.columns[:-1], texts], names=names)
+                continue
             ids = pa.array([sorted(x) for x in item_lists], pa.list_(pa.int64()))
             yield pa.record_batch([*rows.columns[:-1], pa.array(np.diff(words.texts)), pa.array(np.diff(totals)), ids, spans], names=names)
 
     return run
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The kept columns of docs, n_words, n_hit, item_ids and spans, for each row.
-
-    items has item_id and text. Spans are byte ranges of the UTF-8 text that
-    hold all hit words, merged where they touch.
-    """
-    context = docs.sparkSession.sparkContext
+def _broadcast(items: DataFrame) -> list:
+    """The phrases of test items (item_id, text), in blocks of bounded size."""
+    context = items.sparkSession.sparkContext
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = max(1, -(-int(total) // ITEM_BYTES))
     which = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    broadcasts = []
+    out = []
     for block in range(blocks):
         some = sorted((r["item_id"] is None, r["item_id"], r["text"]) for r in items.where(which == block).collect())
-        broadcasts.append(context.broadcast(Phrases([(i, t) for _, i, t in some])))
+        out.append(context.broadcast(Phrases([(i, t) for _, i, t in some])))
+    return out
+
+
+def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The kept columns of docs, n_words, n_hit, item_ids and spans, for each row.
+
+    items has item_id and text. Spans are byte ranges of the UTF-8 text that
+    hold all hit words, merged where they touch.
+    """
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), FOUND])
     names = [*keep, "n_words", "n_hit", "item_ids", "spans"]
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(_search(broadcasts, names), schema)
+    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(_search(_broadcast(items), names), schema)
 
 
 def without_spans(text: bytes, spans: list[dict]) -> bytes:
@@ -246,34 +258,16 @@ def without_spans(text: bytes, spans: list[dict]) -> bytes:
     return b"\n".join([*parts, text[at:]])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = batch.schema.names
-        spans, place = batch.column(names.index("spans")), names.index("__text")
-        texts = batch.column(place)
-        if len(spans.flatten()):
-            texts = pa.array(
-                [without_spans(t.encode(), s).decode() if s else t for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string()
-            )
-        keep = [i for i, n in enumerate(names) if n not in ("n_words", "n_hit", "item_ids", "spans")]
-        columns = [texts if i == place else batch.column(i) for i in keep]
-        yield pa.record_batch(columns, names=["__text" if i == place else names[i] for i in keep])
-
-
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the spans of occurrences cut out of their texts; every row stays, in its columns.
 
-    A text that is all span becomes a line feed. Columns of other names are
-    carried through as they are.
+    A text that is all span becomes a line feed. Other columns are carried
+    through as they are.
     """
-    columns = docs.columns
-    named = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
-    place = columns.index(text_col)
-    found = find_contamination(named.withColumn("__copy", F.col(f"c{place}")), items, [f"c{i}" for i in range(len(columns))], "__copy")
-    kept = [f"c{i}" for i in range(len(columns)) if i != place]
-    cut = found.select(*kept, F.col(f"c{place}").alias("__text"), "n_words", "n_hit", "item_ids", "spans")
-    schema = cut.select(*kept, "__text").schema
-    done = cut.mapInArrow(_cut, schema)
+    columns, place = docs.columns, docs.columns.index(text_col)
+    kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns) if i != place]
+    sent = docs.select(*kept, F.col(f"`{text_col}`").alias("__text"))
+    done = sent.mapInArrow(_search(_broadcast(items), sent.columns, cut=True), sent.schema)
     return done.select(*[F.col("__text" if i == place else f"c{i}").alias(c) for i, c in enumerate(columns)])
 
 

@@ -182,17 +182,18 @@ def score_quality(docs: DataFrame, network: Network | None, keep: list[str], tex
     if network is None:
         return docs.select(*keep, F.lit(0.5).alias(out))
     schema = docs.select(*keep, F.lit(0.5).alias(out)).schema
-    names = [*keep, out]
+    names, column = [*keep, out], text_col if text_col in keep else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = network.pair_tables()
-        for rows, data, offsets in text_pieces(batches, "__text"):
+        for rows, data, offsets in text_pieces(batches, column):
             scores = np.concatenate(
                 [network.score(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], tables) for a, b in _runs(offsets)]
             )
-            yield pa.record_batch([*rows.columns[:-1], pa.array(scores.astype(np.float64))], names=names)
+            yield pa.record_batch([*rows.columns[: len(keep)], pa.array(scores.astype(np.float64))], names=names)
 
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    sent = keep if text_col in keep else [*keep, F.col(text_col).alias(column)]
+    return docs.select(*sent).mapInArrow(run, schema)
 
 
 def _runs(offsets: np.ndarray, limit: int = 256 << 10) -> Iterator[tuple[int, int]]:
