@@ -115,3 +115,22 @@ def test_line_dedup_edges(spark, edge, none):
     assert sorted(twice) == ["", "Twice the same row.\nAnd a line."]
     assert [r.text for r in got.where("doc_id = 5").collect()] == ["\n\n  \n"]
     assert line_dedup.dedup_lines(none, Workspace(spark, "t")).count() == 0
+
+
+def both_kept(spark, pairs):
+    """How many pairs of lines keep both, each line a document."""
+    frame = spark.createDataFrame([(2 * i + k, x) for i, p in enumerate(pairs) for k, x in enumerate(p)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, Workspace(spark, "t")).collect()}
+    return sum(bool(got[2 * i]) and bool(got[2 * i + 1]) for i in range(len(pairs)))
+
+
+def random_words(rng, n, least, most):
+    return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(least, most))) for _ in range(n)]
+
+
+def test_lines_of_any_length_meet(spark):
+    rng = random.Random(5)
+    longer = [(x := " ".join(random_words(rng, 40, 2, 9))[: rng.randint(65, 71)].strip(), x + " and") for _ in range(100)]
+    starts = [(" ".join(ws), " ".join(ws[:-1])) for ws in (random_words(rng, 6, 14, 14) for _ in range(100))]
+    assert both_kept(spark, longer) <= 3  # banding may miss a link near the threshold
+    assert both_kept(spark, starts) <= 6
