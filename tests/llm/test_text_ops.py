@@ -134,3 +134,19 @@ def test_lines_of_any_length_meet(spark):
     starts = [(" ".join(ws), " ".join(ws[:-1])) for ws in (random_words(rng, 6, 14, 14) for _ in range(100))]
     assert both_kept(spark, longer) <= 3  # banding may miss a link near the threshold
     assert both_kept(spark, starts) <= 6
+
+
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    """Windows of one text, of which only neighbours are linked; the least two lines are leaders that are not."""
+    text = "".join(random.Random(7).choices("abcdefghijklmnopqrstuvwxyz ", k=600))
+    rows = [(node, text[20 * at : 20 * at + 200]) for node, at in enumerate([0, 3, 1, 2, 8, 5, 6, 7])]
+    lines = line_dedup.signed(spark.createDataFrame(rows, "node long, line string"))
+    lines = lines.withColumn("keys", F.array(F.lit(1).cast("long")))  # one bucket
+    for most in (1, 2, 3, 1024):
+        monkeypatch.setattr(line_dedup, "ALL_PAIRS", most)
+        links = [tuple(r) for r in line_dedup._links(lines, Workspace(spark, "t")).collect()]
+        labels = list(range(len(rows)))
+        for _ in rows:
+            for a, b in links:
+                labels[a] = labels[b] = min(labels[a], labels[b])
+        assert labels == [0, 0, 0, 0, 4, 4, 4, 4]
