@@ -150,3 +150,13 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
             for a, b in links:
                 labels[a] = labels[b] = min(labels[a], labels[b])
         assert labels == [0, 0, 0, 0, 4, 4, 4, 4]
+
+
+def test_one_typo_is_near(spark):
+    rng = random.Random(11)
+    pairs = []
+    for _ in range(150):
+        x = " ".join(random_words(rng, 60, 2, 9))[: rng.randint(60, 110)].strip()
+        i = rng.randrange(len(x))
+        pairs.append((x, x[:i] + "#" + x[i + 1 :]))
+    assert both_kept(spark, pairs) <= 3  # banding may miss a link near the threshold
