@@ -127,15 +127,38 @@ def masked_text(formatted: Column, loss_spans: Column) -> Column:
     return F.transform(F.array(F.encode(formatted, "UTF-32")), whole)[0]
 
 
+def turn_events(turns: DataFrame) -> DataFrame:
+    """A log of streamed events for each turn (conv_id, turn, msg_id, role, text), whose fold is the turn.
+
+    An attempt of two deltas is abandoned, streamed anew from a regeneration on,
+    and every turn of the half with the lesser hashes is edited at the end: its
+    deltas stop short of the text. Steps come in no order; seq is (turn, step).
+    """
+    text = F.coalesce("text", F.lit(""))
+    n = F.length(text)
+    a, b = F.floor(n / 3).cast("int"), F.floor(n * 2 / 3).cast("int")
+    cut = lambda first, last: F.substring(text, first + 1, last - first)
+    edited = F.xxhash64("msg_id", text) < 0
+    steps = [
+        (5, "edit", F.when(edited, text), F.lit("")),
+        (3, "delta", cut(a, b), F.lit("")),
+        (0, "delta", F.concat(cut(b, n), F.lit("<draft>")), F.col("role")),
+        (4, "delta", F.when(edited, F.lit("...")).otherwise(cut(b, n)), F.lit("")),
+        (2, "regenerate", cut(F.lit(0), a), F.lit(None).cast("string")),
+        (1, "delta", cut(F.lit(0), b), F.lit(None).cast("string")),
+    ]
+    made = [F.struct(F.lit(step).alias("step"), F.lit(kind).alias("kind"), role.alias("role"), said.alias("text")) for step, kind, said, role in steps]
+    each = turns.select("conv_id", "turn", "msg_id", F.explode(F.filter(F.array(*made), lambda e: (e["kind"] != "edit") | e["text"].isNotNull())).alias("e"))
+    return each.select("conv_id", F.struct("turn", "e.step").alias("seq"), "e.kind", "msg_id", "e.role", "e.text")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of ``conversations`` as message events, formatted, written and read back."""
+    """Turns of ``conversations`` as logs of events, formatted, written and read back."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     hostile = spark.createDataFrame(
         [(-7, 0, "user", HOSTILE), (-7, 1, "assistant", HOSTILE)], "conv_id long, turn long, role string, text string"
     )
-    events = rows.unionByName(hostile).select(
-        "conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), F.monotonically_increasing_id().alias("msg_id"), "role", "text"
-    )
+    events = turn_events(rows.unionByName(hostile).withColumn("msg_id", F.monotonically_increasing_id()))
     back = Workspace(spark, "chat").table(format_conversations(events), "formatted")
     turns = back.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"), masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
     return turns.select(
