@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -27,11 +28,13 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def table(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    def table(self, df: DataFrame, name: str, partition_by: list[str] | None = None, compression: str | None = None) -> DataFrame:
         """Write ``df`` as table ``name`` and return the table that was written."""
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        if compression:
+            writer = writer.option("compression", compression)
         writer.parquet(self.path(name))
         self.names.add(name)
         return self.read(name)
@@ -47,11 +50,33 @@ class Workspace:
             path.getFileSystem(conf).delete(path, True)
             self.names.discard(name)
 
+    def settle(self) -> None:
+        """Let the context cleaner delete the shuffle files of finished steps, which it does as the driver collects its garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def keep_only(self, *names: str) -> None:
         """Drop all tables but those named."""
         self.drop(*sorted(self.names - set(names)))
 
 
+#: Rows up to which a table of ids and numbers is broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def joined(df: DataFrame, few: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """df joined with a table of ids and numbers, which is counted: broadcast up to ``BROADCAST_ROWS`` rows, by shuffle beyond."""
+    return df.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, on, how)
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """name, with underscores added until no column of the frames has it (in any case)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(docs: DataFrame, work: Workspace, name: str = "__row") -> DataFrame:
     """docs with a key for each row that is the same whenever and wherever it is read.
 

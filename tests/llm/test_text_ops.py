@@ -52,6 +52,19 @@ def test_fold_and_render(spark):
     assert chat_format.format_conversations(events.where("false")).count() == 0
 
 
+def test_turn_events_fold_to_turns(spark):
+    """Abandoned attempts, regenerations, deltas and edits, in no order, give the turns back."""
+    rows = [(1, 0, 10, "user", "Hello there"), (1, 1, 11, "assistant", "General <b>"), (2, None, 12, None, None), (2, 0, 13, "user", ""), (2, 1, 14, "user", "日本語 \U0001f642 x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, msg_id long, role string, text string")
+    events = chat_format.turn_events(turns)
+    kinds = {r.kind for r in events.collect()}
+    assert kinds >= {"delta", "regenerate"} and events.count() >= 5 * len(rows)
+    got = {(r.conv_id, r.seq.turn, r.role, r.text) for r in chat_format.fold_messages(events.orderBy("text")).collect()}
+    assert got == {(c, t, r or "", x or "") for c, t, _, r, x in rows}
+    many = turns.withColumn("msg_id", F.explode(F.sequence(F.lit(1), F.lit(40))))
+    assert "edit" in {r.kind for r in chat_format.turn_events(many).collect()}
+
+
 def test_hostile_conversation(spark, sf):
     row = chat_format.query(spark, sf).where("conv_id = -7").first()
     said = chat_format.HOSTILE
@@ -100,7 +113,7 @@ def test_line_dedup_equals_brute_force(spark, monkeypatch):
                 ws[rng.randrange(len(ws))] = rng.choice(words)
             lines.append(" ".join(ws))
         docs.append((i, "\n".join([*lines, ""])))
-    monkeypatch.setattr(line_dedup, "ALL_PAIRS", 4)  # so that leaders are needed as well
+    monkeypatch.setattr(line_dedup, "PART_LINES", 4)  # so that buckets are cut into several cells
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame.orderBy("doc_id"), Workspace(spark, "t")).collect()}
     want = brute_lines(docs)
@@ -140,16 +153,27 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
     """Windows of one text, of which only neighbours are linked; the least two lines are leaders that are not."""
     text = "".join(random.Random(7).choices("abcdefghijklmnopqrstuvwxyz ", k=600))
     rows = [(node, text[20 * at : 20 * at + 200]) for node, at in enumerate([0, 3, 1, 2, 8, 5, 6, 7])]
-    lines = line_dedup.signed(spark.createDataFrame(rows, "node long, line string"))
-    lines = lines.withColumn("keys", F.array(F.lit(1).cast("long")))  # one bucket
+    raw = spark.createDataFrame(rows, "node long, line string").selectExpr("*", "node AS k1", "-node AS k2", "1 AS times", "length(line) AS chars")
+    lines = line_dedup.signed(raw).withColumn("keys", F.array(F.lit(1).cast("long")))  # one bucket
     for most in (1, 2, 3, 1024):
-        monkeypatch.setattr(line_dedup, "ALL_PAIRS", most)
-        links = [tuple(r) for r in line_dedup._links(lines, Workspace(spark, "t")).collect()]
-        labels = list(range(len(rows)))
-        for _ in rows:
-            for a, b in links:
-                labels[a] = labels[b] = min(labels[a], labels[b])
-        assert labels == [0, 0, 0, 0, 4, 4, 4, 4]
+        monkeypatch.setattr(line_dedup, "PART_LINES", most)
+        roots = dict(tuple(r) for r in line_dedup._components(lines, Workspace(spark, "t")).collect())
+        assert [roots[i] for i in range(8)] == [0, 0, 0, 0, 4, 4, 4, 4]
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs of lines with a similarity from 0.8 to 0.85, of 60 to 90 characters or 4 to 8 words: at least 0.98 meet and are linked."""
+    rng = random.Random(17)
+    pairs = []
+    while len(pairs) < 400:
+        words = random_words(rng, rng.randint(4, 8), 5, 20) if len(pairs) % 2 else random_words(rng, 30, 2, 9)
+        x = " ".join(words) if len(pairs) % 2 else " ".join(words)[: rng.randint(60, 90)].strip()
+        i = rng.randrange(len(x))
+        y = (x[: i + 1] + "#" + x[i + 1 + rng.randint(0, 1) :])[rng.randint(0, 3) :]
+        a, b = ({t[j : j + 5] for j in range(len(t) - 4)} for t in (x, y))
+        if 0.8 <= len(a & b) / len(a | b) <= 0.85:
+            pairs.append((x, y))
+    assert both_kept(spark, pairs) <= 8
 
 
 def test_one_typo_is_near(spark):
