@@ -7,8 +7,8 @@ chunks, which cover the whole text, are combined into one probability that the
 text is good. Nothing but the text is an input.
 
 The network is fitted here, on a bounded sample of labelled rows (``PER_CLASS``
-of each class, the first in the order of a hash of the id); held-out ids never
-are in the sample. Scoring reads every whole text, block by block.
+of each class, the first in the order of a hash of the id among those that have
+a text of up to ``LONGEST`` bytes); held-out ids never are in the sample. Scoring reads every whole text, block by block.
 
 Defined results: null counts as empty text; an empty text has one chunk of
 padding and is scored like any other. Labels that are null, or that
@@ -89,6 +89,8 @@ class Network:
 
     def forward(self, text: np.ndarray, first: np.ndarray, tables: list[np.ndarray], training: bool = False) -> dict:
         responses = self.responses(text, tables)
+        # the last two places of a text hold nothing but its padding, and reach into the text that follows
+        responses[np.append(first[1:], len(responses)) - 1, -(WIDTH // 2 - 1) :] = -np.inf
         where = responses.argmax(1) if training else None
         tops = responses.max(1)
         acts = np.maximum(tops + self.bias, 0)
@@ -164,15 +166,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Net
         .agg(F.min("quality").alias("q"), F.max("quality").alias("most"))
         .where("q = most")
     )
+    fitting = docs.where(F.octet_length("text") <= LONGEST).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    usable = agreed.join(fitting.select("doc_id").distinct(), "doc_id")
     order = [F.xxhash64("doc_id"), "doc_id"]
-    wanted = {r["doc_id"]: r["q"] for q in (0, 1) for r in agreed.where(F.col("q") == q).orderBy(*order).limit(per_class).collect()}
-    if not wanted:
+    wanted = {r["doc_id"]: r["q"] for q in (0, 1) for r in usable.where(F.col("q") == q).orderBy(*order).limit(per_class).collect()}
+    if len(set(wanted.values())) < 2:
         return None
     some = F.broadcast(spark.createDataFrame([(i,) for i in wanted], "doc_id long"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(some, "doc_id").where(F.octet_length("text") <= LONGEST)
-    texts = sorted(rows.groupBy("doc_id").agg(F.min("text").alias("text")).collect())
-    if len({wanted[r["doc_id"]] for r in texts}) < 2:
-        return None
+    texts = sorted(fitting.join(some, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect())
     return fit([r["text"].encode() for r in texts], [wanted[r["doc_id"]] for r in texts])
 
 
