@@ -19,6 +19,8 @@ from functools import cache, lru_cache
 import numpy as np
 
 BLOCK = 576
+#: Frames that are coded side by side; that bounds memory whatever a text's length.
+FRAMES = 2048
 ORDER, PRECISION = 8, 12
 PARTITION_ORDER = 2
 RATE = 8000
@@ -227,9 +229,13 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     if any(not n or len(p) != n * BLOCK for n, p in zip(counts, payloads, strict=True)):
         raise ValueError("a payload must be a positive multiple of 576 bytes")
     signed = np.frombuffer(b"".join(payloads), np.uint8) ^ 0x80
-    subframes = encode_blocks(signed.view(np.int8).reshape(-1, BLOCK))
-    bodies = [frame_header(i) + s for s, i in zip(subframes, (i for n in counts for i in range(n)), strict=True)]
-    frames = [b + int(crc).to_bytes(2, "big") for b, crc in zip(bodies, crc16(bodies), strict=True)]
+    blocks = signed.view(np.int8).reshape(-1, BLOCK)
+    numbers = np.concatenate([np.arange(n) for n in counts]) if counts else np.zeros(0, np.int64)
+    frames: list[bytes] = []
+    for a in range(0, len(blocks), FRAMES):
+        subframes = encode_blocks(blocks[a : a + FRAMES])
+        bodies = [frame_header(i) + s for s, i in zip(subframes, numbers[a : a + FRAMES].tolist(), strict=True)]
+        frames += [b + int(crc).to_bytes(2, "big") for b, crc in zip(bodies, crc16(bodies), strict=True)]
     out, at = [], 0
     for n in counts:
         own = frames[at : at + n]
@@ -389,7 +395,8 @@ def decode_frames(frames: list[bytes]) -> np.ndarray:
 def decode(streams: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each stream its blocks' first samples, and its samples (blocks, 576)."""
     read = [read_stream(s) for s in streams]
-    blocks = decode_frames([f for _, frames, _ in read for f in frames])
+    frames = [f for _, own, _ in read for f in own]
+    blocks = np.concatenate([np.zeros((0, BLOCK), np.int8), *(decode_frames(frames[a : a + FRAMES]) for a in range(0, len(frames), FRAMES))])
     out, at = [], 0
     for first, frames, digest in read:
         own = blocks[at : at + len(frames)]

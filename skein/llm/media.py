@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from skein.llm import flac
 from skein.llm.batches import text_pieces
+from skein.llm.workspace import Workspace
 
 PAD = b"\xff"
 #: Bytes of texts or streams that are coded together.
@@ -107,4 +108,6 @@ def media_features(media: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_features(encode_media(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    """Media of ``documents``, written as a table and read back from it."""
+    media = encode_media(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return media_features(Workspace(spark, "media").table(media, "media", compression="zstd"))
