@@ -42,6 +42,8 @@ _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 SEPARATOR = 1
+#: Bytes up to which words are hashed and compared side by side; longer ones are taken one by one.
+LONG_WORD = 64
 
 
 @dataclass
@@ -64,11 +66,13 @@ class Words:
         return cls(_LOWER[data], starts, ends, np.searchsorted(starts, offsets))
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word, eight bytes at a step."""
+        """A 64-bit hash of each word, eight bytes at a step, of a long one by a digest."""
         sizes = self.ends - self.starts
         wide = np.concatenate([self.data, np.zeros(16, np.uint8)])
         out = sizes.astype(np.uint64)
-        live, at = np.arange(len(sizes)), 0
+        for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+            out[i] = int.from_bytes(hashlib.blake2b(self.data[self.starts[i] : self.ends[i]].tobytes(), digest_size=8).digest(), "little")
+        live, at = np.flatnonzero(sizes <= LONG_WORD), 0
         while len(live):
             chunk = np.lib.stride_tricks.sliding_window_view(wide, 8)[self.starts[live] + at].copy().view("<u8").reshape(-1)
             short = np.minimum(sizes[live] - at, 8)
@@ -93,7 +97,8 @@ class Phrases:
         self.slots, self.slot_numbers = _slots(distinct)
         names = [words.data[words.starts[i] : words.ends[i]].tobytes() for i in first.tolist()]
         self.name_sizes = np.fromiter(map(len, names), np.int64, len(names))
-        self.names = np.frombuffer(b"".join(x.ljust(int(self.name_sizes.max(initial=0)), b"\0") for x in names), np.uint8).reshape(len(names), -1) if names else np.zeros((0, 0), np.uint8)
+        self.names = np.frombuffer(b"".join(x[:LONG_WORD].ljust(LONG_WORD, b"\0") for x in names), np.uint8).reshape(len(names), LONG_WORD)
+        self.long_names = {i: np.frombuffer(x, np.uint8) for i, x in enumerate(names) if len(x) > LONG_WORD}
         found: dict[tuple[int, ...], set[int | None]] = {}
         for i, (item, _) in enumerate(items):
             own = (numbers[words.texts[i] : words.texts[i + 1]] + 2).tolist()
@@ -162,15 +167,17 @@ def occurrences(words: Words, phrases: Phrases) -> Iterator[tuple[np.ndarray, in
 def _same_words(words: Words, phrases: Phrases, at: np.ndarray, patterns: np.ndarray) -> np.ndarray:
     """Whether the words from each place on are those of the pattern, byte by byte."""
     out = np.ones(len(at), bool)
-    width = phrases.names.shape[1]
-    wide = np.concatenate([words.data, np.zeros(width, np.uint8)])
-    views = np.lib.stride_tricks.sliding_window_view(wide, width) if width else None
+    wide = np.concatenate([words.data, np.zeros(LONG_WORD, np.uint8)])
+    views = np.lib.stride_tricks.sliding_window_view(wide, LONG_WORD)
     for a in range(0, len(at), 20_000):
         for t in range(patterns.shape[1]):
             word, name = at[a : a + 20_000] + t, patterns[a : a + 20_000, t] - 2
-            sizes = words.ends[word] - words.starts[word]
-            equal = (views[words.starts[word]] == phrases.names[name]) | (np.arange(width) >= sizes[:, None])
-            out[a : a + 20_000] &= (sizes == phrases.name_sizes[name]) & equal.all(1)
+            starts, sizes = words.starts[word], words.ends[word] - words.starts[word]
+            equal = (views[starts] == phrases.names[name]) | (np.arange(LONG_WORD) >= sizes[:, None])
+            same = (sizes == phrases.name_sizes[name]) & equal.all(1)
+            for i in np.flatnonzero(same & (sizes > LONG_WORD)).tolist():
+                same[i] = np.array_equal(words.data[starts[i] : starts[i] + sizes[i]], phrases.long_names[int(name[i])])
+            out[a : a + 20_000] &= same
     return out
 
 
