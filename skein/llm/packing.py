@@ -31,8 +31,6 @@ SEQUENCE = 1024
 END_ID = 2
 #: Pieces that are packed together; more are packed in several rounds of the same task.
 GROUP = 200_000
-#: Passes of local search over the underfull bins.
-PASSES = 6
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
@@ -108,7 +106,7 @@ class LocalSearch:
     def _best(self, b: int, over: int, gap: int) -> tuple[int, int, int] | None:
         """(gain, bin, piece): the longest piece in another bin with over < length <= over + gap that fills b past that bin."""
         n = min(over + gap, self.size - 1)
-        for _ in range(16):
+        while True:
             found = self.present & ((1 << (n + 1)) - 1)
             n = found.bit_length() - 1
             if n <= over:
@@ -126,8 +124,7 @@ class LocalSearch:
             return False
         own = sorted({self.lengths[i]: i for i in self.bins[b]}.items())
         give: list[tuple[int, ...]] = [(), *((i,) for _, i in own)]
-        few = own[:24]
-        give += [(i, j) for k, (_, i) in enumerate(few) for _, j in few[k + 1 :]]
+        give += [(i, j) for k, (_, i) in enumerate(own) for _, j in own[k + 1 :]]
         best = None
         for out in give:
             found = self._best(b, sum(self.lengths[i] for i in out), gap)
@@ -149,21 +146,21 @@ class LocalSearch:
                 self._list(x)
         return True
 
-    def run(self, passes: int) -> list[list[int]]:
-        for _ in range(passes):
+    def run(self) -> list[list[int]]:
+        """Until a pass over the underfull bins finds no step; each step raises the sum of squared fills, so the search ends."""
+        while True:
             under = sorted((b for b in range(len(self.bins)) if 0 < self.fill[b] < self.size), key=lambda b: -self.fill[b])
             steps = 0
             for b in under:  # each is filled as far as it goes before the next
                 while self.improve(b):
                     steps += 1
             if not steps:
-                break
-        return [b for b in self.bins if b]
+                return [b for b in self.bins if b]
 
 
-def pack(lengths: list[int], size: int = SEQUENCE, passes: int = PASSES) -> list[list[int]]:
+def pack(lengths: list[int], size: int = SEQUENCE) -> list[list[int]]:
     """Bins of places in lengths, each with a sum of at most size."""
-    return LocalSearch(lengths, best_fit(lengths, size), size).run(passes)
+    return LocalSearch(lengths, best_fit(lengths, size), size).run()
 
 
 def _packed(size: int):
