@@ -320,9 +320,11 @@ class Encoder:
         return np.arange(first, last)
 
     def _check(self, names, ids, offsets) -> None:
-        """The library's word on the first pre-tokens, and on the longest one of each block."""
+        """The library's word on a worker's first pre-tokens, and on the longest new one of every block."""
         which = list(range(min(len(names), CHECKED - self.checked))) if self.checked < CHECKED else []
         self.checked += len(which)
+        if names and (longest := max(range(len(names)), key=lambda i: len(names[i]))) >= len(which):
+            which.append(longest)
         for i in which:
             text = names[i].decode("utf-8", "replace")
             if (got := ids[offsets[i] : offsets[i + 1]].tolist()) != (said := self.library.encode(text, add_special_tokens=False).ids):
