@@ -5,7 +5,8 @@
 2. Those rows are shuffled and sorted by pre-token, so all rows of one meet in
    one task: its pieces are counted once by the tokenizers library, joined to
    the frequencies and added up by document. A frequent pre-token has one row
-   a shard, whatever its share of all words.
+   a shard, whatever its share of all words, and its shards are dealt into
+   ``SALTS`` groups, each of which meets in one task.
 3. The sums of each shard's documents are added. Ids are never kept.
 
 Defined results: null or empty text has 0 bytes and 0 tokens; repeated rows
@@ -31,11 +32,13 @@ from skein.llm.pretokens import byte_level_pretokens
 #: Text bytes of a shard; it is also the bound of what a task holds at once.
 SHARD_BYTES = 12 << 20
 
-_ROWS = "kind int, key binary, shard long, payload binary"
+_ROWS = "kind int, key binary, shard long, payload binary, salt int"
 _SUMS = "kind int, shard long, payload binary"
-_SCHEMA_ROWS = pa.schema([("kind", pa.int32()), ("key", pa.binary()), ("shard", pa.int64()), ("payload", pa.binary())])
+_SCHEMA_ROWS = pa.schema([("kind", pa.int32()), ("key", pa.binary()), ("shard", pa.int64()), ("payload", pa.binary()), ("salt", pa.int32())])
 _SCHEMA_SUMS = pa.schema([("kind", pa.int32()), ("shard", pa.int64()), ("payload", pa.binary())])
 DOCS, WORDS = 0, 1
+#: A pre-token of so many documents of a shard is dealt by shard into so many groups, each of which counts its pieces.
+FREQUENT, SALTS = 256, 64
 
 
 @cache
@@ -58,7 +61,7 @@ def _shard_rows(shard: int, ids: list[pa.Array], sizes: list[np.ndarray], words:
     ids = pa.concat_arrays(ids)
     known = ids.is_valid().to_numpy(zero_copy_only=False)
     payload = np.stack([ids.fill_null(0).to_numpy(), known, sizes]).astype("<i8").tobytes()
-    yield pa.record_batch([pa.array([DOCS], pa.int32()), pa.array([shard.to_bytes(8, "little")], pa.binary()), pa.array([shard]), pa.array([payload], pa.binary())], schema=_SCHEMA_ROWS)
+    yield pa.record_batch([pa.array([DOCS], pa.int32()), pa.array([shard.to_bytes(8, "little")], pa.binary()), pa.array([shard]), pa.array([payload], pa.binary()), pa.array([0], pa.int32())], schema=_SCHEMA_ROWS)
     coded = pa.concat_arrays(words).dictionary_encode()
     if not len(coded):
         return
@@ -71,7 +74,9 @@ def _shard_rows(shard: int, ids: list[pa.Array], sizes: list[np.ndarray], words:
     last = np.append(np.flatnonzero(first)[1:] - 1, len(word) - 1)
     lists = _slices(data, np.concatenate([[0], ends[last]]))
     n = len(lists)
-    yield pa.record_batch([pa.array(np.full(n, WORDS, np.int32)), coded.dictionary.take(pa.array(word[first])), pa.array(np.full(n, shard)), lists], schema=_SCHEMA_ROWS)
+    n_docs = np.diff(np.append(np.flatnonzero(first), len(word)))
+    salt = np.where(n_docs >= FREQUENT, ((shard >> 32) + shard) % SALTS, 0).astype(np.int32)
+    yield pa.record_batch([pa.array(np.full(n, WORDS, np.int32)), coded.dictionary.take(pa.array(word[first])), pa.array(np.full(n, shard)), lists, pa.array(salt)], schema=_SCHEMA_ROWS)
 
 
 def _frequencies(path: str):
@@ -181,7 +186,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """(doc_id, n_bytes, n_tokens) for each row of docs."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     words = rows.mapInArrow(_frequencies(tokenizer_path), _ROWS)
-    met = words.repartition("key").sortWithinPartitions("kind", "key")
+    met = words.repartition("key", "salt").sortWithinPartitions("kind", "key").drop("salt")
     sums = met.mapInArrow(_join(tokenizer_path), _SUMS)
     return sums.groupBy("shard").applyInArrow(_totals, "doc_id long, n_bytes long, n_tokens long")
 
