@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from skein.llm.batches import text_pieces
 from skein.llm.components import connected_components, local_components
 from skein.llm.covering import RADIUS, anchors
-from skein.llm.workspace import Workspace, numbered
+from skein.llm.workspace import Workspace, numbered, unused
 
 SHINGLE, THRESHOLD, SEED = 4, 4, 42
 #: Bits in which the halves may differ: (shift of the half, threshold there).
@@ -219,13 +219,14 @@ def one_of_each(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_c
 
     docs is read twice.
     """
-    keyed = numbered(docs, work)
-    key = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row")).alias("id")
+    row = unused("row", docs)
+    keyed = numbered(docs, work, row)
+    key = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).cast("long").alias("id"), F.col(row).alias("row")).alias("id")
     prints = fingerprints(keyed.select(key, F.col(text_col).alias("text")), ["id"])
     rows = work.table(prints, "rows")
-    kept = work.table(components(rows, work).select(F.col("least.row").alias("__row")).distinct(), "kept")
+    kept = work.table(components(rows, work).select(F.col("least.row").alias(row)).distinct(), "kept")
     work.keep_only("kept", "numbered")
-    return keyed.join(kept, "__row", "left_semi").drop("__row")
+    return keyed.join(kept, row, "left_semi").drop(row)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

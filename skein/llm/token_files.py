@@ -211,22 +211,33 @@ def read_documents(tokens: DataFrame) -> DataFrame:
     return found.join(bases, "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def lookup(tokens: DataFrame, doc_ids: list[int]) -> DataFrame:
-    """(doc_id, ids) of the first occurrence of each given id in each shard that can hold it."""
-    wanted = sorted(set(doc_ids))
+def lookup(tokens: DataFrame, doc_ids: list[int | None]) -> DataFrame:
+    """(doc_id, ids) of every document with one of the given ids, null among them if None is given.
+
+    Occurrences of an id in a shard are asked for one after another until one is not there.
+    """
+    wanted, nulls = sorted({i for i in doc_ids if i is not None}), None in doc_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = np.array(wanted, np.int64)
         for batch in batches:
             for index, payload in zip(batch.column(0), batch.column(1), strict=True):
                 read = Index(index.as_py())
-                found, start, length = read.find(hashed_keys(keys, np.zeros(len(keys), np.int64)))
                 ids = np.frombuffer(payload.as_buffer(), f"<u{read.width}")
-                lists = [ids[a : a + n].astype(np.int64) for a, n in zip(start[found].tolist(), length[found].tolist(), strict=True)]
-                yield pa.record_batch([pa.array(keys[found]), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "ids"])
-
-    near = tokens.where(F.col("last_id").isNotNull() & (F.col("last_id") >= wanted[0]) & (F.col("first_id") <= wanted[-1])) if wanted else tokens.where("false")
-    return near.select("index", "payload").mapInArrow(run, "doc_id long, ids array<long>")
+                keys = np.array([*wanted, *([0] if nulls else [])], np.int64)
+                occurrence = np.array([*([0] * len(wanted)), *([NULL] if nulls else [])], np.int64)
+                while len(keys):
+                    found, start, length = read.find(hashed_keys(keys, occurrence))
+                    keys, occurrence = keys[found], occurrence[found]
+                    lists = [ids[a : a + n].astype(np.int64) for a, n in zip(start[found].tolist(), length[found].tolist(), strict=True)]
+                    yield pa.record_batch([pa.array(keys, mask=occurrence >= NULL), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "ids"])
+                    occurrence = occurrence + 1
+
+    holds = F.lit(False)
+    if wanted:
+        holds = F.col("last_id").isNotNull() & (F.col("last_id") >= wanted[0]) & (F.col("first_id") <= wanted[-1])
+    if nulls:  # they come first
+        holds = F.lit(True)
+    return tokens.where(holds).select("index", "payload").mapInArrow(run, "doc_id long, ids array<long>")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

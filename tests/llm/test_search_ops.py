@@ -54,6 +54,14 @@ def test_media(spark, sf, edge, none):
     assert media.media_features(media.encode_media(none)).count() == 0
 
 
+def test_long_text_is_coded_in_groups(monkeypatch):
+    text = bytes(np.random.default_rng(3).integers(32, 127, 576 * 40, dtype=np.uint8))
+    whole = flac.encode([text, media.payload(b"x")])
+    monkeypatch.setattr(flac, "FRAMES", 7)
+    assert flac.encode([text, media.payload(b"x")]) == whole
+    assert [(s.view(np.uint8) ^ 0x80).tobytes() for _, s in flac.decode(whole)] == [text, media.payload(b"x")]
+
+
 def test_suffix_array_and_search():
     rng = np.random.default_rng(0)
     for trial in range(60):
@@ -249,6 +257,58 @@ def test_quality_gradient():
             assert abs((up - down) / 2e-5 - g[at]) < 2e-3 * max(1, abs(g[at]))
 
 
+def test_scores_equal_plain_convolution():
+    """Filters slid over a text place by place, largest response by chunk, mean and maximum of the chunks."""
+    rng = np.random.default_rng(4)
+    net = quality.Network.new()
+    net.bias[:] = rng.normal(0, 0.3, quality.FILTERS)
+    texts = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (0, 1, 100, 128, 253, 256, 1000)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    half, got = quality.BLOCK, net.score(data, offsets, net.pair_tables())
+    for text, score in zip(texts, got, strict=True):
+        blocks = -(-(len(text) + 4) // half)
+        padded = np.frombuffer(text.ljust((blocks + 1) * half, b"\0"), np.uint8)
+        at = [sum(net.bytes_[k, padded[i + k]] for k in range(quality.WIDTH)) for i in range(0, blocks * half, 2)] if blocks else []
+        per = half // 2
+        chunks = [range(b * per, min(b + 2, blocks) * per) for b in range(max(1, blocks - 1))]
+        # the last two places hold nothing but padding
+        values = np.array([[max(0.0, max(at[i][f] for i in c if i < len(at) - 2) + net.bias[f]) for f in range(quality.FILTERS)] for c in chunks])
+        features = np.concatenate([values.mean(0), values.max(0), [1]])
+        assert abs(1 / (1 + np.exp(-features @ net.out)) - score) < 1e-4
+
+
+@pytest.mark.parametrize("letters", [65, 100_000])
+def test_long_benchmark_words(spark, letters):
+    """Words longer than those compared side by side, equal up to their last letter."""
+    word = "w" * letters
+    item = f"{word}a b c"
+    docs = spark.createDataFrame([(1, f"x {word}a b c y"), (2, f"x {word}b b c y"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.item_ids) for r in decontamination.contamination(docs, items).collect()}
+    assert got == {1: (3, [7]), 2: (0, []), 3: (0, [])}
+
+
+def test_pipeline_edges(spark, sf, edge):
+    """Nulls, empty, very long and repeated rows and clashing names through every stage."""
+    import corpus_pipeline
+
+    names = ["__row", "__score", "score_", "gone", "row_"]
+    docs = edge.withColumns({n: edge["key"] for n in names})
+    work = Workspace(spark, "t")
+    docs = work.table(docs, "edge")
+    columns, ids = docs.columns, sorted(r.doc_id or 0 for r in docs.collect())
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[1:], 1):
+        docs = work.table(stage(spark, docs, sf), f"s{i}")
+        if i < 4:
+            assert docs.columns == columns or docs.columns == [*columns, "n_chars"]
+            columns = docs.columns
+        if i == 1:
+            assert sorted(r.doc_id or 0 for r in docs.collect()) == ids
+    assert docs.count() > 0
+    scored = corpus_pipeline.keep_good(spark, work.read("edge"), sf)
+    assert scored.columns == work.read("edge").columns and scored.count() <= len(ids)
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
 

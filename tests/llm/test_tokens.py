@@ -92,7 +92,7 @@ def test_local_search_empties_bins():
         bins = [[i] for i in range(300)]  # as bad as can be
         fitted = packing.best_fit(lengths, 100)
         assert len(packing.pack(lengths, 100)) <= len(fitted)
-        found = packing.LocalSearch(lengths, bins, 100).run(50)
+        found = packing.LocalSearch(lengths, bins, 100).run()
         assert sorted(i for b in found for i in b) == list(range(300))
         assert all(sum(lengths[i] for i in b) <= 100 for b in found)
         assert len(found) <= len(fitted) * 1.15 + 1
@@ -120,3 +120,20 @@ def test_token_files(spark, sf, edge, none):
     assert [r.doc_id for r in rows] == [None, None, 1, 2, 3, 3, 4, 5, 6]
     assert [r.start for r in rows][1:] == np.cumsum([r.n_tokens for r in rows]).tolist()[:-1]
     assert token_files.read_documents(token_files.write_tokens(none, WORDS, Workspace(spark, "t"))).count() == 0
+
+
+def test_lookup_finds_repeated_and_null_ids(spark, edge):
+    library = pretokens.library(WORDS)
+    tokens = token_files.write_tokens(edge, WORDS, Workspace(spark, "t"))
+    want = sorted((r.doc_id or -1, [*library.encode(r.text or "", add_special_tokens=False).ids, 1]) for r in edge.collect() if r.doc_id in (None, 3))
+    assert sorted((r.doc_id or -1, r.ids) for r in token_files.lookup(tokens, [None, 3, 99]).collect()) == want
+    assert {r.doc_id for r in token_files.lookup(tokens, [3]).collect()} == {3}
+    assert token_files.lookup(tokens, []).count() == 0
+
+
+def test_frequent_pretokens_are_dealt(spark):
+    """One pre-token in all documents of many shards still counts right."""
+    docs = spark.range(2000).repartition(4).selectExpr("id AS doc_id", "concat(' the the ', id % 7) AS text")
+    library = pretokens.library(BYTES)
+    want = {k: len(library.encode(f" the the {k}", add_special_tokens=False).ids) for k in range(7)}
+    assert all(r.n_tokens == want[r.doc_id % 7] for r in token_counts.count_tokens(docs, BYTES).collect())
