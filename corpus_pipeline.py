@@ -13,28 +13,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import decontamination, line_dedup, packing, quality, simhash
-from skein.llm.workspace import Workspace
+from skein.llm.workspace import Workspace, unused
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier scores 0.5 or more."""
+    """Documents that the quality classifier scores 0.5 or more; a null text is scored as an empty one, repeated rows each."""
     network = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_quality(docs, network, docs.columns, out="__score").where("__score >= 0.5").drop("__score")
+    score = unused("score", docs)
+    return quality.score_quality(docs, network, docs.columns, out=score).where(F.col(score) >= 0.5).drop(score)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with one line of each group of near-duplicate lines; every document stays."""
+    """Documents with one line of each group of near-duplicate lines; every document stays, a null text as an empty one."""
     found = line_dedup.dedup_lines(docs, Workspace(spark, "lines")).select(docs.columns)
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates by SimHash."""
+    """One document of each group of near-duplicates by SimHash, that of the least doc_id, null ids last; null texts count as empty."""
     return simhash.one_of_each(docs, Workspace(spark, "simhash"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with benchmark passages cut out; every document stays."""
+    """Documents with benchmark passages cut out; every document stays, null and empty texts as they are."""
     found = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
