@@ -119,6 +119,12 @@ CATEGORY_WEIGHTS = {
     "shopping_lists": 0.03,
     "self_corrections_heavy": 0.07,
 }
+#: Categories whose clean texts may be turned into messy ones, and those of general speech; the others are special to a domain.
+CLEAN_TO_MESSY = [
+    "medical_clinical", "legal_contract", "technical_code", "academic_research", "financial_business",
+    "recipe_cooking", "meeting_notes", "email_professional", "creative_writing",
+]
+CORE_CATEGORIES = ["casual_conversation", "self_corrections_heavy", "technical_code", "financial_business", "academic_research", "legal_contract"]
 #: Criteria of a verdict, and what to do about each when it fails often.
 CRITERIA = ["input_realistic", "content_preserved", "no_hallucination", "corrections_applied"]
 CRITICAL = ["content_preserved", "no_hallucination"]

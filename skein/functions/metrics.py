@@ -9,17 +9,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import lexicons as L
-from skein.functions.text import strip, words
+from skein.functions.text import merged_codes, strip, words
 
 
 def exact_match(generated: Column, expected: Column) -> Column:
     return strip(generated) == strip(expected)
 
 
+def _shared_start(a: Column, b: Column) -> Column:
+    """Characters that a and b begin with alike, by halving the range where they part."""
+
+    def halve(s: Column) -> Column:
+        mid = F.shiftright(s["lo"] + s["hi"] + 1, 1)
+        same = F.left(a, mid) == F.left(b, mid)
+        return F.struct(F.when(same, mid).otherwise(s["lo"]).alias("lo"), F.when(same, s["hi"]).otherwise(mid - 1).alias("hi"))
+
+    n = F.least(F.length(a), F.length(b))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(n + 1)).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), lambda s, _: halve(s), lambda s: s["lo"])
+
+
+def edit_distance(a: Column, b: Column) -> Column:
+    """Levenshtein distance. What texts have alike at either end adds nothing, so only what is between is compared, which costs the product of its lengths."""
+    bind = lambda x, y, f: F.transform(F.array(F.struct(x.alias("a"), y.alias("b"))), f)[0]
+    rest = lambda t, n: F.substring(t, n + 1, F.length(t))
+
+    def between(p: Column) -> Column:
+        """Of reversed texts without their common start."""
+        n = F.transform(F.array(_shared_start(p["a"], p["b"])), lambda n: F.levenshtein(rest(p["a"], n), rest(p["b"], n)))
+        return n[0]
+
+    def turned(p: Column) -> Column:
+        return F.transform(F.array(_shared_start(p["a"], p["b"])), lambda n: bind(F.reverse(rest(p["a"], n)), F.reverse(rest(p["b"], n)), between))[0]
+
+    return F.when(a == b, F.lit(0)).otherwise(bind(a, b, turned))
+
+
 def cer(generated: Column, expected: Column) -> Column:
     """Edit distance for each expected character; of an empty one 0 or 1."""
     return F.when(F.length(expected) == 0, (F.length(generated) > 0).cast("double")).otherwise(
-        F.levenshtein(generated, expected) / F.length(expected)
+        edit_distance(generated, expected) / F.length(expected)
     )
 
 
@@ -40,25 +69,17 @@ def _grams(tokens: Column, n: int) -> Column:
 
 
 def _clipped(hyp: Column, ref: Column) -> Column:
-    """Common n-grams, each as often as in the side that has fewer.
-
-    Both lists are sorted with repeats numbered, so an intersection of
-    (gram, number) counts them without a comparison of all with all.
-    """
-
-    def numbered(grams: Column) -> Column:
-        counted = F.aggregate(
-            F.array_sort(grams),
-            F.struct(F.lit("").alias("last"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("out")),
-            lambda s, g: F.struct(
-                g.alias("last"),
-                F.when(g == s["last"], s["n"] + 1).otherwise(F.lit(0)).alias("n"),
-                F.concat(s["out"], F.array(F.concat(g, F.lit("\u0002"), F.when(g == s["last"], s["n"] + 1).otherwise(F.lit(0)).cast("string")))).alias("out"),
-            ),
-        )
-        return counted["out"]
-
-    return F.size(F.array_intersect(numbered(hyp), numbered(ref)))
+    """Common n-grams, each as often as in the side that has fewer; n-grams are told apart by 63-bit hashes."""
+    more = lambda s: s["total"] + F.least(s["h"], s["r"])
+
+    def step(s: Column, e: Column) -> Column:
+        gram, of_ref = F.shiftright(e, 1), e.bitwiseAND(1).cast("int")
+        same = gram == s["gram"]
+        so_far = lambda name: F.when(same, s[name]).otherwise(F.lit(0))
+        return F.struct(gram.alias("gram"), (so_far("h") + 1 - of_ref).alias("h"), (so_far("r") + of_ref).alias("r"), F.when(same, s["total"]).otherwise(more(s)).alias("total"))
+
+    none = F.lit((1 << 63) - 1).cast("long").alias("gram")
+    return F.aggregate(merged_codes(hyp, ref), F.struct(none, F.lit(0).alias("h"), F.lit(0).alias("r"), F.lit(0).alias("total")), step, more)
 
 
 def bleu_parts(generated: Column, expected: Column) -> Column:

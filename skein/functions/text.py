@@ -183,13 +183,42 @@ def preservation(source: Column, output: Column) -> Column:
     return F.when(F.size(wanted) == 0, F.lit(1.0)).otherwise(F.size(kept) / F.size(wanted))
 
 
+def merged_codes(a: Column, b: Column) -> Column:
+    """The items of two arrays of strings as sorted longs: 63 bits of a hash, then 0 for an item of a and 1 for one of b.
+
+    A fold over them meets equal items side by side, so that work on repeats costs a sort and not the product of the lengths.
+    """
+    code = lambda items, side: F.transform(items, lambda x: F.shiftleft(F.xxhash64(x), 1).bitwiseOR(F.lit(side).cast("long")))
+    return F.sort_array(F.concat(code(a, 0), code(b, 1)))
+
+
+def is_among(item: Column, ordered: Column) -> Column:
+    """Whether a sorted array has the item, by halving the range where it can be."""
+
+    def halve(s: Column) -> Column:
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        below = F.get(ordered, mid) < item
+        return F.struct(F.when(below, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(below, s["hi"]).otherwise(mid).alias("hi"))
+
+    # each step leaves at most half of the range; one that is empty stays as it is
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(ordered) + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(ordered).alias("hi"))
+    found = F.aggregate(steps, start, lambda s, _: F.when(s["lo"] < s["hi"], halve(s)).otherwise(s), lambda s: s["lo"])
+    return F.coalesce(F.get(ordered, found) == item, F.lit(False))
+
+
 def made_up_words(source: Column, output: Column) -> Column:
-    """Words of five letters and more that the input has in no near form, in order of appearance."""
-    known = _letters(source, 3)
-    forms = lambda w: [w, F.concat(w, F.lit("s")), F.rtrim(w, F.lit("s")), F.concat(w, F.lit("ed")), F.concat(w, F.lit("ing")), F.rtrim(w, F.lit("ed")), F.rtrim(w, F.lit("ing"))]
+    """Words of five letters and more that the input has in no near form, in order of appearance.
+
+    A form that adds an ending is looked for as the input's words without it; only
+    forms that lose letters at the end are looked up word by word.
+    """
+    without = lambda ks, end: F.transform(F.filter(ks, lambda k: F.endswith(k, F.lit(end))), lambda k: F.left(k, F.length(k) - len(end)))
+    near = lambda ks: F.concat(ks, *[without(ks, end) for end in ("s", "ed", "ing")])
     news = F.array_except(_letters(output, 5), _literals(L.HALLUCINATION_COMMON))
-    # the input's words are bound once for each text
-    return F.transform(F.array(known), lambda ks: F.filter(news, lambda w: ~reduce(lambda a, b: a | b, [F.array_contains(ks, f) for f in forms(w)])))[0]
+    rest = lambda ks: F.filter(F.array_except(news, near(ks)), lambda w: ~reduce(lambda a, b: a | b, [is_among(F.rtrim(w, F.lit(end)), ks) for end in ("s", "ed", "ing")]))
+    # the input's words are sorted and bound once for each text
+    return F.transform(F.array(F.array_sort(_letters(source, 3))), rest)[0]
 
 
 def number_conversion(source: Column, output: Column) -> Column:

@@ -32,19 +32,29 @@ def shuffle_key(seed: int, *columns: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]).cast("binary"))
 
 
-def digest_places(rows: DataFrame, digest: str, key: list[str], name: str = "place", digits: int = 4) -> DataFrame:
-    """rows with their place from 0 in the order of a hexadecimal digest (ties by key).
+def digest_places(rows: DataFrame, digest: str, key: list[str], name: str = "place", digits: int = 4, group: str | None = None, total: str | None = None) -> DataFrame:
+    """rows with their place from 0 in the order of a hexadecimal digest (ties by key), in all or in each group.
 
     Rows are numbered within buckets of the digest's first digits, and the
-    buckets before each are counted: no task sees all rows. There are at most
-    16 ** digits buckets, so their counts are small enough to broadcast.
+    buckets before each are counted: no task sees all rows of a group. There are
+    at most 16 ** digits buckets (of a group); their counts are broadcast if
+    there is one group, else Spark joins them as their size has it.
     """
+    by = [group] if group else []
     bucketed = rows.withColumn("__bucket", F.left(F.col(digest), F.lit(digits)))
-    counts = bucketed.groupBy("__bucket").agg(F.count("*").alias("__n"))
-    before = counts.select("__bucket", (F.sum("__n").over(Window.orderBy("__bucket")) - F.col("__n")).alias("__before"))
-    within = F.row_number().over(Window.partitionBy("__bucket").orderBy(digest, *key))
-    placed = bucketed.withColumn("__within", within).join(F.broadcast(before), "__bucket")
-    return placed.withColumn(name, F.col("__before") + F.col("__within") - 1).drop("__bucket", "__within", "__before")
+    counts = bucketed.groupBy(*by, "__bucket").agg(F.count("*").alias("__n"))
+    all_ = Window.partitionBy(*by)
+    before = counts.select(*by, "__bucket", (F.sum("__n").over(all_.orderBy("__bucket")) - F.col("__n")).alias("__before"), F.sum("__n").over(all_).alias("__total"))
+    within = F.row_number().over(Window.partitionBy(*by, "__bucket").orderBy(digest, *key))
+    numbered = bucketed.withColumn("__within", within)
+    if group:  # a null group is one as well
+        same = numbered[group].eqNullSafe(before[group]) & (numbered["__bucket"] == before["__bucket"])
+        placed = numbered.join(before, same).drop(before[group]).drop(before["__bucket"])
+    else:
+        placed = numbered.join(F.broadcast(before), "__bucket")
+    if total:
+        placed = placed.withColumn(total, F.col("__total"))
+    return placed.withColumn(name, F.col("__before") + F.col("__within") - 1).drop("__bucket", "__within", "__before", "__total")
 
 
 def exact_split(rows: DataFrame, key: list[str], seed: int = 42, train: float = 0.90, valid: float = 0.05) -> DataFrame:
@@ -57,10 +67,9 @@ def exact_split(rows: DataFrame, key: list[str], seed: int = 42, train: float =
 
 
 def sample_per_group(rows: DataFrame, group: str, key: list[str], rate: float, seed: int = 42) -> DataFrame:
-    """ceil(n * rate) rows of each group, chosen by digest; a sampling operator."""
-    w = Window.partitionBy(group)
-    picked = rows.withColumn("__rn", F.row_number().over(w.orderBy(shuffle_key(seed, *key), *key))).withColumn("__n", F.count("*").over(w))
-    return picked.where(F.col("__rn") <= F.ceil(F.col("__n") * F.lit(rate))).drop("__rn", "__n")
+    """ceil(n * rate) rows of each group, chosen by digest; a sampling operator. A large group is numbered by buckets of the digest."""
+    placed = digest_places(rows.withColumn("__order", shuffle_key(seed, *key)), "__order", key, "__place", 2, group, "__n")
+    return placed.where(F.col("__place") < F.ceil(F.col("__n") * F.lit(rate))).select(*rows.columns)
 
 
 def sample_at_most(rows: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:

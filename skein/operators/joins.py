@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skein.operators.dedup import top_per_group
+
 
 def paired(left: DataFrame, right: DataFrame, key: str = "key") -> DataFrame:
     return left.join(right, key)
@@ -18,7 +20,8 @@ def unmatched(left: DataFrame, right: DataFrame, key: str = "key") -> DataFrame:
 
 def unmatched_summary(keys: DataFrame, key: str = "key", first: int = 5) -> DataFrame:
     """For each side the number of unmatched keys and the first few of them."""
-    return keys.groupBy("side").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set(key)), 1, first).alias("examples"))
+    shown = top_per_group(keys, ["side"], [key], first).groupBy("side").agg(F.array_sort(F.collect_list(key)).alias("examples"))
+    return keys.groupBy("side").agg(F.count("*").alias("n")).join(shown, "side")
 
 
 def without(rows: DataFrame, names: DataFrame, on: list[str]) -> DataFrame:

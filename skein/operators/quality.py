@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import lexicons as L
-from skein.functions.text import strip, words
+from skein.functions.text import merged_codes, strip, words
 
 
 def unquoted_fillers(text: Column) -> Column:
@@ -16,9 +19,14 @@ def unquoted_fillers(text: Column) -> Column:
 
 
 def novel_words(source: Column, output: Column) -> Column:
-    """How many output words, repeats included, the input does not have."""
-    known = words(F.lower(source))
-    return F.transform(F.array(known), lambda ks: F.size(F.filter(words(F.lower(output)), lambda w: ~F.array_contains(ks, w))))[0]
+    """How many output words, repeats included, the input does not have; words are told apart by 63-bit hashes."""
+    # an input word comes just before its equals of the output
+    step = lambda s, e: F.struct(
+        F.when(e.bitwiseAND(1) == 0, e.bitwiseOR(1)).otherwise(s["known"]).alias("known"),
+        (s["n"] + ((e.bitwiseAND(1) == 1) & (e != s["known"])).cast("int")).alias("n"),
+    )
+    start = F.struct(F.lit(0).cast("long").alias("known"), F.lit(0).alias("n"))
+    return F.aggregate(merged_codes(words(F.lower(source)), words(F.lower(output))), start, step, lambda s: s["n"])
 
 
 def rule_checks(source: Column, output: Column) -> dict[str, Column]:
@@ -65,6 +73,12 @@ def validate(pairs: DataFrame, source: str = "input", output: str = "output") ->
     )
 
 
+def passing(pairs: DataFrame, source: str = "input", output: str = "output") -> DataFrame:
+    """Pairs that break no rule; warnings, which never reject, are not worked out."""
+    s, o = (F.coalesce(F.col(c), F.lit("")) for c in (source, output))
+    return pairs.where(~reduce(or_, rule_checks(s, o).values()))
+
+
 def severity(validated: DataFrame) -> DataFrame:
     """reject if there is a reason, warn if only a warning, else accept."""
     return validated.withColumn("severity", F.when(F.size("reasons") > 0, "reject").when(F.size("warnings") > 0, "warn").otherwise("accept"))
@@ -91,6 +105,11 @@ def reason_counts(validated: DataFrame) -> DataFrame:
     return validated.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
+def rejection_log(validated: DataFrame, order: list[str], n: int = 20) -> DataFrame:
+    """The first n rejected pairs with their reasons: a log with a limit."""
+    return validated.where(F.size("reasons") > 0).select(*order, "reasons", "details").orderBy(*order).limit(n)
+
+
 def severity_counts(validated: DataFrame) -> DataFrame:
     """One row: accepted (with or without warning), rejected, warned, total."""
     return severity(validated).agg(

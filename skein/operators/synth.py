@@ -12,7 +12,7 @@ from functools import reduce
 from operator import add
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.functions import lexicons as L
@@ -45,6 +45,39 @@ def category(text: Column, least: int = 2) -> Column:
     return F.when(best["score"] >= least, best["category"])
 
 
+def eligible(rows: DataFrame) -> DataFrame:
+    """Rows of the categories that clean texts may be turned into messy ones for."""
+    return rows.where(F.col("category").isin(L.CLEAN_TO_MESSY))
+
+
+def category_types(categories: DataFrame) -> DataFrame:
+    """categories with type: core or domain_specific."""
+    return categories.withColumn("type", F.when(F.col("category").isin(L.CORE_CATEGORIES), "core").otherwise("domain_specific"))
+
+
+def queue(counts: DataFrame, target: int, at_once: int = 4) -> DataFrame:
+    """counts (category, n) with state (complete or pending) and wave, the number of the group of ``at_once`` that a pending one runs in.
+
+    Categories are configured, so the window over them has a few rows.
+    """
+    state = counts.withColumn("state", F.when(F.col("n") >= target, "complete").otherwise("pending"))
+    place = F.row_number().over(Window.partitionBy("state").orderBy("category")) - 1
+    return state.withColumn("wave", F.when(F.col("state") == "pending", F.floor(place / at_once).cast("int")))
+
+
+def run_totals(generated: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """Per category and in TOTAL: generated and rejected pairs (by reason), and failed answers.
+
+    generated has category and reason; asked has category and n_pairs of each answer, 0 for a failed one.
+    """
+    made = generated.select("category", F.col("reason").isNull().cast("long").alias("g"), F.col("reason").isNotNull().cast("long").alias("r"), F.lit(0).cast("long").alias("f"))
+    if asked is not None:
+        none = F.lit(0).cast("long")
+        made = made.unionByName(asked.select("category", none.alias("g"), none.alias("r"), (F.col("n_pairs") == 0).cast("long").alias("f")))
+    sums = made.rollup("category").agg(F.sum("g").alias("generated"), F.sum("r").alias("rejected"), F.sum("f").alias("failed"), F.grouping("category").alias("all"))
+    return sums.where("all = 1 or category is not null").select(F.when(F.col("all") == 1, "TOTAL").otherwise(F.col("category")).alias("category"), "generated", "rejected", "failed")
+
+
 def clean_texts(rows: DataFrame, wanted: int, text: str = "text", scan_factor: int = 20) -> DataFrame:
     """Up to ``wanted`` (text, category) of first fitting paragraphs, from a bounded scan."""
     found = rows.limit(scan_factor * wanted).select(first_paragraph(F.col(text)).alias("text"))

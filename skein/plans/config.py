@@ -84,6 +84,18 @@ def load(data: dict[str, Any]) -> Config:
     return cfg
 
 
+def load_yaml(text: str) -> Config:
+    """The configuration of a YAML text; needs the yaml package."""
+    try:
+        import yaml
+    except ImportError as e:
+        raise ImportError("reading YAML needs the yaml package; load() takes a dictionary") from e
+    data = yaml.safe_load(text)
+    if not isinstance(data, dict):
+        raise ValueError("the configuration is not a mapping")
+    return load(data)
+
+
 def broken(cfg: Config) -> list[str]:
     """The invariants that do not hold."""
     ds, synth, val = cfg.dataset, cfg.dataset.synthetic, cfg.dataset.synthetic.validation

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.sources.writers import write_jsonl_file
+
 #: (step, name, needs, flags passed on, part of a full run), in running order.
 STEPS = [
     ("2", "Pull datasets", [], ["force"], True),
@@ -45,6 +47,16 @@ def requested(defs: DataFrame, wanted: list[str] | None) -> DataFrame:
     return defs.where(F.col("step_id").isin(wanted)).orderBy("ord")
 
 
+def dry_run(wanted: DataFrame, done: DataFrame, force: bool = False) -> DataFrame:
+    """(step_id, ord, name, action): what a run would do, with nothing done: run, skip, or wait for needs that are not met."""
+    lacks = missing_dependencies(wanted, done).groupBy("step_id").agg(F.array_join(F.array_sort(F.collect_list("dep")), ", ").alias("lacks"))
+    known = done.select("step_id", F.lit(True).alias("is_done")).distinct()
+    rows = wanted.join(known, "step_id", "left").join(lacks, "step_id", "left")
+    skip = F.lit(False) if force else F.coalesce("is_done", F.lit(False))
+    action = F.when(skip, "skip").when(F.col("lacks").isNotNull(), F.concat(F.lit("needs "), "lacks")).otherwise("run")
+    return rows.select("step_id", "ord", "name", action.alias("action"))
+
+
 def missing_dependencies(wanted: DataFrame, done: DataFrame) -> DataFrame:
     """(step_id, dep): needs of wanted steps that are neither wanted nor done."""
     met = wanted.select(F.col("step_id").alias("dep")).unionByName(done.select(F.col("step_id").alias("dep"))).distinct()
@@ -56,6 +68,51 @@ def done_steps(state: DataFrame, artifacts: DataFrame) -> DataFrame:
     return state.where("status = 'completed'").select("step_id").unionByName(artifacts.select("step_id")).distinct()
 
 
+#: What each step leaves behind, below the project's folder: one file with content is enough.
+ARTIFACTS = {
+    "2": ["data/raw/*.jsonl"],
+    "3": ["data/synthetic/all_synthetic.jsonl"],
+    "3b": ["data/synthetic/validation_report.json"],
+    "4": ["data/combined/train.jsonl"],
+    "5": ["models/base/*/config.json"],
+    "6": ["models/adapters/*/config.json"],
+    "7": ["models/fused/*/config.json", "models/mlx/*/config.json"],
+    "8": ["models/quantized/*/config.json"],
+    "9": ["eval_results/*/eval_summary.json"],
+}
+
+
+def artifacts(spark: SparkSession, root: str) -> DataFrame:
+    """step_id of the steps that left a file with content, in any store that Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = lambda pattern: any(s.isDirectory() or s.getLen() > 0 for s in fs.globStatus(path(f"{root}/{pattern}")) or [])
+    found = [(step,) for step, patterns in ARTIFACTS.items() if any(map(there, patterns))]
+    return spark.createDataFrame(found, "step_id string")
+
+
+STATUSES = ("running", "completed", "failed")
+
+
+def load_state(spark: SparkSession, path: str) -> DataFrame:
+    """The saved state; none where there is no file, or one whose lines are not steps with a known status."""
+    from pyspark.errors import AnalysisException
+
+    none = spark.createDataFrame([], STATE)
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException:
+        return none
+    rows = lines.select(F.from_json("value", STATE, {"mode": "PERMISSIVE"}).alias("s")).select("s.*")
+    odd = rows.where("step_id is null").unionByName(rows.where(~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False))))
+    return none if not odd.isEmpty() else rows
+
+
+def save_state(state: DataFrame, path: str) -> int:
+    """The state as one file of JSON lines, there whole or not at all."""
+    return write_jsonl_file(state, path)
+
+
 def to_run(wanted: DataFrame, done: DataFrame, force: bool = False) -> DataFrame:
     return wanted if force else wanted.join(done.select("step_id"), "step_id", "left_anti").orderBy("ord")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.operators import judge
+from skein.operators.dedup import top_per_group
 from skein.operators.synth import Model, replay, with_retries
 from skein.functions.jsonx import parse_verdicts
 from skein.functions import lexicons as L
@@ -24,13 +25,16 @@ def replayed_verdicts(sample: DataFrame, responses: DataFrame, prompt: Column) -
     return said.select("*", *[F.col("verdict")[c].alias(c) for c in L.CRITERIA]).drop("verdict", "prompt", "raw")
 
 
-def report(verdicts: DataFrame, categories: DataFrame, pass_at: float = 0.85, reject_below: float = 0.70) -> DataFrame:
-    """Per category: rates, decision, the first failures of each criterion, and critical lines."""
+def report(verdicts: DataFrame, categories: DataFrame, pass_at: float = 0.85, reject_below: float = 0.70, first: int = 20) -> DataFrame:
+    """Per category: rates, decision, the first failures of each criterion, how many critical lines there are and the first of them."""
     decided = judge.decide(judge.with_empty(judge.criterion_rates(verdicts), categories), pass_at, reject_below)
     examples = judge.failure_examples(verdicts).groupBy("category", "criterion").agg(F.sort_array(F.collect_list("line_no")).alias("lines"))
     examples = examples.groupBy("category").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("criterion", "lines")))).alias("failures"))
-    critical = judge.critical_lines(verdicts).groupBy("category").agg(F.sort_array(F.collect_list("line_no")).alias("critical"))
-    return decided.join(examples, "category", "left").join(critical, "category", "left")
+    critical = judge.critical_lines(verdicts)
+    shown = top_per_group(critical, ["category"], ["line_no"], first).groupBy("category").agg(F.sort_array(F.collect_list("line_no")).alias("critical"))
+    counted = critical.groupBy("category").agg(F.count("*").alias("n_critical"))
+    full = decided.join(examples, "category", "left").join(counted, "category", "left").join(shown, "category", "left")
+    return full.withColumn("n_critical", F.coalesce("n_critical", F.lit(0)))
 
 
 def gate(pairs: DataFrame, verdicts: DataFrame, pass_at: float = 0.85, reject_below: float = 0.70) -> tuple[DataFrame, DataFrame]:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from skein.functions.text import chat_messages
 from skein.operators.dedup import exact_split, first_occurrences, union_sources
-from skein.operators.quality import severity, validate
+from skein.operators.quality import passing, severity, validate
 from skein.operators.stats import counts_by, length_stats
+from skein.sources.shared import stored
 
 SYSTEM = "Clean up the transcript. Keep its meaning and words, remove fillers, apply corrections."
 ORDER = ["src_rank", "file", "line_no"]
@@ -32,10 +33,11 @@ class Prepared:
 
 def prepare(*sources: DataFrame, seed: int = 42, train: float = 0.90, valid: float = 0.05) -> Prepared:
     """Sources in order of rank; a rejected first copy lets a later one stand, as rules come before dedup."""
-    validated = severity(validate(union_sources(*sources)))
-    if validated.isEmpty():
+    pairs = union_sources(*sources)
+    if pairs.isEmpty():
         raise ValueError("no pairs")
-    accepted = first_occurrences(validated.where("severity <> 'reject'"), ORDER).drop("reasons", "details", "warnings", "severity")
+    validated = severity(validate(pairs))
+    accepted = stored(first_occurrences(passing(pairs), ORDER), "accepted")
     split = exact_split(accepted, ORDER, seed, train, valid)
     return Prepared(validated, accepted, split)
 

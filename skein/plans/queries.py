@@ -20,6 +20,7 @@ from skein.operators import compare, dedup, evaluation, joins, judge, quality, s
 from skein.plans import control
 from skein.plans import fixtures as X
 from skein.plans.prepare import SYSTEM
+from skein.sources.shared import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -158,9 +159,11 @@ _REASONS = {
     "fillers": has(marked("regexp_replace(o, '\"[^\"]*\"', '', 'g')"), "(?i)" + word("um", "uh", "uhh", "umm")),
     "think_tag": has("o", "(?i)</?think>"),
 }
-_CHECKED = f"""SELECT *, list_filter([{", ".join(f"CASE WHEN {c} THEN '{k}' END" for k, c in _REASONS.items())}], lambda x: x IS NOT NULL) AS reasons,
-  len({tokens('lower(o)')}) AS n_out, len(list_filter({tokens('lower(o)')}, lambda w: NOT list_contains({tokens('lower(i)')}, w))) AS n_new
+_REASONED = f"""SELECT *, list_filter([{", ".join(f"CASE WHEN {c} THEN '{k}' END" for k, c in _REASONS.items())}], lambda x: x IS NOT NULL) AS reasons
   FROM (SELECT *, {strip('input')} AS i, {strip('output')} AS o FROM {P})"""
+_NOVEL = f"""SELECT o.line_no, count(*) AS n_out, count(*) FILTER (WHERE i.w IS NULL) AS n_new FROM (SELECT line_no, unnest({tokens('lower(output)')}) AS w FROM {P}) o
+  LEFT JOIN (SELECT DISTINCT line_no, unnest({tokens('lower(input)')}) AS w FROM {P}) i ON o.line_no = i.line_no AND o.w = i.w GROUP BY o.line_no"""
+_CHECKED = f"SELECT r.*, coalesce(n_out, 0) AS n_out, coalesce(n_new, 0) AS n_new FROM ({_REASONED}) r LEFT JOIN ({_NOVEL}) v ON r.line_no = v.line_no"
 _WARNED = "i <> '' AND n_out > 0 AND n_new::DOUBLE / n_out > 0.2::DOUBLE"
 
 
@@ -169,7 +172,7 @@ def _(p):
     return quality.validate(p).select("line_no", F.array_join("reasons", ",").alias("reasons"), (F.size("warnings") > 0).alias("warned"))
 
 
-@query("quality_reason_hist", X.PAIRS, f"SELECT reason, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM ({_CHECKED})) GROUP BY 1")
+@query("quality_reason_hist", X.PAIRS, f"SELECT reason, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM ({_REASONED})) GROUP BY 1")
 def _(p):
     return quality.reason_counts(quality.validate(p))
 
@@ -183,7 +186,7 @@ def _(p):
     return quality.severity_counts(quality.validate(p))
 
 
-@query("novel_words", X.PAIRS, f"SELECT line_no, n_new AS novel, n_out AS total FROM ({_CHECKED})")
+@query("novel_words", X.PAIRS, f"SELECT line_no, CAST(n_new AS BIGINT) AS novel, CAST(n_out AS BIGINT) AS total FROM ({_CHECKED})")
 def _(p):
     return p.select("line_no", quality.novel_words(F.col("input"), F.col("output")).cast("long").alias("novel"), F.size(T.words(F.col("output"))).cast("long").alias("total"))
 
@@ -215,7 +218,7 @@ def _(p):
     return dedup.exact_split(p, ["line_no"]).groupBy("split").agg(F.count("*").alias("n"))
 
 
-_GOOD = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key('input')} ORDER BY line_no) AS rn FROM ({_CHECKED}) WHERE len(reasons) = 0) WHERE rn = 1"
+_GOOD = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key('input')} ORDER BY line_no) AS rn FROM ({_REASONED}) WHERE len(reasons) = 0) WHERE rn = 1"
 _CHAT = f"""WITH good AS ({_GOOD}), placed AS (SELECT *, row_number() OVER (ORDER BY md5(concat('42|', line_no)), line_no) - 1 AS place, count(*) OVER () AS n FROM good)
 SELECT line_no, CASE WHEN place < floor(n * 0.9::DOUBLE) THEN 'train' WHEN place < floor(n * 0.9::DOUBLE) + floor(n * 0.05::DOUBLE) THEN 'valid' ELSE 'test' END AS split, m.pos, m.role, m.content
 FROM placed, LATERAL (VALUES (0, 'system', '{SYSTEM}'), (1, 'user', input), (2, 'assistant', output)) m(pos, role, content)"""
@@ -224,8 +227,8 @@ FROM placed, LATERAL (VALUES (0, 'system', '{SYSTEM}'), (1, 'user', input), (2,
 @query("chat_records", X.PAIRS, _CHAT)
 def _(p):
     """The flagship: rules, dedup, exact split, chat messages."""
-    good = quality.severity(quality.validate(p)).where("severity <> 'reject'")
-    split = dedup.exact_split(dedup.first_occurrences(good, ["line_no"]).select("line_no", "input", "output"), ["line_no"])
+    good = dedup.first_occurrences(quality.passing(p), ["line_no"]).select("line_no", "input", "output")
+    split = dedup.exact_split(stored(good, "accepted"), ["line_no"])
     return split.select("line_no", "split", F.posexplode(T.chat_messages(SYSTEM, F.col("input"), F.col("output"))).alias("pos", "m")).select("line_no", "split", "pos", "m.role", "m.content")
 
 
@@ -274,10 +277,12 @@ def _(p):
 # --- joins
 
 def _stems(p, k, name):
-    return p.where(F.col("line_no") % k != 0).select(F.concat(F.lit("d/"), F.col("line_no").cast("string")).alias("key"), F.length(name).alias(name))
+    """All rows, of which every k-th has a key of its own side."""
+    folder = F.when(F.col("line_no") % k == 0, F.lit(f"{name}/")).otherwise(F.lit("d/"))
+    return p.select(F.concat(folder, F.col("line_no").cast("string")).alias("key"), F.length(name).alias(name))
 
 
-_L, _R = (f"(SELECT concat('d/', line_no) AS key, length({c}) AS {c} FROM {P} WHERE line_no % {k} <> 0)" for k, c in ((3, "input"), (5, "output")))
+_L, _R = (f"(SELECT concat(CASE WHEN line_no % {k} = 0 THEN '{c}/' ELSE 'd/' END, line_no) AS key, length({c}) AS {c} FROM {P})" for k, c in ((3, "input"), (5, "output")))
 
 
 @query("stem_inner", X.PAIRS, f"SELECT key, CAST(input AS INT) AS input, CAST(output AS INT) AS output FROM {_L} JOIN {_R} USING (key)")
@@ -459,11 +464,11 @@ def _list(ws: list[str]) -> str:
     return "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(ws)) + "]"
 
 
-@query(
-    "preservation",
-    X.PAIRS,
-    f"SELECT line_no, CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(a, b))::DOUBLE / len(a) END AS preservation FROM (SELECT line_no, list_filter({_letters('input', 4)}, lambda w: NOT list_contains({_list(L.PRESERVATION_STOPWORDS)}, w)) AS a, {_letters('output', 4)} AS b FROM {P})",
-)
+_PRESERVED = (
+    f"SELECT line_no, CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(a, b))::DOUBLE / len(a) END AS preservation FROM (SELECT line_no, list_filter({_letters('input', 4)}, lambda w: NOT list_contains({_list(L.PRESERVATION_STOPWORDS)}, w)) AS a, {_letters('output', 4)} AS b FROM {P})")
+
+
+@query("preservation", X.PAIRS, _PRESERVED)
 def _(p):
     return p.select("line_no", T.preservation(F.col("input"), F.col("output")).alias("preservation"))
 
@@ -498,11 +503,11 @@ def _(p):
     return stats.profile(_sided(p), ["category", "dataset"])
 
 
-@query(
-    "vocab_diversity",
-    X.PAIRS,
-    f"SELECT category, dataset, count(DISTINCT w)::DOUBLE / count(*) AS vocab_diversity FROM (SELECT category, dataset, unnest(regexp_extract_all(lower(input), '[\\p{{L}}\\p{{N}}_]+')) AS w FROM (SELECT *, row_number() OVER (PARTITION BY category, dataset ORDER BY line_no) AS rn FROM ({_SIDED})) WHERE rn <= 100) GROUP BY ALL",
-)
+_VOCABULARY = (
+    f"SELECT category, dataset, count(DISTINCT w)::DOUBLE / count(*) AS vocab_diversity FROM (SELECT category, dataset, unnest(regexp_extract_all(lower(input), '[\\p{{L}}\\p{{N}}_]+')) AS w FROM (SELECT *, row_number() OVER (PARTITION BY category, dataset ORDER BY line_no) AS rn FROM ({_SIDED})) WHERE rn <= 100) GROUP BY ALL")
+
+
+@query("vocab_diversity", X.PAIRS, _VOCABULARY)
 def _(p):
     return stats.vocabulary(_sided(p), ["category", "dataset"], ["line_no"])
 
@@ -522,7 +527,43 @@ def _(p):
     return compare.metric_winners(stats.profile(_sided(p), ["category", "dataset"]), "dataset", "script", "prompt", _METRICS)
 
 
-@query("verdicts", X.PAIRS)
+def _more(x: str, y: str, margin: float) -> str:
+    return f"CASE WHEN {x} > {y} + {margin}::DOUBLE THEN 1 WHEN {y} > {x} + {margin}::DOUBLE THEN -1 ELSE 0 END"
+
+
+def _both(c: str) -> tuple[str, str]:
+    return f"coalesce(a.{c}, 0)", f"coalesce(b.{c}, 0)"
+
+
+_POINTS = [
+    _more(*(f"coalesce({t}.mid::DOUBLE / nullif({t}.mid + {t}.boundary, 0), 0)" for t in "ab"), 0.1),
+    _more(*_both("avg_corrections"), 0.3),
+    _more(*_both("caps")[::-1], 10),
+    _more(*_both("left_over")[::-1], 0),
+    _more(*_both("kept"), 0.05),
+    _more(*_both("input_length_cv"), 0.1),
+    _more(*_both("vocab_diversity"), 0.02),
+    _more(*(f"abs(coalesce({t}.avg_filler_density, 0) - 5.5::DOUBLE)" for t in "ba"), 1),
+    *(f"CASE WHEN {x} > {y} * {k}::DOUBLE THEN 1 WHEN {y} > {x} * {k}::DOUBLE THEN -1 ELSE 0 END" for k, (x, y) in ((2, _both("count")), (1.5, _both("avg_input_words")))),
+]
+
+
+@query(
+    "verdicts",
+    X.PAIRS,
+    f"""WITH places AS (SELECT line_no, len(list_filter(x, lambda v: v = 1)) AS boundary, len(list_filter(x, lambda v: v = 0)) AS mid FROM (SELECT line_no, {_PLACES} AS x FROM {P})),
+    smell AS (SELECT line_no, round(coalesce(len(list_filter(s, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) * 100.0::DOUBLE / nullif(len(s), 0), 0), 1) AS caps
+      FROM (SELECT line_no, list_filter(list_transform(string_split_regex(input, '[.!?]+'), lambda x: {strip('x')}), lambda x: x <> '') AS s FROM {P})),
+    rest AS (SELECT line_no, {n_matches(marked('lower(output)'), word('um', 'uh', 'basically', 'literally'), phrase('you know'))} AS n FROM {P}),
+    kept AS (SELECT line_no, round(preservation, 3) AS kept FROM ({_PRESERVED})),
+    sample AS (SELECT category, dataset, sum(mid) AS mid, sum(boundary) AS boundary, avg(caps) AS caps, sum(n) AS left_over, avg(kept) AS kept
+      FROM ({_SIDED}) JOIN places USING (line_no) JOIN smell USING (line_no) JOIN rest USING (line_no) JOIN kept USING (line_no) GROUP BY category, dataset),
+    figures AS (SELECT * FROM ({_PROFILE}) JOIN sample USING (category, dataset) JOIN ({_VOCABULARY}) USING (category, dataset)),
+    points AS (SELECT coalesce(a.category, b.category) AS category, [{", ".join(_POINTS)}] AS p
+      FROM (SELECT * FROM figures WHERE dataset = 'script') a FULL JOIN (SELECT * FROM figures WHERE dataset = 'prompt') b ON a.category = b.category),
+    scored AS (SELECT category, CAST(len(list_filter(p, lambda x: x = 1)) AS INT) AS score_a, CAST(len(list_filter(p, lambda x: x = -1)) AS INT) AS score_b FROM points)
+    SELECT *, CASE WHEN score_a - score_b > 1 THEN 'A_BETTER' WHEN score_a - score_b < -1 THEN 'B_BETTER' ELSE 'TIE' END AS verdict FROM scored""",
+)
 def _(p):
     s = _sided(p)
     by = ["category", "dataset"]
@@ -672,10 +713,10 @@ def _(e):
     return evaluation.latency(e)
 
 
-@query("precision_compare", X.EVALUATION, f"SELECT index AS idx, expected = raw_generated AS identical, round(length(raw_generated)::DOUBLE / nullif(length(expected), 0), 6) AS length_ratio FROM {E}")
+@query("precision_compare", X.EVALUATION, f"SELECT index AS idx, expected = raw_generated AS identical, round(length(raw_generated)::DOUBLE / nullif(length(expected), 0), 6) AS length_ratio, coalesce(length(raw_generated)::DOUBLE / nullif(length(expected), 0) NOT BETWEEN 0.3 AND 3.0, false) AS length_off, trim(expected) <> '' AND trim(raw_generated) = '' AS emptied FROM {E}")
 def _(e):
     found = evaluation.compare_precisions(e.select(F.col("index").alias("idx"), F.col("expected").alias("text")), e.select(F.col("index").alias("idx"), F.col("raw_generated").alias("text")))
-    return found.select("idx", "identical", F.round("length_ratio", 6).alias("length_ratio"))
+    return found.select("idx", "identical", F.round("length_ratio", 6).alias("length_ratio"), "length_off", "emptied")
 
 
 # --- the judge gate
@@ -732,10 +773,12 @@ def _(v):
 @query(
     "suggestions",
     X.VERDICTS,
-    "SELECT category, criterion, rate FROM (" + " UNION ALL ".join(f"SELECT category, '{c}' AS criterion, {c}_rate AS rate FROM ({_RATES})" for c in L.CRITERIA) + ") WHERE rate < 0.9",
+    "SELECT category, criterion, rate, suggestion FROM ("
+    + " UNION ALL ".join(f"SELECT category, '{c}' AS criterion, {c}_rate AS rate, '{L.SUGGESTIONS[c].replace(chr(39), chr(39) * 2)}' AS suggestion FROM ({_RATES})" for c in L.CRITERIA)
+    + ") WHERE rate < 0.9",
 )
 def _(v):
-    return judge.suggestions(judge.criterion_rates(_sampled(v)), v.sparkSession).select("category", "criterion", "rate")
+    return judge.suggestions(judge.criterion_rates(_sampled(v)), v.sparkSession).select("category", "criterion", "rate", "suggestion")
 
 
 @query(
@@ -758,7 +801,7 @@ def _(log):
     return training.parse_log(log)
 
 
-@query("best_checkpoint", X.LOG, f"SELECT (SELECT iter FROM ({_PARSED}) WHERE val_loss IS NOT NULL ORDER BY val_loss, iter LIMIT 1) AS best_iter, (SELECT min(val_loss) FROM ({_PARSED})) AS best_val_loss, (SELECT train_loss FROM ({_PARSED}) WHERE train_loss IS NOT NULL ORDER BY iter DESC LIMIT 1) AS last_train_loss")
+@query("best_iteration", X.LOG, f"SELECT (SELECT iter FROM ({_PARSED}) WHERE val_loss IS NOT NULL ORDER BY val_loss, iter LIMIT 1) AS best_iter, (SELECT min(val_loss) FROM ({_PARSED})) AS best_val_loss, (SELECT train_loss FROM ({_PARSED}) WHERE train_loss IS NOT NULL ORDER BY iter DESC LIMIT 1) AS last_train_loss")
 def _(log):
     return training.best_iteration(training.parse_log(log))
 
@@ -835,3 +878,6 @@ def _(spark, d):
     work = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     run_available(distinct_stream(found.select(F.col("text").alias("input"))), f"{work}/out", f"{work}/checkpoint")
     return spark.read.schema("input string, dedup_key string").parquet(f"{work}/out").agg(F.count("*").alias("n_distinct"), F.sum(F.length(T.dedup_key(F.col("input")))).alias("chars"))
+
+
+from skein.plans import io_queries  # noqa: E402, F401  registers more queries

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.functions.jsonx import strict_strings
@@ -18,13 +18,16 @@ def file_stem(path: Column) -> Column:
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, stem, line_no, value) of text files; numbers are those of physical lines, from 1.
 
-    A file is read whole, as the line files here are small next to a partition;
-    ``lines`` reads large ones without numbers.
+    Files are split as Spark likes. Each split's lines are counted, and a line's
+    number is the lines of the splits before its own and its place there; only
+    the counts, a row for each split, are shuffled and sent out.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    each = files.select("path", F.posexplode(F.split("value", "\n")).alias("pos", "value"))
-    stem = file_stem(F.col("path"))
-    return each.select(F.element_at(F.split("path", "/"), -1).alias("file"), stem.alias("stem"), (F.col("pos") + 1).cast("long").alias("line_no"), "value")
+    each = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+    blocks = each.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("block")) - F.col("n")
+    placed = each.join(F.broadcast(blocks.select("path", "block", "first", before.alias("before"))), ["path", "block"])
+    line_no = F.col("before") + F.col("id") - F.col("first") + 1
+    return placed.select(F.element_at(F.split("path", "/"), -1).alias("file"), file_stem(F.col("path")).alias("stem"), line_no.cast("long").alias("line_no"), "value")
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -106,6 +109,40 @@ def first_prompts(rows: DataFrame, fallback: DataFrame, k: int = 5) -> DataFrame
     return some.orderBy("o", "ord").limit(k).select("prompt")
 
 
+#: Folders of the two sides of paired text files (fixed values).
+MESSY_FOLDER, CLEAN_FOLDER = "whisper-transcripts", "manual-cleanups"
+
+
+def source_root(spark: SparkSession, root: str) -> str:
+    """The folder that holds both sides' folders: ``data`` or ``dataset/data`` below root, else the first that is found level by level."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    both = lambda f: all(fs.exists(path(f"{f}/{side}")) for side in (MESSY_FOLDER, CLEAN_FOLDER))
+    if found := next((f for f in (f"{root}/data", f"{root}/dataset/data") if both(f)), None):
+        return found
+    level = [root]
+    while level:
+        if found := next((f for f in level if both(f)), None):
+            return found
+        level = sorted(s.getPath().toString() for f in level for s in fs.listStatus(path(f)) if s.isDirectory())
+    raise FileNotFoundError(f"no folder below {root} holds {MESSY_FOLDER} and {CLEAN_FOLDER}")
+
+
+def given_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs to judge (pair_index from 0, input, output) of numbered lines that are pairs; the judge's input without files."""
+    parsed = rows.withColumn("p", strict_strings(F.col("value"), ["input", "output"])).where("p is not null")
+    return parsed.select((F.col("line_no") - 1).cast("int").alias("pair_index"), "p.input", "p.output")
+
+
+def split_problems(rows: DataFrame, wanted: tuple[str, ...] = ("train", "valid")) -> DataFrame:
+    """(split, problem): wanted splits of rows (split, line_no, value) that are not there, or whose first line is no chat record."""
+    splits = rows.sparkSession.createDataFrame([(s,) for s in wanted], "split string")
+    firsts = rows.groupBy("split").agg(F.min_by("value", "line_no").alias("value"))
+    found = splits.join(firsts, "split", "left")
+    good = F.coalesce(F.size(F.from_json("value", CHAT)["messages"]) > 0, F.lit(False))
+    return found.select("split", F.when(F.col("value").isNull(), "missing").when(~good, "no chat record").alias("problem")).where("problem is not null")
+
+
 def sides(script: DataFrame, prompt: DataFrame, names: tuple[str, str] = ("script", "prompt")) -> DataFrame:
     """Two corpora as one, with dataset."""
     return script.withColumn("dataset", F.lit(names[0])).unionByName(prompt.withColumn("dataset", F.lit(names[1])), allowMissingColumns=True)

@@ -3,16 +3,25 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a folder of its own on a local master where that is unset."""
+    """spark.checkpoint.dir; a folder of its own where that is unset and driver and executors are one process."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     own = "file://" + tempfile.mkdtemp(prefix="skein-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written as a table in the shared folder: what reads it more than once computes it once, and so after executors are lost."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -16,6 +18,30 @@ def write_jsonl(rows: DataFrame, path: str, columns: list[str] | None = None, mo
     return seen.get["n"]
 
 
+def write_jsonl_file(rows: DataFrame, path: str, columns: list[str] | None = None) -> int:
+    """Rows as the lines of one file, which is there whole or not at all; one task writes it.
+
+    For outputs that have to be a single file, such as a category's. It is
+    written beside its place and renamed; what an error leaves is removed.
+    """
+    spark = rows.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    to, beside = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.{uuid.uuid4().hex}.tmp"))
+    fs = to.getFileSystem(conf)
+    try:
+        n = write_jsonl(rows.coalesce(1), beside.toString(), columns)
+        part = next((s.getPath() for s in fs.listStatus(beside) if s.getPath().getName().startswith("part-")), None)
+        fs.mkdirs(to.getParent())
+        fs.delete(to, False)
+        if part is None:
+            fs.create(to).close()
+        elif not fs.rename(part, to):
+            raise OSError(f"could not move lines to {path}")
+        return n
+    finally:
+        fs.delete(beside, True)
+
+
 def append_pairs(pairs: DataFrame, path: str) -> None:
     """Pairs appended to their category's folder."""
     pairs.write.mode("append").partitionBy("category").json(path)

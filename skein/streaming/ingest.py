@@ -39,6 +39,14 @@ def best_loss_stream(spark: SparkSession, folder: str) -> DataFrame:
     return lines.withColumn("r", log_record(F.col("value"))).where("r.val_loss is not null").agg(F.min("r.val_loss").alias("best_val_loss"), F.min_by("r.iter", "r.val_loss").alias("best_iter"))
 
 
+def run_complete(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """An aggregate's whole result after each micro-batch, as Parquet in place of the one before."""
+    write = lambda batch, _: batch.write.mode("overwrite").parquet(path)
+    query = stream.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def for_each_batch(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Each micro-batch to a function, such as an upsert of step state."""
     query = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

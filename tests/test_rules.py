@@ -1,5 +1,8 @@
 """Golden rows of rules, features, metrics, JSON and logs."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,6 +39,33 @@ def test_added_content_is_a_warning(spark):
     assert [r.severity for r in got] == ["accept", "warn", "accept", "accept"]
 
 
+def test_word_counts_equal_brute_force(spark):
+    rng = random.Random(1)
+    vocabulary = [a + b for a in ("gard", "tree", "wood", "s", "red", "sing") for b in ("", "s", "ed", "ing", "ss", "deed", "en")]
+    rows = [(" ".join(rng.choices(vocabulary, k=rng.randint(0, 30))), " ".join(rng.choices(vocabulary, k=rng.randint(0, 30)))) for _ in range(60)]
+    rows += [("a " * 9000, "b a " * 8000)]  # a long text costs a sort, not a product
+
+    def near(w, known):
+        return any(f in known for f in (w, w + "s", w.rstrip("s"), w + "ed", w + "ing", w.rstrip("ed"), w.rstrip("ing")))
+
+    got = pairs(spark, *rows).select("k", quality.novel_words(F.col("input"), F.col("output")).alias("n"), T.made_up_words(F.col("input"), F.col("output")).alias("m"), M.bleu_parts(F.col("output"), F.col("input")).alias("p"))
+    for r in got.collect():
+        i, o = (x.split() for x in rows[r.k])
+        assert r.n == sum(w not in set(i) for w in o)
+        known = {w for w in i if len(w) >= 3}
+        assert r.m == [w for w in dict.fromkeys(o) if len(w) >= 5 and not near(w, known)]
+        grams = lambda ws, n: Counter(zip(*(ws[j:] for j in range(n)), strict=False))
+        assert [r.p[f"n{n}"] for n in range(1, 5)] == [sum((grams(i, n) & grams(o, n)).values()) for n in range(1, 5)]
+
+
+def test_edit_distance_equals_levenshtein(spark):
+    rng = random.Random(6)
+    rows = [("", ""), ("", "abc"), ("abc", "abc"), ("aaa", "aa"), ("abab", "ab"), ("é🙂x", "é🙂yx"), ("kitten", "sitting"), (None, "a")]
+    rows += [("".join(rng.choices("ab", k=rng.randint(0, 9))), "".join(rng.choices("ab", k=rng.randint(0, 9)))) for _ in range(200)]
+    got = pairs(spark, *rows).select(M.edit_distance(F.col("input"), F.col("output")).alias("d"), F.levenshtein("input", "output").alias("want"))
+    assert all(r.d == r.want for r in got.collect())
+
+
 def test_first_reason(spark):
     rows = [(None, "x", "empty_transcript"), ("a", "  ", "empty_output"), ("abc", "abcdefg", "too_long"), ("ab cd ef", "you know it", "fillers"), ("abc", "abcdef", None), ("I think so", "I mean it", "fillers")]
     got = pairs(spark, *[(a, b) for a, b, _ in rows]).select("k", quality.first_reason(F.col("input"), F.col("output")).alias("r")).orderBy("k").collect()
