@@ -268,6 +268,28 @@ def _(e):
     return evaluation.sanity(shown).select("index", F.array_join("problems", ",").alias("problems"))
 
 
+_FEW = "SELECT index, list_slice({}, 1, 20) AS g, list_slice({}, 1, 20) AS e FROM {}".format(tokens("raw_generated"), tokens("expected"), E)
+_CODES = "array_to_string(list_transform({}, lambda w: chr(CAST(32 + list_position(list_distinct(list_concat(e, g)), w) AS INT))), '')"
+
+
+@query("wer", X.EVALUATION, f"SELECT index, round(CASE WHEN len(e) = 0 THEN (len(g) > 0)::INT::DOUBLE ELSE levenshtein({_CODES.format('g')}, {_CODES.format('e')})::DOUBLE / len(e) END, 6) AS wer FROM ({_FEW})")
+def _(e):
+    """Of the first twenty words: edit distances of the SQL's engine count bytes, and so many words have codes of one."""
+    few = lambda c: F.array_join(F.slice(T.words(F.col(c)), 1, 20), " ")
+    return e.select("index", F.round(M.wer(few("raw_generated"), few("expected")), 6).alias("wer"))
+
+
+@query("optional_metadata", X.PAIRS, f"SELECT CAST(count(*) AS BIGINT) AS pairs, CAST(min(line_no) AS BIGINT) AS first FROM {P}")
+def _(p):
+    """A report read back if it is there; one that is not there, and one that is broken, are none."""
+    spark, path = p.sparkSession, folder(p.sparkSession)
+    writers.write_jsonl_file(p.agg(F.count("*").alias("pairs"), F.min("line_no").alias("first")), f"{path}/report.json")
+    spark.createDataFrame([("{broken",)], "value string").write.text(f"{path}/broken.json")
+    if readers.optional_json(spark, f"{path}/none.json") is not None or readers.optional_json(spark, f"{path}/broken.json") is not None:
+        raise ValueError("a report that cannot be read was read")
+    return readers.optional_json(spark, f"{path}/report.json").select("pairs", "first")
+
+
 @query("listing_megabytes", X.PAIRS, f"SELECT sum(length(input)) / 1048576::DOUBLE AS mb FROM {P}")
 def _(p):
     return stats.directory_size(p.select(F.length("input").cast("long").alias("length")))
@@ -352,6 +374,21 @@ def _(p):
     return p.select("line_no", J.has_keys(raw, "quantization", "quantization_config").alias("quantized"))
 
 
+@query("judged_pairs", X.PAIRS, f"SELECT line_no, contains(CAST(line_no AS VARCHAR), '7') AS parse_error, CASE WHEN NOT contains(CAST(line_no AS VARCHAR), '7') THEN contains(CAST(line_no AS VARCHAR), '1') END AS no_hallucination FROM {P}")
+def _(p):
+    """A judge that gives no answer for numbers with a 7 and finds fault with those without a 1."""
+
+    def model(prompts: list[str]) -> list[str | None]:
+        return [None if "7" in x else "<think>x</think> " + json.dumps({c: c != "no_hallucination" or "1" in x for c in L.CRITERIA}) for x in prompts]
+
+    return judge.judge_pairs(p.select("line_no"), model, F.col("line_no").cast("string")).select("line_no", "parse_error", "no_hallucination")
+
+
+@query("answer_or_reasoning", X.PAIRS, f"SELECT line_no, CASE WHEN output <> '' THEN left(output, 50) ELSE category END AS answer FROM {P}")
+def _(p):
+    return p.select("line_no", synth.answer_or_reasoning(F.when(F.col("output") != "", F.left("output", F.lit(50))), F.col("category")).alias("answer"))
+
+
 # --- control tables
 
 
@@ -379,6 +416,12 @@ def _(spark, d):
     return control.load_state(spark, path).select("step_id", "status", "duration_seconds", "error")
 
 
+@query("step_commands", None, "SELECT * FROM (VALUES ('3', '--synthetic-samples 50 --force'), ('6', '--model a --force --resume'), ('10', '--model a --force')) v(step_id, arguments)")
+def _(spark, d):
+    flags = {"synthetic_samples": 50, "model": "a", "force": True, "resume": True, "base": False, "yes": None}
+    return spark.createDataFrame([(s, " ".join(control.command(s, flags))) for s in ("3", "6", "10")], "step_id string, arguments string")
+
+
 @query("step_artifacts", X.PAIRS, "SELECT step_id FROM (VALUES ('2'), ('4')) v(step_id)")
 def _(p):
     root = folder(p.sparkSession)
