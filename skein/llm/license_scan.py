@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.license_texts import KNOWN, SPELLINGS
+from skein.llm.license_texts import DIGESTS, KNOWN, SPELLINGS
 
 #: Lines that only name who holds the rights.
 RIGHTS_LINE = r"(?m)^[ \t*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
@@ -45,23 +45,22 @@ def canonical_lines(text: Column) -> Column:
     return F.filter(lines, lambda line: line != "")
 
 
-def known_digests(known: DataFrame) -> DataFrame:
-    """(digest, license_id, n_chars) of a table of (license_id, text)."""
+def known_digests(known: DataFrame, digests: DataFrame | None = None) -> DataFrame:
+    """(digest, license_id, n_chars) of a table of (license_id, text), and of digests (license_id, digest, n_chars) found before."""
     whole = known.select("license_id", F.array_join(canonical_lines(F.col("text")), " ").alias("canonical"))
-    return (
-        whole.where("license_id is not null and canonical <> ''")
-        .groupBy(F.sha2("canonical", 256).alias("digest"))
-        .agg(F.min("license_id").alias("license_id"), F.min(F.length("canonical")).alias("n_chars"))
-    )
+    each = whole.where("license_id is not null and canonical <> ''").select("license_id", F.sha2("canonical", 256).alias("digest"), F.length("canonical").alias("n_chars"))
+    if digests is not None:
+        each = each.unionByName(digests)
+    return each.groupBy("digest").agg(F.min("license_id").alias("license_id"), F.min("n_chars").alias("n_chars"))
 
 
-def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: DataFrame | None = None) -> DataFrame:
     """Per row of docs: its id, canonical_sha256, license_id (entire text) and notices.
 
-    ``known`` has license_id and text. notices: the sorted, comma-joined ids
+    ``known`` has license_id and text, ``digests`` those whose texts are not at hand. notices: the sorted, comma-joined ids
     found as entire lines, '' if none; n_notices counts those lines.
     """
-    digests = known_digests(known)
+    digests = known_digests(known, digests)
     spark = docs.sparkSession
     bound = digests.agg(F.count("*").alias("n"), F.collect_set("n_chars").alias("lengths")).first()
     if bound["n"] <= BROADCAST_ROWS:
@@ -103,8 +102,12 @@ def known_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(KNOWN, "license_id string, text string")
 
 
+def digest_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(DIGESTS, "license_id string, digest string, n_chars int")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"), known_table(spark))
+    return scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"), known_table(spark), digests=digest_table(spark))
 
 
 def _duck_canonical(text: str) -> str:
@@ -120,12 +123,13 @@ def _duck_canonical(text: str) -> str:
 
 def oracle() -> str:
     values = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in KNOWN)
+    digests = ", ".join(f"('{i}', '{d}')" for i, d, _ in DIGESTS)
     return f"""
     WITH given(license_id, text) AS (VALUES {values}),
     known AS (
-      SELECT sha256(c) AS digest, min(license_id) AS license_id
-      FROM (SELECT license_id, array_to_string({_duck_canonical("text")}, ' ') AS c FROM given)
-      WHERE c <> '' GROUP BY 1),
+      SELECT digest, min(license_id) AS license_id FROM (
+        SELECT sha256(c) AS digest, license_id FROM (SELECT license_id, array_to_string({_duck_canonical("text")}, ' ') AS c FROM given) WHERE c <> ''
+        UNION ALL SELECT d, i FROM (VALUES {digests}) v(i, d)) GROUP BY 1),
     lines AS (SELECT row_number() OVER () AS r, doc_id, {_duck_canonical("text")} AS ls FROM documents),
     whole AS (
       SELECT r, doc_id, CASE WHEN len(ls) > 0 THEN sha256(array_to_string(ls, ' ')) END AS digest FROM lines),

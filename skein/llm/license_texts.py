@@ -106,3 +106,21 @@ SPELLINGS = [
     ("whilst", "while"),
     ("wilful", "willful"),
 ]
+
+#: (license_id, SHA-256 of the canonical form, its characters) of long licences, by their entire texts as
+#: operating systems ship them. The canonical form is that of ``license_scan``; a change there needs new digests.
+DIGESTS = [
+    ("Apache-2.0", "d2178e92cbb87e459107d02d99e9c6827b24e011439438cbe52883b73891bd5d", 9706),
+    ("Artistic-1.0-Perl", "7f6863721cbad28fddd745316da078e38412ab995636d0df06ea0237759bfb2c", 5683),
+    ("CC0-1.0", "8a58796fb749d87126983cebc26e6619b99601332e2fee24acbad509518cad3f", 6692),
+    ("GFDL-1.2", "50516456b02d21f3eddc795284661170883e70f6d17ae784f9179cae739d38b7", 19510),
+    ("GFDL-1.3", "5088e9395e3dcb3233d7f0bb02cbbb2fbe4a5065ec192be935776131bb442272", 21879),
+    ("GPL-1.0-only", "b6f369bdd84e6de75aa454489b778914b3d31b942699818c08c8b6b8e362011e", 11765),
+    ("GPL-2.0-only", "28275dd192e4e55f2fcae452e90ec3ebe58eed4ee36b3c38a62a89920f0ec3be", 17053),
+    ("GPL-3.0-only", "1b0b0d7dbac76d952315890d85414673e9adaab0688350940e4ff4ddd3a542d0", 33277),
+    ("LGPL-2.0-only", "e5df50b6f8ed705412d661476dd4dfbce14c85659dd45bea6f08ff618b7070bc", 23937),
+    ("LGPL-2.1-only", "89a8c43c15449e078893f13da81066858babb66cf2ee35756e9429b1c1279c97", 25024),
+    ("LGPL-3.0-only", "9111884d93a72b30a3d024876dab3d755949ac2cfab230268a4169a93b86560c", 7104),
+    ("MPL-1.1", "05f9edf363f16ae3f8cc9aeff1e9dfd9aa993ecaf65a0fcf18263c51a272543a", 22340),
+    ("MPL-2.0", "88b06c62211af6dc8c37d9eece56c91b643d4359669fbd9f658f1945205c47bb", 14272),
+]
