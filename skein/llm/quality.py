@@ -7,8 +7,8 @@ chunks, which cover the whole text, are combined into one probability that the
 text is good. Nothing but the text is an input.
 
 The network is fitted here, on a bounded sample of labelled rows (``PER_CLASS``
-of each class, the first in the order of a hash of the id among those that have
-a text of up to ``LONGEST`` bytes); held-out ids never are in the sample. Scoring reads every whole text, block by block.
+of each class: of the first ``CANDIDATES`` times as many in the order of a hash of
+the id, the first that have a text of up to ``LONGEST`` bytes); held-out ids never are in it. Scoring reads every whole text, block by block.
 
 Defined results: null counts as empty text; an empty text has one chunk of
 padding and is scored like any other. Labels that are null, or that
@@ -34,6 +34,8 @@ FILTERS, WIDTH = 8, 6
 BLOCK = 128
 #: Labelled rows of each class that are learned from, and the longest text (bytes) among them.
 PER_CLASS, LONGEST = 300, 16_000
+#: Labelled rows that are asked for, for each that is learned from: some have longer texts, or none.
+CANDIDATES = 4
 EPOCHS, RATE, DECAY, SEED = 30, 0.02, 1e-4, 7
 
 
@@ -166,15 +168,17 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Net
         .agg(F.min("quality").alias("q"), F.max("quality").alias("most"))
         .where("q = most")
     )
-    fitting = docs.where(F.octet_length("text") <= LONGEST).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    usable = agreed.join(fitting.select("doc_id").distinct(), "doc_id")
     order = [F.xxhash64("doc_id"), "doc_id"]
-    wanted = {r["doc_id"]: r["q"] for q in (0, 1) for r in usable.where(F.col("q") == q).orderBy(*order).limit(per_class).collect()}
+    asked = {q: [r["doc_id"] for r in agreed.where(F.col("q") == q).orderBy(*order).limit(per_class * CANDIDATES).collect()] for q in (0, 1)}
+    if not all(asked.values()):
+        return None
+    some = F.broadcast(spark.createDataFrame([(i,) for ids in asked.values() for i in ids], "doc_id long"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.octet_length("text") <= LONGEST).join(some, "doc_id")
+    texts = {r["doc_id"]: r["text"].encode() for r in rows.groupBy("doc_id").agg(F.min("text").alias("text")).collect()}
+    wanted = {i: q for q, ids in asked.items() for i in [i for i in ids if i in texts][:per_class]}
     if len(set(wanted.values())) < 2:
         return None
-    some = F.broadcast(spark.createDataFrame([(i,) for i in wanted], "doc_id long"))
-    texts = sorted(fitting.join(some, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect())
-    return fit([r["text"].encode() for r in texts], [wanted[r["doc_id"]] for r in texts])
+    return fit([texts[i] for i in sorted(wanted)], [wanted[i] for i in sorted(wanted)])
 
 
 def score_quality(docs: DataFrame, network: Network | None, keep: list[str], text_col: str = "text", out: str = "score") -> DataFrame:
