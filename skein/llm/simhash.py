@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from skein.llm.batches import text_pieces
 from skein.llm.components import connected_components, local_components
-from skein.llm.covering import RADIUS, anchors
-from skein.llm.workspace import Workspace, numbered, unused
+from skein.llm.covering import Code, anchors, code_for
+from skein.llm.workspace import Workspace, joined, met_by_key, numbered, unused
 
 SHINGLE, THRESHOLD, SEED = 4, 4, 42
 #: Bits in which the halves may differ: (shift of the half, threshold there).
@@ -116,15 +116,20 @@ def fingerprints(docs: DataFrame, keep: list[str], text_col: str = "text", size:
     return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(_fingerprint(size), schema)
 
 
-def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 4096):
-            prints = batch.column(0).slice(at, 4096).to_numpy().view(np.uint64)
-            for half, (shift, threshold) in enumerate(HALVES):
-                words = ((prints >> np.uint64(shift)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                row, anchor, home = anchors(words, RADIUS + threshold)
-                key = anchor.astype(np.int64) | half << 32
-                yield pa.record_batch([pa.array(key), pa.array(prints[row].view(np.int64)), pa.array(home)], names=["anchor", "fingerprint", "home"])
+def _replicate(codes: list[Code]):
+    """Every fingerprint at its anchors; a code for each half."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                prints = batch.column(0).slice(at, 4096).to_numpy().view(np.uint64)
+                for half, ((shift, threshold), code) in enumerate(zip(HALVES, codes, strict=True)):
+                    words = ((prints >> np.uint64(shift)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                    row, anchor, home = anchors(code, words, threshold)
+                    key = anchor.astype(np.int64) | half << 32
+                    yield pa.record_batch([pa.array(key), pa.array(prints[row].view(np.int64)), pa.array(home)], names=["anchor", "fingerprint", "home"])
+
+    return run
 
 
 def _forest(prints: np.ndarray, labels: np.ndarray) -> pa.RecordBatch:
@@ -177,8 +182,12 @@ def _with_end(batches):
 
 
 def link_forest(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """(a, b): links that connect distinct fingerprints as all links of up to THRESHOLD bits do."""
-    came = prints.mapInArrow(_replicate, "anchor long, fingerprint long, home boolean")
+    """(a, b): links that connect distinct fingerprints as all links of up to THRESHOLD bits do.
+
+    The codes are as fine as the number of fingerprints asks for.
+    """
+    n = prints.count()
+    came = prints.mapInArrow(_replicate([code_for(n, threshold) for _, threshold in HALVES]), "anchor long, fingerprint long, home boolean")
     crowded = came.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > bucket)
     crowded = crowded.select("anchor", F.ceil(F.col("n") / bucket).cast("int").alias("parts"))
     if crowded.isEmpty():
@@ -197,13 +206,13 @@ def link_forest(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def components(rows: DataFrame, work: Workspace) -> DataFrame:
-    """(fingerprint, least): for each fingerprint of rows (id, fingerprint), the least id of its component."""
-    distinct = work.table(rows.groupBy("fingerprint").agg(F.min("id").alias("least")), "distinct")
+    """(fingerprint, times, least): for each fingerprint of rows (id, fingerprint), its rows and the least id of its component."""
+    distinct = work.table(rows.groupBy("fingerprint").agg(F.min("id").alias("least"), F.count("*").alias("times")), "distinct")
     roots = connected_components(link_forest(distinct.select("fingerprint")), work)
     tied = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left")
-    tied = tied.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"), distinct["least"])
+    tied = tied.select("fingerprint", "times", F.coalesce("root", "fingerprint").alias("root"), distinct["least"])
     least = tied.groupBy("root").agg(F.min("least").alias("component"))
-    return tied.select("fingerprint", "root").join(least, "root").select("fingerprint", F.col("component").alias("least"))
+    return tied.select("fingerprint", "times", "root").join(least, "root").select("fingerprint", "times", F.col("component").alias("least"))
 
 
 def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,7 +220,7 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id", te
     rows = work.table(fingerprints(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), ["id"]), "rows")
     groups = work.table(components(rows, work), "groups")
     work.keep_only("rows", "groups")
-    return rows.join(groups, "fingerprint").select(F.col("id").alias("doc_id"), "fingerprint", F.col("least").alias("component_id"))
+    return met_by_key(rows, groups, ["fingerprint"], "times").select(F.col("id").alias("doc_id"), "fingerprint", F.col("least").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,7 +235,7 @@ def one_of_each(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_c
     rows = work.table(prints, "rows")
     kept = work.table(components(rows, work).select(F.col("least.row").alias(row)).distinct(), "kept")
     work.keep_only("kept", "numbered")
-    return keyed.join(kept, row, "left_semi").drop(row)
+    return joined(keyed, kept, row, "left_semi").drop(row)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,6 +69,23 @@ def joined(df: DataFrame, few: DataFrame, on: str | list[str], how: str = "inner
     return df.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, on, how)
 
 
+#: A key with this share of all rows, or more, is a heavy one: at most so many of them exist.
+HEAVY = 10_000
+
+
+def met_by_key(df: DataFrame, keys: DataFrame, on: list[str], times: str) -> DataFrame:
+    """df joined with a table of distinct keys that says how often each occurs in df.
+
+    The table is broadcast if it is small; of a larger one the heavy keys are,
+    whose rows would else meet in one task, and the others are joined by shuffle.
+    """
+    if keys.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(keys), on)
+    least = (keys.agg(F.sum(times)).first()[0] or 0) / HEAVY
+    heavy, rest = keys.where(F.col(times) >= least), keys.where(F.col(times) < least)
+    return df.join(F.broadcast(heavy), on).unionByName(df.join(rest, on))
+
+
 def unused(name: str, *frames: DataFrame) -> str:
     """name, with underscores added until no column of the frames has it (in any case)."""
     taken = {c.lower() for df in frames for c in df.columns}

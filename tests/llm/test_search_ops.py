@@ -132,21 +132,26 @@ def test_contamination_edges(spark, edge, none):
     assert decontamination.contamination(edge, bench.where("false")).where("n_hit > 0").count() == 0
 
 
-def test_covering_code():
+@pytest.mark.parametrize("code", covering.CODES)
+def test_covering_code(code):
     rng = np.random.default_rng(4)
     words = rng.integers(0, 2**32, 300, dtype=np.uint64).astype(np.uint32)
-    row, anchor, home = covering.anchors(words, covering.RADIUS + 2)
-    assert (covering.syndromes(anchor) == 0).all()
-    assert (np.bitwise_count(anchor ^ words[row]) <= 6).all()
+    row, anchor, home = covering.anchors(code, words, 2)
+    assert (covering.syndromes(code, anchor) == 0).all()
+    assert (np.bitwise_count(anchor ^ words[row]) <= code.radius + 2).all()
     assert (np.bincount(row[home], minlength=300) == 1).all()
-    assert (np.bitwise_count(anchor[home] ^ words[row[home]]) <= covering.RADIUS).all()
+    assert (np.bitwise_count(anchor[home] ^ words[row[home]]) <= code.radius).all()
     for _ in range(50):  # within two bits: a word comes to the other's home
         i = int(rng.integers(300))
         other = words[i] ^ np.uint32(1 << int(rng.integers(32))) ^ np.uint32(1 << int(rng.integers(32)))
-        r, a, h = covering.anchors(np.array([other]), 6)
+        r, a, h = covering.anchors(code, np.array([other]), 2)
         assert anchor[home & (row == i)][0] in a
 
 
+def test_codes_grow_finer_with_the_input():
+    assert [covering.code_for(n, 2).radius for n in (0, 10**6, 5 * 10**7, 10**10)] == [4, 4, 3, 1]
+
+
 def brute_print(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     s = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] if len(w) >= 4 else ([" ".join(w)] if w else [])
@@ -178,8 +183,9 @@ def test_simhash_equals_brute_force(spark, sf):
     assert got == {i: (f"{p:016x}", c) for (i, _), p, c in zip(docs, prints, want, strict=True)}
 
 
-@pytest.mark.parametrize("bucket", [20_000, 7])
-def test_links_of_close_fingerprints(spark, bucket):
+@pytest.mark.parametrize(("bucket", "code"), [(20_000, 0), (7, 0), (20_000, 1), (20_000, 2)])
+def test_links_of_close_fingerprints(spark, monkeypatch, bucket, code):
+    monkeypatch.setattr(simhash, "code_for", lambda n, distance: covering.CODES[code])
     rng = np.random.default_rng(8)
     base = rng.integers(0, 2**63, 12, dtype=np.uint64)
     prints = [int(b) for b in base]

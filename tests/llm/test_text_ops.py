@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from skein.llm import chat_format, license_scan, line_dedup
@@ -22,6 +24,18 @@ def test_licenses(spark):
     assert got == [(1, "MIT", 0, "", False), (2, None, 0, "", False), (3, None, 2, "Apache-2.0,MIT", False), (4, None, 0, "", True), (4, None, 0, "", True)]
 
 
+def test_long_licenses_by_digest(spark):
+    """Entire texts, if this machine has any, in another case and with other line ends' punctuation."""
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "MPL-2.0": "MPL-2.0"}
+    rows = [(i, "Copyright 2020 X\n" + (folder / name).read_text().upper()) for i, name in enumerate(names) if (folder / name).exists()]
+    if not rows:
+        pytest.skip("no licence texts here")
+    docs = spark.createDataFrame([*rows, (99, rows[0][1][:-40])], "doc_id long, text string")
+    got = {r.doc_id: r.license_id for r in license_scan.scan_licenses(docs, license_scan.known_table(spark), digests=license_scan.digest_table(spark)).collect()}
+    assert got == {i: list(names.values())[i] for i, _ in rows} | {99: None}
+
+
 def test_license_edges(spark, edge, none):
     known = license_scan.known_table(spark)
     assert license_scan.scan_licenses(edge, known).count() == edge.count()
