@@ -84,7 +84,7 @@ def duration(seconds: Column) -> Column:
     minutes = F.floor(seconds / 60).cast("long")
     rest = F.format_string("%.0f", F.bround(seconds % 60, 0))
     return (
-        F.when(seconds < 60, F.format_string("%.1fs", seconds))
+        F.when(seconds < 60, F.format_string("%.1fs", F.bround(seconds, 1)))
         .when(minutes < 60, F.format_string("%dm %ss", minutes, rest))
         .otherwise(F.format_string("%dh %dm %ss", F.floor(minutes / 60).cast("long"), minutes % 60, rest))
     )

@@ -13,10 +13,10 @@ from skein.functions import lexicons as L
 from skein.functions import metrics as M
 from skein.functions import text as T
 from skein.operators import compare, dedup, evaluation, judge, quality, stats, synth, training
-from skein.plans import control, gate
+from skein.plans import control, gate, generate, reports
 from skein.plans import evaluate as evaluate_plan
 from skein.plans import fixtures as X
-from skein.plans.queries import _CRITICAL, _DECIDED, _PARSED, _RATES, _SAMPLED, _SCORED, E, P, V, _decided, _sampled, query, strip, tokens
+from skein.plans.queries import _CRITICAL, _DECIDED, _PARSED, _PROFILE, _RATES, _SAMPLED, _SCORED, _VERDICTS, E, P, V, _decided, _sampled, _sided, _verdicts, query, strip, tokens
 from skein.sources import readers, writers
 from skein.sources.shared import shared_dir
 
@@ -181,6 +181,31 @@ def _(e):
     return evaluate_plan.acceptance(evaluation.summary(evaluation.score(e)))
 
 
+@query("stats_lines", X.PAIRS, f"SELECT printf('all: %d samples, avg input: %.0f chars, avg output: %.0f chars', count(*), round_even(avg(length(input)), 0), round_even(avg(length(output)), 0)) AS line FROM {P} UNION ALL SELECT printf('  %s: %d', category, count(*)) FROM {P} GROUP BY category")
+def _(p):
+    return reports.stats_lines(p.withColumn("source", F.col("category")), "all").select("line")
+
+
+@query("sample_blocks", X.EVALUATION, f"{_SCORED} SELECT CAST(row_number() OVER (ORDER BY cer DESC, exact, sentence_bleu, index DESC) AS INT) AS rank, left(input, 200) AS input, printf('%.4f', cer) AS cer FROM scored ORDER BY rank LIMIT 5")
+def _(e):
+    worst = [F.desc("cer"), F.asc("exact"), F.asc("sentence_bleu"), F.desc("index")]
+    blocks = reports.sample_blocks(evaluation.score(e), worst, 5)
+    return blocks.select("rank", F.regexp_extract("line", r"(?s)INPUT:     (.*?)\nEXPECTED", 1).alias("input"), F.regexp_extract("line", r"CER: ([\d.]+)", 1).alias("cer"))
+
+
+@query("comparison_lines", X.PAIRS, f"SELECT printf('%s: avg input words %.1f, avg filler density %.1f%%, %d samples', dataset, round_even(avg(avg_input_words), 1), round_even(avg(avg_filler_density), 1), CAST(sum(count) AS BIGINT)) AS line FROM ({_PROFILE}) GROUP BY dataset UNION ALL SELECT printf('%s: %d', verdict, count(*)) FROM ({_VERDICTS}) GROUP BY verdict")
+def _(p):
+    """The last two parts of the report: the tally of verdicts, and each side's means."""
+    profiles = stats.profile(_sided(p), ["category", "dataset"])
+    winners = compare.metric_winners(profiles, "dataset", "script", "prompt", ["count", "avg_compression"])
+    return reports.comparison_lines(winners, _verdicts(p), profiles).where("part >= 2").select("line")
+
+
+@query("training_summary", X.LOG, f"SELECT 'completed' AS status, 'm' AS model, CAST(9 AS BIGINT) AS train_samples, CAST(1 AS BIGINT) AS valid_samples, arg_min(val_loss, iter) FILTER (WHERE val_loss IS NOT NULL) AS initial_eval_loss, arg_max(train_loss, iter) FILTER (WHERE train_loss IS NOT NULL) AS final_train_loss, arg_max(val_loss, iter) FILTER (WHERE val_loss IS NOT NULL) AS final_eval_loss, min(val_loss) AS best_eval_loss, max(iter) AS total_steps FROM ({_PARSED})")
+def _(log):
+    return reports.training_summary(training.parse_log(log), "m", 9, 1)
+
+
 # --- text columns
 
 
@@ -355,6 +380,43 @@ def _(p):
     return synth.messify(texts, model, ["line_no"], "{texts}").select("category", F.col("batch").cast("int").alias("batch"), "transcript", "output")
 
 
+@query("quotas_filled", X.PAIRS, "SELECT * FROM (VALUES ('a', 60, 60), ('b', 40, 40), ('c', 0, 0)) v(category, n, n_distinct) WHERE n > 0")
+def _(p):
+    """A run that is broken off after one category's pairs goes on; the third category's model never answers."""
+    spark, path = p.sparkSession, folder(p.sparkSession)
+
+    def model(prompts: list[str]) -> list[str | None]:
+        return [None if x.startswith("c") else json.dumps([{"transcript": f"um {x} {k}", "output": f"{x} {k}"} for k in range(int(x.split()[2]))]) for x in prompts]
+
+    prompt = F.concat_ws(" ", "category", F.col("batch").cast("string"), F.col("size").cast("string"))
+    weights = {"a": 0.6, "b": 0.4, "c": 0.05}
+    writers.append_pairs(spark.createDataFrame([("a", f"um old {k}", f"old {k}") for k in range(30)], "category string, input string, output string"), path)
+    generate.fill_quotas(spark, path, 100, model, prompt, 25, 2, weights)
+    generate.fill_quotas(spark, path, 100, model, prompt, 25, 2, weights)
+    done = generate.existing(spark, path)
+    return done.groupBy("category").agg(F.count("*").cast("int").alias("n"), F.countDistinct("input").cast("int").alias("n_distinct"))
+
+
+@query("inferred", X.PAIRS, f"SELECT line_no, CAST(line_no AS VARCHAR) || ' ok' AS raw_generated, CAST(2 AS BIGINT) AS generated_token_count, true AS timed FROM {P}")
+def _(p):
+    """A model that repeats the user's turn of its prompt."""
+
+    def model(prompts: list[str]) -> list[str | None]:
+        return [x.split("<|im_start|>user\n")[1].split("<|im_end|>")[0] + " ok" for x in prompts]
+
+    found = generate.infer(p.select("line_no", F.col("line_no").cast("string").alias("input")), model, "s")
+    return found.select("line_no", "raw_generated", "generated_token_count", (F.col("generation_seconds") >= 0).alias("timed"))
+
+
+@query("judged_batch", X.PAIRS, f"SELECT count(*) AS total, count(*) FILTER (WHERE line_no % 4 = 0) AS passed, count(*) FILTER (WHERE line_no % 4 <> 0) AS failed, 'input_realistic' AS most_common_failure FROM {P}")
+def _(p):
+    def model(prompts: list[str]) -> list[str | None]:
+        return ["```json\n" + json.dumps({c: int(x) % 4 == 0 for c in L.CRITERIA}) + "\n```" for x in prompts]
+
+    lines = p.select("line_no", J.to_json_line(F.col("line_no").cast("string").alias("input"), F.lit("x").alias("output")).alias("value"))
+    return generate.judge_batch(lines, model, F.col("input"))[1]
+
+
 @query("system_hoisted", X.PAIRS, f"SELECT line_no, concat('s', chr(10), chr(10), lang) AS system, 2 AS n_messages FROM {P}")
 def _(p):
     messages = F.concat(T.chat_messages("s", F.col("category"), F.col("lang")), F.array(F.struct(F.lit("system").alias("role"), F.col("lang").alias("content"))))

@@ -548,10 +548,7 @@ _POINTS = [
 ]
 
 
-@query(
-    "verdicts",
-    X.PAIRS,
-    f"""WITH places AS (SELECT line_no, len(list_filter(x, lambda v: v = 1)) AS boundary, len(list_filter(x, lambda v: v = 0)) AS mid FROM (SELECT line_no, {_PLACES} AS x FROM {P})),
+_VERDICTS = f"""WITH places AS (SELECT line_no, len(list_filter(x, lambda v: v = 1)) AS boundary, len(list_filter(x, lambda v: v = 0)) AS mid FROM (SELECT line_no, {_PLACES} AS x FROM {P})),
     smell AS (SELECT line_no, round(coalesce(len(list_filter(s, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) * 100.0::DOUBLE / nullif(len(s), 0), 0), 1) AS caps
       FROM (SELECT line_no, list_filter(list_transform(string_split_regex(input, '[.!?]+'), lambda x: {strip('x')}), lambda x: x <> '') AS s FROM {P})),
     rest AS (SELECT line_no, {n_matches(marked('lower(output)'), word('um', 'uh', 'basically', 'literally'), phrase('you know'))} AS n FROM {P}),
@@ -562,9 +559,11 @@ _POINTS = [
     points AS (SELECT coalesce(a.category, b.category) AS category, [{", ".join(_POINTS)}] AS p
       FROM (SELECT * FROM figures WHERE dataset = 'script') a FULL JOIN (SELECT * FROM figures WHERE dataset = 'prompt') b ON a.category = b.category),
     scored AS (SELECT category, CAST(len(list_filter(p, lambda x: x = 1)) AS INT) AS score_a, CAST(len(list_filter(p, lambda x: x = -1)) AS INT) AS score_b FROM points)
-    SELECT *, CASE WHEN score_a - score_b > 1 THEN 'A_BETTER' WHEN score_a - score_b < -1 THEN 'B_BETTER' ELSE 'TIE' END AS verdict FROM scored""",
-)
-def _(p):
+    SELECT *, CASE WHEN score_a - score_b > 1 THEN 'A_BETTER' WHEN score_a - score_b < -1 THEN 'B_BETTER' ELSE 'TIE' END AS verdict FROM scored"""
+
+
+@query("verdicts", X.PAIRS, _VERDICTS)
+def _verdicts(p):
     s = _sided(p)
     by = ["category", "dataset"]
     figures = stats.profile(s, by).join(compare.sample_features(s, by), by).join(stats.vocabulary(s, by, ["line_no"]), by)
