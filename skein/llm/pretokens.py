@@ -1,17 +1,18 @@
-"""Pre-tokens of the byte-level tokenizers, split and encoded a block at a time.
+"""Pre-tokens of texts, split a block at a time; each distinct one is encoded once by the tokenizers library.
 
 A tokenizer of this kind encodes each pre-token by itself, so a text's ids are
 the ids of its pre-tokens in a row, and a pre-token need only be encoded once.
-Splitting is done on whole blocks of text with array operations; merges are
-applied to all new pre-tokens of a block side by side. Vocabulary and merges
-come from the tokenizer file through the tokenizers library, and every
-``Encoder`` holds its first ids against those of the library itself.
+Splitting is done on whole blocks of text with array operations; the tokenizers
+library encodes all new pre-tokens of a block at once, and every ``Encoder``
+holds the ids of its first texts against those of the library itself.
 """
 
 from __future__ import annotations
 
 import json
+import os
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ import pyarrow as pa
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Distinct pre-tokens that an Encoder keeps before it starts anew.
 KEPT = 300_000
-#: New pre-tokens whose ids are held against the library's, for each worker.
-CHECKED = 1500
+#: Bytes of texts whose ids are held against the library's, for each worker.
+CHECKED = 1 << 16
 
 
 @cache
@@ -112,110 +113,15 @@ def split_words(points: np.ndarray, edge: np.ndarray) -> np.ndarray:
 
 
 @cache
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte: printable Latin-1 as itself, others from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = iter(range(0x100, 0x200))
-    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
-
-
-class Merges:
-    """Byte-pair merges of a tokenizer file, applied to many pre-tokens at once."""
-
-    def __init__(self, library):
-        model = json.loads(library.to_str())["model"]
-        vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
-        self.first = np.array([vocab[x] for x in byte_letters()], np.int64)
-        self.last = np.array([vocab[x + suffix] for x in byte_letters()], np.int64)
-        pairs = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
-        keys = np.array([vocab[a] << 20 | vocab[b] for a, b in pairs], np.int64)
-        made = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        self.keys, self.rank, self.made = keys, np.arange(len(keys), dtype=np.int64), made
-        self.none = len(keys)
-        self.slots, self.slot_ranks, self.shift = self._hashed()
-
-    def _hashed(self) -> tuple[np.ndarray, np.ndarray, int]:
-        """Keys and ranks by hash, in rows of four."""
-        for bits in range(16, 24):
-            h = self._hash(self.keys, 64 - bits)
-            if np.bincount(h).max() <= 4:
-                order = np.argsort(h, kind="stable")
-                place = np.arange(len(h)) - np.searchsorted(h[order], h[order])
-                table = np.full((1 << bits, 4), -1, np.int64)
-                table[h[order], place] = self.keys[order]
-                ranks = np.full((1 << bits, 4), self.none, np.int64)
-                ranks[h[order], place] = self.rank[order]
-                return table, ranks, 64 - bits
-        raise ValueError("merges do not fit the table")
-
-    @staticmethod
-    def _hash(keys: np.ndarray, shift: int) -> np.ndarray:
-        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(shift)).astype(np.int64)
-
-    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The rank of each pair's merge, ``none`` where there is no merge."""
-        key = left << 20 | right
-        h = self._hash(key, self.shift)
-        row, column = np.nonzero(self.slots[h] == key[:, None])
-        out = np.full(len(key), self.none, np.int64)
-        out[row] = self.slot_ranks[h[row], column]
-        return out
-
-    def apply(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, offsets) of the pre-tokens ``data[offsets[i]:offsets[i + 1]]``."""
-        n = len(offsets) - 1
-        sizes = np.diff(offsets)
-        ids = self.first[data]
-        full = sizes > 0
-        ids[offsets[1:][full] - 1] = self.last[data[offsets[1:][full] - 1]]
-        word = np.repeat(np.arange(n), sizes)
-        done: list[tuple[np.ndarray, np.ndarray]] = []
-        rank = np.full(len(ids), self.none, np.int64)
-        rank[:-1] = np.where(word[1:] == word[:-1], self.ranks(ids[:-1], ids[1:]), self.none) if len(ids) > 1 else rank[:-1]
-        while len(ids):
-            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            least = np.minimum.reduceat(rank, starts)
-            lengths = np.diff(np.append(starts, len(ids)))
-            if (least == self.none).any():
-                over = np.repeat(least == self.none, lengths)
-                done.append((word[over], ids[over]))
-                keep = ~over
-                word, ids, rank = word[keep], ids[keep], rank[keep]
-                if not len(ids):
-                    break
-                lengths, least = lengths[least != self.none], least[least != self.none]
-            hit = rank == np.repeat(least, lengths)
-            before = np.concatenate([[False], hit[:-1]])
-            if (hit & before).any():  # of overlapping pairs, every other one
-                place = np.arange(len(hit))
-                run = np.maximum.accumulate(np.where(hit & ~before, place, 0))
-                hit &= (place - run) % 2 == 0
-            at = np.flatnonzero(hit)
-            ids[at] = self.made[rank[at]]
-            keep = np.ones(len(ids), bool)
-            keep[at + 1] = False
-            new = np.zeros(len(ids), bool)
-            new[at] = True
-            new[np.maximum(at - 1, 0)] = True
-            word, ids, rank, new = word[keep], ids[keep], rank[keep], new[keep]
-            # pairs that touch a new id: its own, and that of the id before it
-            new[:-1] |= new[1:]
-            at = np.flatnonzero(new)
-            nxt = np.minimum(at + 1, len(ids) - 1)
-            rank[at] = np.where((at + 1 < len(ids)) & (word[nxt] == word[at]), self.ranks(ids[at], ids[nxt]), self.none)
-        if not done:
-            return np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
-        word = np.concatenate([x for x, _ in done])
-        ids = np.concatenate([x for _, x in done])
-        order = np.argsort(word, kind="stable")
-        return ids[order], np.concatenate([[0], np.cumsum(np.bincount(word, minlength=n))])
-
-
 @cache
 def library(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    found = Tokenizer.from_file(path)
+    found.no_truncation()
+    found.no_padding()
+    return found
 
 
 class Encoder:
@@ -224,7 +130,6 @@ class Encoder:
     def __init__(self, path: str):
         self.library = library(path)
         spec = json.loads(self.library.to_str())
-        self.merges = Merges(self.library)
         self.words = spec["normalizer"] is not None
         self.special = {x["content"].encode(): x["id"] for x in spec["added_tokens"]}
         self.checked = 0
@@ -239,7 +144,9 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of each text of a block, without added ids."""
-        return self._encode_words(data, offsets) if self.words else self._encode_bytes(data, offsets)
+        ids, out = self._encode_words(data, offsets) if self.words else self._encode_bytes(data, offsets)
+        self._check(data, offsets, ids, out)
+        return ids, out
 
     def _encode_bytes(self, data, offsets):
         pretokens, edges = byte_level_pretokens(data, offsets, list(self.special))
@@ -295,18 +202,9 @@ class Encoder:
         return out
 
     def _add(self, names: list[bytes]) -> np.ndarray:
-        sizes = np.fromiter(map(len, names), np.int64, len(names))
-        ids, offsets = self.merges.apply(np.frombuffer(b"".join(names), np.uint8), np.concatenate([[0], np.cumsum(sizes)]))
-        if self.words:
-            blank = np.fromiter((not x.strip(b" ") for x in names), bool, len(names))
-            keep = ~np.repeat(blank, np.diff(offsets))
-            ids, offsets = ids[keep], np.concatenate([[0], np.cumsum(np.where(blank, 0, np.diff(offsets)))])
-        else:
-            for i in [i for i, x in enumerate(names) if x in self.special]:
-                ids = np.concatenate([ids[: offsets[i]], [self.special[names[i]]], ids[offsets[i + 1] :]])
-                offsets = offsets.copy()
-                offsets[i + 1 :] += 1 - (offsets[i + 1] - offsets[i])
-        self._check(names, ids, offsets)
+        found = [x.ids for x in self.library.encode_batch_fast([x.decode() for x in names], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         first = len(self.known)
         for name in names:
             self.known[name] = len(self.known)
@@ -314,20 +212,20 @@ class Encoder:
         self.ids = _grown(self.ids, self.used + len(ids))
         self.starts, self.sizes = _grown(self.starts, last), _grown(self.sizes, last)
         self.ids[self.used : self.used + len(ids)] = ids
-        self.starts[first:last] = self.used + offsets[:-1]
-        self.sizes[first:last] = np.diff(offsets)
+        self.starts[first:last] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first:last] = sizes
         self.used += len(ids)
         return np.arange(first, last)
 
-    def _check(self, names, ids, offsets) -> None:
-        """The library's word on a worker's first pre-tokens, and on the longest new one of every block."""
-        which = list(range(min(len(names), CHECKED - self.checked))) if self.checked < CHECKED else []
-        self.checked += len(which)
-        if names and (longest := max(range(len(names)), key=lambda i: len(names[i]))) >= len(which):
-            which.append(longest)
-        for i in which:
-            text = names[i].decode("utf-8", "replace")
-            if (got := ids[offsets[i] : offsets[i + 1]].tolist()) != (said := self.library.encode(text, add_special_tokens=False).ids):
+    def _check(self, data, offsets, ids, out) -> None:
+        """The library's word on a worker's first texts: that they are split as it splits them."""
+        for i in range(len(offsets) - 1):
+            size = int(offsets[i + 1] - offsets[i])
+            if self.checked + size > CHECKED:
+                return
+            self.checked += size
+            text = data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace")
+            if (got := ids[out[i] : out[i + 1]].tolist()) != (said := self.library.encode(text, add_special_tokens=False).ids):
                 raise ValueError(f"ids of {text!r} are {got}, the library has {said}")
 
 

@@ -211,8 +211,8 @@ def components(rows: DataFrame, work: Workspace) -> DataFrame:
     roots = connected_components(link_forest(distinct.select("fingerprint")), work)
     tied = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left")
     tied = tied.select("fingerprint", "times", F.coalesce("root", "fingerprint").alias("root"), distinct["least"])
-    least = tied.groupBy("root").agg(F.min("least").alias("component"))
-    return tied.select("fingerprint", "times", "root").join(least, "root").select("fingerprint", "times", F.col("component").alias("least"))
+    least = tied.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("n"))
+    return met_by_key(tied.select("fingerprint", "times", "root"), least, ["root"], "n").select("fingerprint", "times", F.col("component").alias("least"))
 
 
 def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
