@@ -18,7 +18,8 @@ from skein.sources import readers, writers
 from skein.streaming import ingest
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-CHECKED = ["chat_records", "dedup_first_occurrence", "quality_reasons", "split_assign", "made_up_words", "filler_positions", "cer", "sentence_bleu", "gate_decisions", "quota_plan", "train_log_parse", "dag_resume", "stream_dedup_available_now"]
+#: Queries whose SQL is asked as well; the driver asks all.
+CHECKED = ["synthetic_pairs_read", "prepared_pairs_read", "paired_text_files", "combined_lines", "rewritten_lines", "gate_report", "verdicts", "quotas_filled", "messified", "judged_batch", "comparison_lines", "step_state", "steps_dry_run", "step_artifacts", "stream_best_loss", "wer", "chat_records", "dedup_first_occurrence", "quality_reasons", "split_assign", "made_up_words", "filler_positions", "cer", "sentence_bleu", "gate_decisions", "quota_plan", "train_log_parse", "dag_resume", "stream_dedup_available_now"]
 
 
 @pytest.fixture(scope="module")
@@ -75,6 +76,76 @@ def test_sources_to_splits(spark, tmp_path):
     assert (counts.non_blank, counts.strict) == (4, 2)
 
 
+def test_lines_of_split_files_are_numbered(spark, tmp_path):
+    """Files of many splits, one without a last line feed, one empty; blank lines and carriage returns count."""
+    lines = [f"{i} " + "x" * (i % 90) + ("\r" if i % 7 == 0 else "") if i % 5 else "" for i in range(4000)]
+    (tmp_path / "a.txt").write_text("\n".join(lines) + "\n", newline="")
+    (tmp_path / "b.txt").write_text("\n".join(lines[:1500]), newline="")
+    (tmp_path / "c.txt").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        rows = readers.numbered_lines(spark, str(tmp_path / "*.txt"))
+        got = {(r.file, r.line_no): r.value for r in rows.collect()}
+        assert rows.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {("a.txt", i + 1): x for i, x in enumerate(lines)} | {("b.txt", i + 1): x for i, x in enumerate(lines[:1500])}
+    assert got == want
+
+
+def test_single_files(spark, tmp_path):
+    rows = spark.range(5).selectExpr("id", "cast(null as string) AS x")
+    path = f"{tmp_path}/d/out.jsonl"
+    assert writers.write_jsonl_file(rows, path) == 5 and writers.write_jsonl_file(rows.where("id < 2"), path) == 2
+    assert (tmp_path / "d" / "out.jsonl").read_text() == '{"id":0,"x":null}\n{"id":1,"x":null}\n'
+    with pytest.raises(Exception, match="boom"):
+        writers.write_jsonl_file(rows.selectExpr("raise_error('boom') AS y"), path)
+    assert [p.name for p in (tmp_path / "d").iterdir() if not p.name.startswith(".")] == ["out.jsonl"]
+    assert writers.write_jsonl_file(rows.where("false"), f"{tmp_path}/none.jsonl") == 0 and (tmp_path / "none.jsonl").read_text() == ""
+
+
+def test_source_root(spark, tmp_path):
+    for name in ("x/y/whisper-transcripts", "x/y/manual-cleanups", "x/whisper-transcripts"):
+        (tmp_path / name).mkdir(parents=True)
+    assert readers.source_root(spark, str(tmp_path)).endswith("/x/y")
+    for name in ("dataset/data/whisper-transcripts", "dataset/data/manual-cleanups"):
+        (tmp_path / name).mkdir(parents=True)
+    assert readers.source_root(spark, str(tmp_path)) == f"{tmp_path}/dataset/data"
+    with pytest.raises(FileNotFoundError):
+        readers.source_root(spark, f"{tmp_path}/x/y/manual-cleanups")
+
+
+def test_state_files(spark, tmp_path):
+    path = f"{tmp_path}/state.jsonl"
+    assert control.load_state(spark, path).count() == 0
+    state = control.mark(control.load_state(spark, path), "2", "running")
+    assert control.save_state(state, path) == 1 and control.load_state(spark, path).first().status == "running"
+    for i, broken in enumerate(('{"step_id": "2", "status": "odd"}\n', "not json\n")):
+        (tmp_path / f"broken{i}.jsonl").write_text(broken)
+        assert control.load_state(spark, f"{tmp_path}/broken{i}.jsonl").count() == 0
+
+
+def test_configuration_text():
+    pytest.importorskip("yaml")
+    cfg = config.load_yaml("models: [{name: a, base_model: b}]\ndataset: {seed: 7, synthetic: {enabled: false}}\nunknown: 1\n")
+    assert cfg.dataset.seed == 7 and cfg.models[0].name == "a" and not cfg.dataset.synthetic.enabled
+    for bad in ("- 1", "models: []"):
+        with pytest.raises(ValueError):
+            config.load_yaml(bad)
+
+
+def test_command_line(spark, sf, tmp_path, capsys):
+    from skein.__main__ import main
+
+    assert main([]) == 0 and "chat_records" in capsys.readouterr().out
+    assert main(["nope", "--sf", sf, "--out", str(tmp_path)]) == 2
+    assert main(["source_stats", "--sf", sf, "--out", str(tmp_path)]) == 0
+    assert main(["source_stats", "--sf", sf, "--out", str(tmp_path)]) == 1  # kept
+    assert main(["source_stats", "--sf", f"{tmp_path}/none", "--out", str(tmp_path), "--force"]) == 1
+    assert main(["source_stats", "--sf", sf, "--dry-run"]) == 0
+
+
 def test_paired_files_and_tables(spark, tmp_path):
     for side, names in (("t", ["a/x", "b"]), ("c", ["a/x", "z"])):
         for n in names:
