@@ -151,7 +151,7 @@ def has_false_start(text: Column) -> Column:
 
 def share(part: Column, whole: Column, digits: int) -> Column:
     """Percent of whole, 0 where there is none."""
-    return F.round(F.coalesce(F.try_divide(part * F.lit(100.0), whole), F.lit(0.0)), digits)
+    return F.bround(F.coalesce(F.try_divide(part * F.lit(100.0), whole), F.lit(0.0)), digits)
 
 
 def written_smell(text: Column) -> Column:
@@ -261,7 +261,7 @@ def pair_features(source: Column, output: Column) -> list[Column]:
         has_multi_step(source).alias("multi_step"),
         written_smell(source).alias("smell"),
         output_fillers(output).alias("fillers_left"),
-        F.round(preservation(source, output), 3).alias("preservation"),
+        F.bround(preservation(source, output), 3).alias("preservation"),
         F.slice(made_up_words(source, output), 1, 5).alias("made_up"),
         number_conversion(source, output).alias("numbers"),
         format_flags(output).alias("format"),

@@ -20,7 +20,7 @@ def score(rows: DataFrame) -> DataFrame:
 
 def summary(scored: DataFrame) -> DataFrame:
     """One row of aggregates over scored rows; counts of checks are nullable where none applies."""
-    r4 = lambda c: F.round(c, 4)
+    r4 = lambda c: F.bround(c, 4)
     fields = [
         F.count("*").alias("n"),
         F.count_if("exact").alias("exact_count"),
@@ -42,14 +42,14 @@ def summary(scored: DataFrame) -> DataFrame:
 def check_rates(scored: DataFrame) -> DataFrame:
     """(check, applicable, passed, rate) of checks that apply to any row."""
     each = scored.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("ok")) for c in M.CHECKS])).alias("c")).select("c.*")
-    return each.where("ok is not null").groupBy("check").agg(F.count("*").alias("applicable"), F.count_if("ok").alias("passed"), F.round(F.avg(F.col("ok").cast("int")), 4).alias("rate"))
+    return each.where("ok is not null").groupBy("check").agg(F.count("*").alias("applicable"), F.count_if("ok").alias("passed"), F.bround(F.avg(F.col("ok").cast("int")), 4).alias("rate"))
 
 
 def latency(scored: DataFrame) -> DataFrame:
     """One row: tokens, seconds, tokens a second, seconds a sample."""
     s, t = F.sum("generation_seconds"), F.sum("generated_token_count")
     return scored.agg(
-        t.alias("total_tokens"), F.round(s, 2).alias("total_seconds"), F.round(t / F.greatest(s, F.lit(1e-6)), 2).alias("tokens_per_second"), F.round(F.avg("generation_seconds"), 3).alias("seconds_per_sample")
+        t.alias("total_tokens"), F.bround(s, 2).alias("total_seconds"), F.bround(t / F.greatest(s, F.lit(1e-6)), 2).alias("tokens_per_second"), F.bround(F.avg("generation_seconds"), 3).alias("seconds_per_sample")
     )
 
 

@@ -37,7 +37,7 @@ def judge_pairs(sample: DataFrame, model: Model, prompt: Column) -> DataFrame:
 
 def criterion_rates(verdicts: DataFrame) -> DataFrame:
     """Per category: sampled, judged, errors, the pass rate of each criterion and of all four."""
-    rate = lambda c: F.round(F.avg(c.cast("int")), 4)
+    rate = lambda c: F.bround(F.avg(c.cast("int")), 4)
     return verdicts.groupBy("category").agg(
         F.count("*").alias("sampled"),
         F.count_if(~F.col("parse_error")).alias("judged"),

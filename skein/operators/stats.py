@@ -48,7 +48,7 @@ def profile(pairs: DataFrame, group: list[str], source: str = "input", output: s
         correction_count(F.col(source)).alias("sc"),
     )
     sd = F.coalesce(F.stddev_samp("iw"), F.lit(0.0))
-    mean = lambda c, d: F.round(F.avg(c), d)
+    mean = lambda c, d: F.bround(F.avg(c), d)
     return each.groupBy(*group).agg(
         F.count("*").alias("count"),
         mean("ic", 1).alias("avg_input_chars"),
@@ -58,10 +58,10 @@ def profile(pairs: DataFrame, group: list[str], source: str = "input", output: s
         mean("cr", 3).alias("avg_compression"),
         mean("fd", 2).alias("avg_filler_density"),
         mean("sc", 2).alias("avg_corrections"),
-        F.round(F.coalesce(F.try_divide(sd, F.avg("iw")), F.lit(0.0)), 3).alias("input_length_cv"),
+        F.bround(F.coalesce(F.try_divide(sd, F.avg("iw")), F.lit(0.0)), 3).alias("input_length_cv"),
         F.min("iw").alias("input_word_min"),
         F.max("iw").alias("input_word_max"),
-        F.round(sd, 1).alias("input_word_std"),
+        F.bround(sd, 1).alias("input_word_std"),
     )
 
 

@@ -99,14 +99,14 @@ def generation_cost(samples: Column, batch_size: int = 25, tokens: tuple[int, in
     """struct<batches, input_tokens, output_tokens, usd>; prices for a million tokens."""
     n = F.ceil(samples / batch_size).cast("long")
     usd = n * tokens[0] / 1e6 * price[0] + n * tokens[1] / 1e6 * price[1]
-    return F.struct(n.alias("batches"), (n * tokens[0]).alias("input_tokens"), (n * tokens[1]).alias("output_tokens"), F.round(usd, 2).alias("usd"))
+    return F.struct(n.alias("batches"), (n * tokens[0]).alias("input_tokens"), (n * tokens[1]).alias("output_tokens"), F.bround(usd, 2).alias("usd"))
 
 
 def judging_cost(counts: DataFrame, rate: float, tokens: tuple[int, int] = (800, 50), price: tuple[float, float] = (3.0, 15.0)) -> DataFrame:
     """One row for counts (category, n): calls, tokens and dollars."""
     calls = counts.agg(F.sum(F.ceil(F.col("n") * F.lit(rate)).cast("long")).alias("calls"))
     usd = F.col("calls") * tokens[0] / 1e6 * price[0] + F.col("calls") * tokens[1] / 1e6 * price[1]
-    return calls.select("calls", (F.col("calls") * tokens[0]).alias("input_tokens"), (F.col("calls") * tokens[1]).alias("output_tokens"), F.round(usd, 4).alias("usd"))
+    return calls.select("calls", (F.col("calls") * tokens[0]).alias("input_tokens"), (F.col("calls") * tokens[1]).alias("output_tokens"), F.bround(usd, 4).alias("usd"))
 
 
 def with_retries(model: Model, tries: int = 3, wait: float = 2.0) -> Model:

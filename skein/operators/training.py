@@ -60,7 +60,7 @@ def normalized_summary(rows: DataFrame, train: list[str], valid: list[str], comp
 
 
 def compression_ratio(before_mb: Column, after_mb: Column) -> Column:
-    return F.round(F.try_divide(before_mb, after_mb), 2)
+    return F.bround(F.try_divide(before_mb, after_mb), 2)
 
 
 def base_name(path: Column) -> Column:

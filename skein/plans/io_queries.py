@@ -171,12 +171,12 @@ def _(p):
     return writers.fixed_width(stats.counts_by(p, "category"), {"category": 12, "n": 8})
 
 
-@query("check_lines", X.EVALUATION, f"{_SCORED}, c AS (SELECT " + ", ".join(f"count({c}) AS n{i}, count(*) FILTER (WHERE {c}) AS p{i}" for i, c in enumerate(M.CHECKS)) + " FROM scored) SELECT line FROM (" + " UNION ALL ".join(f"SELECT n{i} AS n, printf('{' '.join(w.capitalize() for w in c.removesuffix('_ok').split('_'))}: %d/%d (%.1f%%)', p{i}, n{i}, round(p{i}::DOUBLE / n{i}, 4) * 100) AS line FROM c" for i, c in enumerate(M.CHECKS)) + ") WHERE n > 0")
+@query("check_lines", X.EVALUATION, f"{_SCORED}, c AS (SELECT " + ", ".join(f"count({c}) AS n{i}, count(*) FILTER (WHERE {c}) AS p{i}" for i, c in enumerate(M.CHECKS)) + " FROM scored) SELECT line FROM (" + " UNION ALL ".join(f"SELECT n{i} AS n, printf('{' '.join(w.capitalize() for w in c.removesuffix('_ok').split('_'))}: %d/%d (%.1f%%)', p{i}, n{i}, round_even(p{i}::DOUBLE / n{i}, 4) * 100) AS line FROM c" for i, c in enumerate(M.CHECKS)) + ") WHERE n > 0")
 def _(e):
     return evaluate_plan.check_lines(evaluation.check_rates(evaluation.score(e)))
 
 
-@query("acceptance", X.EVALUATION, f"{_SCORED} SELECT round(avg(cer), 4) < 0.10::DOUBLE AS cer_ok, coalesce(count(*) FILTER (WHERE filler_removal_ok)::DOUBLE / nullif(count(filler_removal_ok), 0) > 0.95::DOUBLE, false) AS fillers_ok FROM scored")
+@query("acceptance", X.EVALUATION, f"{_SCORED} SELECT round_even(avg(cer), 4) < 0.10::DOUBLE AS cer_ok, coalesce(count(*) FILTER (WHERE filler_removal_ok)::DOUBLE / nullif(count(filler_removal_ok), 0) > 0.95::DOUBLE, false) AS fillers_ok FROM scored")
 def _(e):
     return evaluate_plan.acceptance(evaluation.summary(evaluation.score(e)))
 
@@ -297,11 +297,11 @@ _FEW = "SELECT index, list_slice({}, 1, 20) AS g, list_slice({}, 1, 20) AS e FRO
 _CODES = "array_to_string(list_transform({}, lambda w: chr(CAST(32 + list_position(list_distinct(list_concat(e, g)), w) AS INT))), '')"
 
 
-@query("wer", X.EVALUATION, f"SELECT index, round(CASE WHEN len(e) = 0 THEN (len(g) > 0)::INT::DOUBLE ELSE levenshtein({_CODES.format('g')}, {_CODES.format('e')})::DOUBLE / len(e) END, 6) AS wer FROM ({_FEW})")
+@query("wer", X.EVALUATION, f"SELECT index, round_even(CASE WHEN len(e) = 0 THEN (len(g) > 0)::INT::DOUBLE ELSE levenshtein({_CODES.format('g')}, {_CODES.format('e')})::DOUBLE / len(e) END, 6) AS wer FROM ({_FEW})")
 def _(e):
     """Of the first twenty words: edit distances of the SQL's engine count bytes, and so many words have codes of one."""
     few = lambda c: F.array_join(F.slice(T.words(F.col(c)), 1, 20), " ")
-    return e.select("index", F.round(M.wer(few("raw_generated"), few("expected")), 6).alias("wer"))
+    return e.select("index", F.bround(M.wer(few("raw_generated"), few("expected")), 6).alias("wer"))
 
 
 @query("optional_metadata", X.PAIRS, f"SELECT CAST(count(*) AS BIGINT) AS pairs, CAST(min(line_no) AS BIGINT) AS first FROM {P}")
@@ -521,7 +521,7 @@ def _(p):
     return missing.join(training.any_of(listing, r"\.safetensors$").withColumnRenamed("found", "weights"), "dir")
 
 
-@query("normalized_losses", X.LOG, f"SELECT ord, coalesce(train_loss, it_per_sec) AS final_train_loss, coalesce(nullif(val_loss, 0), 9.0::DOUBLE) AS best_val_loss, round(train_loss / nullif(it_per_sec, 0), 2) AS ratio, CASE WHEN val_loss IS NOT NULL THEN 'val' WHEN train_loss IS NOT NULL THEN 'train' END AS source FROM ({_PARSED})")
+@query("normalized_losses", X.LOG, f"SELECT ord, coalesce(train_loss, it_per_sec) AS final_train_loss, coalesce(nullif(val_loss, 0), 9.0::DOUBLE) AS best_val_loss, round_even(train_loss / nullif(it_per_sec, 0), 2) AS ratio, CASE WHEN val_loss IS NOT NULL THEN 'val' WHEN train_loss IS NOT NULL THEN 'train' END AS source FROM ({_PARSED})")
 def _(log):
     parsed = training.parse_log(log).withColumn("nine", F.lit(9.0))
     both = training.normalized_summary(parsed, ["train_loss", "it_per_sec"], ["val_loss", "nine"], compat=True)

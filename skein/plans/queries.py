@@ -264,9 +264,9 @@ def _(p):
     return stats.with_total(p.select("lang", F.length("input").alias("chars")), "lang", "chars")
 
 
-@query("mean_of_means", X.PAIRS, f"SELECT round(avg(m), 6) AS mean_of_means FROM (SELECT category, avg(length(input)) AS m FROM {P} GROUP BY 1)")
+@query("mean_of_means", X.PAIRS, f"SELECT round_even(avg(m), 6) AS mean_of_means FROM (SELECT category, avg(length(input)) AS m FROM {P} GROUP BY 1)")
 def _(p):
-    return stats.mean_of_means(p.withColumn("n", F.length("input")), "category", "n").select(F.round("mean_of_means", 6).alias("mean_of_means"))
+    return stats.mean_of_means(p.withColumn("n", F.length("input")), "category", "n").select(F.bround("mean_of_means", 6).alias("mean_of_means"))
 
 
 @query("total_if_known", X.PAIRS, f"SELECT CAST(CASE WHEN count(v) = count(*) THEN sum(v) END AS BIGINT) AS total FROM (SELECT CASE WHEN output <> '' THEN length(output) END AS v FROM {P})")
@@ -371,7 +371,7 @@ def _(p):
 @query(
     "cost_estimate",
     X.PAIRS,
-    f"SELECT batches, batches * 1500 AS input_tokens, batches * 2000 AS output_tokens, round(batches * 1500 / 1e6 * 3 + batches * 2000 / 1e6 * 15, 2) AS usd FROM (SELECT CAST(ceil(count(*) / 25.0::DOUBLE) AS BIGINT) AS batches FROM {P})",
+    f"SELECT batches, batches * 1500 AS input_tokens, batches * 2000 AS output_tokens, round_even(batches * 1500 / 1e6 * 3 + batches * 2000 / 1e6 * 15, 2) AS usd FROM (SELECT CAST(ceil(count(*) / 25.0::DOUBLE) AS BIGINT) AS batches FROM {P})",
 )
 def _(p):
     return p.agg(synth.generation_cost(F.count("*")).alias("c")).select("c.*")
@@ -380,7 +380,7 @@ def _(p):
 @query(
     "judging_cost",
     X.PAIRS,
-    f"SELECT calls, calls * 800 AS input_tokens, calls * 50 AS output_tokens, round(calls * 800 / 1e6 * 3 + calls * 50 / 1e6 * 15, 4) AS usd FROM (SELECT CAST(sum(CAST(ceil(n * 0.12::DOUBLE) AS BIGINT)) AS BIGINT) AS calls FROM (SELECT count(*) AS n FROM {P} GROUP BY category))",
+    f"SELECT calls, calls * 800 AS input_tokens, calls * 50 AS output_tokens, round_even(calls * 800 / 1e6 * 3 + calls * 50 / 1e6 * 15, 4) AS usd FROM (SELECT CAST(sum(CAST(ceil(n * 0.12::DOUBLE) AS BIGINT)) AS BIGINT) AS calls FROM (SELECT count(*) AS n FROM {P} GROUP BY category))",
 )
 def _(p):
     return synth.judging_cost(stats.counts_by(p, "category"), 0.12)
@@ -428,9 +428,9 @@ _BULLET, _NUMBERED, _HEADER = (f"(?m)^{x}" for x in (r"\s*[-•*]\s", r"\s*\d+[.
 @query(
     "written_smell",
     X.PAIRS,
-    f"""SELECT line_no, round(coalesce(len(list_filter(s, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) * 100.0::DOUBLE / nullif(len(s), 0), 0), 1) AS caps_start_pct,
+    f"""SELECT line_no, round_even(coalesce(len(list_filter(s, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) * 100.0::DOUBLE / nullif(len(s), 0), 0), 1) AS caps_start_pct,
     {has('output', _BULLET)} AS has_bullets, {has('output', _NUMBERED)} AS has_numbered, {has('output', _HEADER)} AS has_headers,
-    round(coalesce(len(list_filter(n, lambda x: ends_with(x, '.'))) * 100.0::DOUBLE / nullif(len(n), 0), 0), 1) AS period_end_pct
+    round_even(coalesce(len(list_filter(n, lambda x: ends_with(x, '.'))) * 100.0::DOUBLE / nullif(len(n), 0), 0), 1) AS period_end_pct
     FROM (SELECT *, list_filter(list_transform(string_split_regex(output, '[.!?]+'), lambda x: {strip('x')}), lambda x: x <> '') AS s,
       list_filter(list_transform(string_split(output, chr(10)), lambda x: {strip('x')}), lambda x: x <> '') AS n FROM {P})""",
 )
@@ -491,10 +491,10 @@ def _sided(p):
 
 
 _SIDED = f"SELECT *, CASE WHEN lang = 'en' THEN 'script' ELSE 'prompt' END AS dataset FROM {P}"
-_PROFILE = f"""SELECT category, dataset, count(*) AS count, round(avg(length(input)), 1) AS avg_input_chars, round(avg(iw), 1) AS avg_input_words, round(avg(length(output)), 1) AS avg_output_chars, round(avg(ow), 1) AS avg_output_words,
-  round(avg(CASE WHEN length(input) > 0 THEN length(output)::DOUBLE / length(input) ELSE 0 END), 3) AS avg_compression,
-  round(avg(CASE WHEN iw > 0 THEN fc * 100.0::DOUBLE / iw ELSE 0 END), 2) AS avg_filler_density, round(avg(sc), 2) AS avg_corrections,
-  round(CASE WHEN avg(iw) > 0 THEN coalesce(stddev_samp(iw), 0) / avg(iw) ELSE 0 END, 3) AS input_length_cv, CAST(min(iw) AS INT) AS input_word_min, CAST(max(iw) AS INT) AS input_word_max, round(coalesce(stddev_samp(iw), 0), 1) AS input_word_std
+_PROFILE = f"""SELECT category, dataset, count(*) AS count, round_even(avg(length(input)), 1) AS avg_input_chars, round_even(avg(iw), 1) AS avg_input_words, round_even(avg(length(output)), 1) AS avg_output_chars, round_even(avg(ow), 1) AS avg_output_words,
+  round_even(avg(CASE WHEN length(input) > 0 THEN length(output)::DOUBLE / length(input) ELSE 0 END), 3) AS avg_compression,
+  round_even(avg(CASE WHEN iw > 0 THEN fc * 100.0::DOUBLE / iw ELSE 0 END), 2) AS avg_filler_density, round_even(avg(sc), 2) AS avg_corrections,
+  round_even(CASE WHEN avg(iw) > 0 THEN coalesce(stddev_samp(iw), 0) / avg(iw) ELSE 0 END, 3) AS input_length_cv, CAST(min(iw) AS INT) AS input_word_min, CAST(max(iw) AS INT) AS input_word_max, round_even(coalesce(stddev_samp(iw), 0), 1) AS input_word_std
   FROM (SELECT *, len({tokens('input')}) AS iw, len({tokens('output')}) AS ow, {fillers('input')} AS fc, {corrections('input')} AS sc FROM ({_SIDED})) GROUP BY category, dataset"""
 
 
@@ -549,10 +549,10 @@ _POINTS = [
 
 
 _VERDICTS = f"""WITH places AS (SELECT line_no, len(list_filter(x, lambda v: v = 1)) AS boundary, len(list_filter(x, lambda v: v = 0)) AS mid FROM (SELECT line_no, {_PLACES} AS x FROM {P})),
-    smell AS (SELECT line_no, round(coalesce(len(list_filter(s, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) * 100.0::DOUBLE / nullif(len(s), 0), 0), 1) AS caps
+    smell AS (SELECT line_no, round_even(coalesce(len(list_filter(s, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) * 100.0::DOUBLE / nullif(len(s), 0), 0), 1) AS caps
       FROM (SELECT line_no, list_filter(list_transform(string_split_regex(input, '[.!?]+'), lambda x: {strip('x')}), lambda x: x <> '') AS s FROM {P})),
     rest AS (SELECT line_no, {n_matches(marked('lower(output)'), word('um', 'uh', 'basically', 'literally'), phrase('you know'))} AS n FROM {P}),
-    kept AS (SELECT line_no, round(preservation, 3) AS kept FROM ({_PRESERVED})),
+    kept AS (SELECT line_no, round_even(preservation, 3) AS kept FROM ({_PRESERVED})),
     sample AS (SELECT category, dataset, sum(mid) AS mid, sum(boundary) AS boundary, avg(caps) AS caps, sum(n) AS left_over, avg(kept) AS kept
       FROM ({_SIDED}) JOIN places USING (line_no) JOIN smell USING (line_no) JOIN rest USING (line_no) JOIN kept USING (line_no) GROUP BY category, dataset),
     figures AS (SELECT * FROM ({_PROFILE}) JOIN sample USING (category, dataset) JOIN ({_VOCABULARY}) USING (category, dataset)),
@@ -642,29 +642,29 @@ def _(e):
     return evaluation.score(e).select("index", "exact")
 
 
-@query("cer", X.EVALUATION, f"SELECT index, round({_CER}, 6) AS cer FROM {_ROWS}")
+@query("cer", X.EVALUATION, f"SELECT index, round_even({_CER}, 6) AS cer FROM {_ROWS}")
 def _(e):
-    return evaluation.score(e).select("index", F.round("cer", 6).alias("cer"))
+    return evaluation.score(e).select("index", F.bround("cer", 6).alias("cer"))
 
 
-@query("cer_summary", X.EVALUATION, f"{_SCORED} SELECT round(avg(cer), 4) AS mean, round(median(cer), 4) AS median, round(min(cer), 4) AS least, round(max(cer), 4) AS most FROM scored")
+@query("cer_summary", X.EVALUATION, f"{_SCORED} SELECT round_even(avg(cer), 4) AS mean, round_even(median(cer), 4) AS median, round_even(min(cer), 4) AS least, round_even(max(cer), 4) AS most FROM scored")
 def _(e):
     return evaluation.summary(evaluation.score(e)).select(F.col("cer_mean").alias("mean"), F.col("cer_median").alias("median"), F.col("cer_min").alias("least"), F.col("cer_max").alias("most"))
 
 
-@query("sentence_bleu", X.EVALUATION, f"WITH {_BLEU} SELECT index, round(sentence_bleu, 6) AS sentence_bleu FROM bleu")
+@query("sentence_bleu", X.EVALUATION, f"WITH {_BLEU} SELECT index, round_even(sentence_bleu, 6) AS sentence_bleu FROM bleu")
 def _(e):
-    return evaluation.score(e).select("index", F.round("sentence_bleu", 6).alias("sentence_bleu"))
+    return evaluation.score(e).select("index", F.bround("sentence_bleu", 6).alias("sentence_bleu"))
 
 
 @query(
     "corpus_bleu",
     X.EVALUATION,
     f"""WITH {_BLEU}, s AS (SELECT n, sum(m) AS m, sum(d) AS d, sum(hl) AS hl, sum(rl) AS rl FROM parts GROUP BY n)
-    SELECT round(CASE WHEN min(m) = 0 THEN 0::DOUBLE ELSE (CASE WHEN max(hl) > max(rl) THEN 1::DOUBLE ELSE exp(1 - max(rl)::DOUBLE / max(hl)) END) * exp(sum(ln(m::DOUBLE / d)) / 4) END, 6) AS corpus_bleu FROM s""",
+    SELECT round_even(CASE WHEN min(m) = 0 THEN 0::DOUBLE ELSE (CASE WHEN max(hl) > max(rl) THEN 1::DOUBLE ELSE exp(1 - max(rl)::DOUBLE / max(hl)) END) * exp(sum(ln(m::DOUBLE / d)) / 4) END, 6) AS corpus_bleu FROM s""",
 )
 def _(e):
-    return M.corpus_bleu(evaluation.score(e)).select(F.round("corpus_bleu", 6).alias("corpus_bleu"))
+    return M.corpus_bleu(evaluation.score(e)).select(F.bround("corpus_bleu", 6).alias("corpus_bleu"))
 
 
 @query("format_checks", X.EVALUATION, _CHECKS)
@@ -672,15 +672,15 @@ def _(e):
     return evaluation.score(e).select("index", *M.CHECKS)
 
 
-@query("format_accuracy", X.EVALUATION, f"SELECT index, round(format_accuracy, 6) AS format_accuracy FROM ({_ACCURACY})")
+@query("format_accuracy", X.EVALUATION, f"SELECT index, round_even(format_accuracy, 6) AS format_accuracy FROM ({_ACCURACY})")
 def _(e):
-    return evaluation.score(e).select("index", F.round("format_accuracy", 6).alias("format_accuracy"))
+    return evaluation.score(e).select("index", F.bround("format_accuracy", 6).alias("format_accuracy"))
 
 
 @query(
     "check_rates",
     X.EVALUATION,
-    "SELECT c AS \"check\", count(*) AS applicable, count(*) FILTER (WHERE ok) AS passed, round(avg(ok::INT), 4) AS rate FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS c, {c} AS ok FROM ({_CHECKS})" for c in M.CHECKS) + ") WHERE ok IS NOT NULL GROUP BY 1",
+    "SELECT c AS \"check\", count(*) AS applicable, count(*) FILTER (WHERE ok) AS passed, round_even(avg(ok::INT), 4) AS rate FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS c, {c} AS ok FROM ({_CHECKS})" for c in M.CHECKS) + ") WHERE ok IS NOT NULL GROUP BY 1",
 )
 def _(e):
     return evaluation.check_rates(evaluation.score(e))
@@ -689,40 +689,40 @@ def _(e):
 @query(
     "eval_summary",
     X.EVALUATION,
-    f"""{_SCORED} SELECT count(*) AS n, count(*) FILTER (WHERE exact) AS exact_count, round(avg(exact::INT), 4) AS exact_rate, round(avg(cer), 4) AS cer_mean, round(median(cer), 4) AS cer_median, round(min(cer), 4) AS cer_min, round(max(cer), 4) AS cer_max,
-    round(avg(sentence_bleu), 4) AS sentence_bleu_mean, round(avg(format_accuracy), 4) AS format_accuracy_mean, count(format_accuracy) AS format_applicable, count(*) FILTER (WHERE had_think) AS think_count,
+    f"""{_SCORED} SELECT count(*) AS n, count(*) FILTER (WHERE exact) AS exact_count, round_even(avg(exact::INT), 4) AS exact_rate, round_even(avg(cer), 4) AS cer_mean, round_even(median(cer), 4) AS cer_median, round_even(min(cer), 4) AS cer_min, round_even(max(cer), 4) AS cer_max,
+    round_even(avg(sentence_bleu), 4) AS sentence_bleu_mean, round_even(avg(format_accuracy), 4) AS format_accuracy_mean, count(format_accuracy) AS format_applicable, count(*) FILTER (WHERE had_think) AS think_count,
     {", ".join(f"count({c}) AS {c}_applicable, count(*) FILTER (WHERE {c}) AS {c}_passed" for c in M.CHECKS)} FROM scored""",
 )
 def _(e):
     return evaluation.summary(evaluation.score(e))
 
 
-@query("best20", X.EVALUATION, f"{_SCORED} SELECT index, round(cer, 6) AS cer FROM scored ORDER BY scored.cer, exact DESC, sentence_bleu DESC, index LIMIT 20")
+@query("best20", X.EVALUATION, f"{_SCORED} SELECT index, round_even(cer, 6) AS cer FROM scored ORDER BY scored.cer, exact DESC, sentence_bleu DESC, index LIMIT 20")
 def _(e):
-    return evaluation.best(evaluation.score(e)).select("index", F.round("cer", 6).alias("cer"))
+    return evaluation.best(evaluation.score(e)).select("index", F.bround("cer", 6).alias("cer"))
 
 
-@query("worst20", X.EVALUATION, f"{_SCORED} SELECT index, round(cer, 6) AS cer FROM scored ORDER BY scored.cer DESC, exact, sentence_bleu, index DESC LIMIT 20")
+@query("worst20", X.EVALUATION, f"{_SCORED} SELECT index, round_even(cer, 6) AS cer FROM scored ORDER BY scored.cer DESC, exact, sentence_bleu, index DESC LIMIT 20")
 def _(e):
-    return evaluation.worst(evaluation.score(e)).select("index", F.round("cer", 6).alias("cer"))
+    return evaluation.worst(evaluation.score(e)).select("index", F.bround("cer", 6).alias("cer"))
 
 
-@query("latency_summary", X.EVALUATION, f"SELECT CAST(sum(generated_token_count) AS BIGINT) AS total_tokens, round(sum(generation_seconds), 2) AS total_seconds, round(sum(generated_token_count) / greatest(sum(generation_seconds), 1e-6), 2) AS tokens_per_second, round(avg(generation_seconds), 3) AS seconds_per_sample FROM {E}")
+@query("latency_summary", X.EVALUATION, f"SELECT CAST(sum(generated_token_count) AS BIGINT) AS total_tokens, round_even(sum(generation_seconds), 2) AS total_seconds, round_even(sum(generated_token_count) / greatest(sum(generation_seconds), 1e-6), 2) AS tokens_per_second, round_even(avg(generation_seconds), 3) AS seconds_per_sample FROM {E}")
 def _(e):
     return evaluation.latency(e)
 
 
-@query("precision_compare", X.EVALUATION, f"SELECT index AS idx, expected = raw_generated AS identical, round(length(raw_generated)::DOUBLE / nullif(length(expected), 0), 6) AS length_ratio, coalesce(length(raw_generated)::DOUBLE / nullif(length(expected), 0) NOT BETWEEN 0.3 AND 3.0, false) AS length_off, trim(expected) <> '' AND trim(raw_generated) = '' AS emptied FROM {E}")
+@query("precision_compare", X.EVALUATION, f"SELECT index AS idx, expected = raw_generated AS identical, round_even(length(raw_generated)::DOUBLE / nullif(length(expected), 0), 6) AS length_ratio, coalesce(length(raw_generated)::DOUBLE / nullif(length(expected), 0) NOT BETWEEN 0.3 AND 3.0, false) AS length_off, trim(expected) <> '' AND trim(raw_generated) = '' AS emptied FROM {E}")
 def _(e):
     found = evaluation.compare_precisions(e.select(F.col("index").alias("idx"), F.col("expected").alias("text")), e.select(F.col("index").alias("idx"), F.col("raw_generated").alias("text")))
-    return found.select("idx", "identical", F.round("length_ratio", 6).alias("length_ratio"), "length_off", "emptied")
+    return found.select("idx", "identical", F.bround("length_ratio", 6).alias("length_ratio"), "length_off", "emptied")
 
 
 # --- the judge gate
 
 _SAMPLED = f"(SELECT * EXCLUDE (rn, n) FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY md5(concat('42|', category, '|', line_no)), category, line_no) AS rn, count(*) OVER (PARTITION BY category) AS n FROM {V}) WHERE rn <= ceil(n * 0.5::DOUBLE))"
 _ALL = " AND ".join(f"coalesce({c}, false)" for c in L.CRITERIA)
-_RATES = f"SELECT category, count(*) AS sampled, count(*) FILTER (WHERE NOT parse_error) AS judged, count(*) FILTER (WHERE parse_error) AS parse_errors, {', '.join(f'round(avg(coalesce({c}, false)::INT), 4) AS {c}_rate' for c in L.CRITERIA)}, round(avg(({_ALL})::INT), 4) AS pass_rate FROM {_SAMPLED} GROUP BY 1"
+_RATES = f"SELECT category, count(*) AS sampled, count(*) FILTER (WHERE NOT parse_error) AS judged, count(*) FILTER (WHERE parse_error) AS parse_errors, {', '.join(f'round_even(avg(coalesce({c}, false)::INT), 4) AS {c}_rate' for c in L.CRITERIA)}, round_even(avg(({_ALL})::INT), 4) AS pass_rate FROM {_SAMPLED} GROUP BY 1"
 _DECIDED = f"SELECT *, CASE WHEN pass_rate >= 0.30 THEN 'pass' WHEN pass_rate >= 0.20 THEN 'warn' ELSE 'reject' END AS decision FROM ({_RATES})"
 _CRITICAL = f"SELECT category, line_no FROM {_SAMPLED} WHERE NOT parse_error AND NOT (content_preserved AND no_hallucination)"
 
