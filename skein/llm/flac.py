@@ -1,9 +1,10 @@
 """FLAC streams of 8-bit mono samples, coded and decoded many frames side by side.
 
-One frame holds 576 samples. Its subframe is constant, verbatim, a fixed
-predictor of order 0 to 2 or a linear predictor of order 8 with Rice-coded
-residuals in four partitions, whichever is shortest. Every frame has a seek
-point (first sample, byte offset, samples), so any block can be read alone.
+A stream is cut into frames of 4,608 samples as far as they go, then of 2,304, 1,152
+and 576. A frame's subframe is constant, verbatim, a fixed predictor of order 0 to 2
+or a linear predictor of order 12 with Rice-coded residuals in partitions of 144
+samples, whichever is shortest. Every frame has a seek point (first sample,
+byte offset, samples), so that it can be read alone.
 The decoder reads constant, verbatim, fixed (0 to 4) and linear (1 to 32)
 subframes with any partition order and Rice parameter, including escapes, and
 checks the CRC-8 of each header, the CRC-16 of each frame and the MD5 of the
@@ -18,11 +19,14 @@ from functools import cache, lru_cache
 
 import numpy as np
 
+#: Samples that every stream is a multiple of, and those of a frame, by the code that its header has for them.
 BLOCK = 576
-#: Frames that are coded side by side; that bounds memory whatever a text's length.
-FRAMES = 2048
-ORDER, PRECISION = 8, 12
-PARTITION_ORDER = 2
+SIZES = {5: 4608, 4: 2304, 3: 1152, 2: 576}
+#: Blocks that are coded side by side; that bounds memory whatever a text's length.
+BLOCKS = 8192
+ORDER, PRECISION = 12, 7
+#: Samples of a Rice partition.
+PARTITION = 144
 RATE = 8000
 #: Coefficients of the fixed predictors by order.
 FIXED = {0: [], 1: [1], 2: [2, -1], 3: [3, -3, 1], 4: [4, -6, 4, -1]}
@@ -61,21 +65,21 @@ def crc16(frames: list[bytes]) -> np.ndarray:
 
 
 @lru_cache(65536)
-def frame_header(number: int) -> bytes:
-    """Header of frame ``number``: fixed block size 576, mono, 8 bits, rate from the stream."""
+def frame_header(number: int, code: int) -> bytes:
+    """Header of the frame with first sample ``number``: its size by code, mono, 8 bits, rate from the stream."""
     if number < 0x80:
         coded = bytes([number])
     else:  # as UTF-8, up to 36 bits
         n = next(n for n in range(2, 8) if number < 1 << (5 * n + 1))
         tail = [0x80 | number >> 6 * i & 0x3F for i in range(n - 2, -1, -1)]
         coded = bytes([(0xFF << (8 - n) & 0xFF) | number >> 6 * (n - 1), *tail])
-    head = bytes([0xFF, 0xF8, 0x20, 0x02]) + coded
+    head = bytes([0xFF, 0xF9, code << 4, 0x02]) + coded
     return head + bytes([crc8(head)])
 
 
 def _header_length(frame: bytes) -> int:
     """Length of a frame's header, whose checksum must be right."""
-    if len(frame) < 8 or frame[:2] != b"\xff\xf8":
+    if len(frame) < 8 or frame[:2] not in (b"\xff\xf8", b"\xff\xf9"):
         raise ValueError("no frame at a seek point")
     lead = frame[4]
     n = 5 + (1 if lead < 0x80 else 8 - (lead ^ 0xFF).bit_length())
@@ -85,8 +89,8 @@ def _header_length(frame: bytes) -> int:
 
 @lru_cache(65536)
 def _check_header(head: bytes) -> None:
-    if head[2] >> 4 != 2 or head[3] != 2:
-        raise ValueError("only mono frames of 576 8-bit samples are read")
+    if head[2] >> 4 not in SIZES or head[2] & 15 or head[3] != 2:
+        raise ValueError("only mono frames of 576, 1152, 2304 or 4608 8-bit samples are read")
     if crc8(head[:-1]) != head[-1]:
         raise ValueError("checksum of a frame header is wrong")
 
@@ -107,7 +111,7 @@ def _fixed_residuals(x: np.ndarray, order: int) -> np.ndarray:
 def _linear(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Quantised coefficients (frames, ORDER) and shifts of linear predictors, by Levinson's recursion."""
     f = x.astype(np.float32)
-    auto = np.stack([np.einsum("ij,ij->i", f[:, k:], f[:, : BLOCK - k]) for k in range(ORDER + 1)], 1).astype(np.float64)
+    auto = np.stack([np.einsum("ij,ij->i", f[:, k:], f[:, : x.shape[1] - k]) for k in range(ORDER + 1)], 1).astype(np.float64)
     auto[:, 0] = auto[:, 0] * (1 + 1e-9) + 1e-9
     error, a = auto[:, 0].copy(), np.zeros((len(x), ORDER))
     for i in range(ORDER):
@@ -122,24 +126,28 @@ def _linear(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _linear_residuals(x: np.ndarray, c: np.ndarray, shift: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(x), BLOCK - ORDER), np.int32)
+    size = x.shape[1]
+    total = np.zeros((len(x), size - ORDER), np.int32)
     for j in range(ORDER):
-        total += c[:, j : j + 1] * x[:, ORDER - 1 - j : BLOCK - 1 - j]
+        total += c[:, j : j + 1] * x[:, ORDER - 1 - j : size - 1 - j]
     return x[:, ORDER:] - (total >> shift[:, None])
 
 
-def _partitions(u: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rice parameters (frames, partitions), the parameter of each residual, and the bits of all residuals."""
-    n, parts = len(u), 1 << PARTITION_ORDER
-    full = np.zeros((n, BLOCK), np.int32)
+def _partitions(u: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rice parameters (frames, partitions), the best of three by the mean, and the bits of all residuals."""
+    n, parts = len(u), (u.shape[1] + order) // PARTITION
+    full = np.zeros((n, parts * PARTITION), np.int32)
     full[:, order:] = u
-    sums = full.reshape(n, parts, -1).sum(2, dtype=np.int64)
-    sizes = np.full(parts, BLOCK // parts)
+    cut = full.reshape(n, parts, PARTITION)
+    sizes = np.full(parts, PARTITION)
     sizes[0] -= order
-    mean = sums / sizes
-    k = np.clip(np.floor(np.log2(np.maximum(mean * 0.7, 1))), 0, 14).astype(np.int32)
-    each = np.repeat(k, BLOCK // parts, 1)[:, order:]
-    return k, each, (u >> each).sum(1, dtype=np.int64) + (each + 1).sum(1, dtype=np.int64)
+    least = np.clip(np.floor(np.log2(np.maximum(cut.sum(2, dtype=np.int64) / sizes * 0.7, 1))), 0, 12).astype(np.int32)
+    best, bits = least, None
+    for more in range(3):
+        k = least + more
+        need = (cut >> k[:, :, None]).sum(2, dtype=np.int64) + (k + 1) * sizes
+        best, bits = (k, need) if bits is None else (np.where(need < bits, k, best), np.minimum(need, bits))
+    return best, bits.sum(1) + 4 * parts
 
 
 class _Bits:
@@ -175,7 +183,7 @@ class _Bits:
 
 
 def _rice_subframes(x, u, order, kind, c=None, shift=None) -> list[bytes]:
-    k, each, _ = _partitions(u, order)
+    k, _ = _partitions(u, order)
     out = _Bits(len(x))
     out.add(kind << 1, 8)
     if order:
@@ -184,10 +192,11 @@ def _rice_subframes(x, u, order, kind, c=None, shift=None) -> list[bytes]:
         out.add(PRECISION - 1, 4)
         out.add(shift & 31, 5)
         out.add(c & ((1 << PRECISION) - 1), PRECISION)
-    out.add(PARTITION_ORDER, 6)
+    parts = k.shape[1]
+    out.add(parts.bit_length() - 1, 6)
     at = 0
-    for p in range(1 << PARTITION_ORDER):
-        size = BLOCK // (1 << PARTITION_ORDER) - (order if p == 0 else 0)
+    for p in range(parts):
+        size = PARTITION - (order if p == 0 else 0)
         part, kp = u[:, at : at + size], k[:, p : p + 1]
         out.add(k[:, p], 4)
         out.add((1 << kp) | (part & ((1 << kp) - 1)), (part >> kp) + 1 + kp)
@@ -196,7 +205,7 @@ def _rice_subframes(x, u, order, kind, c=None, shift=None) -> list[bytes]:
 
 
 def encode_blocks(samples: np.ndarray) -> list[bytes]:
-    """Subframes of blocks (frames, 576) of signed 8-bit samples."""
+    """Subframes of frames (frames, samples) of signed 8-bit samples."""
     x = samples.astype(np.int32)
     n = len(x)
     out: list[bytes] = [b""] * n
@@ -209,8 +218,8 @@ def encode_blocks(samples: np.ndarray) -> list[bytes]:
     x = x[left]
     c, shift = _linear(x)
     coded = [(o, 8 + o, _zigzag(_fixed_residuals(x, o))) for o in range(3)] + [(ORDER, 32 + ORDER - 1, _zigzag(_linear_residuals(x, c, shift)))]
-    head = [8 + 8 * o + 22 for o in range(3)] + [8 + 8 * ORDER + 9 + PRECISION * ORDER + 22]
-    bits = np.stack([_partitions(u, o)[2] + h for (o, _, u), h in zip(coded, head, strict=True)] + [np.full(len(x), 8 + 8 * BLOCK)])
+    head = [8 + 8 * o + 6 for o in range(3)] + [8 + 8 * ORDER + 9 + PRECISION * ORDER + 6]
+    bits = np.stack([_partitions(u, o)[1] + h for (o, _, u), h in zip(coded, head, strict=True)] + [np.full(len(x), 8 + 8 * x.shape[1])])
     best = bits.argmin(0)
     for which, (order, kind, u) in enumerate(coded):
         rows = np.flatnonzero(best == which)
@@ -223,31 +232,50 @@ def encode_blocks(samples: np.ndarray) -> list[bytes]:
     return out
 
 
+def _cut(blocks: int) -> list[tuple[int, int]]:
+    """(first block, size code) of the frames of so many blocks."""
+    out, at = [], 0
+    for code, size in SIZES.items():
+        while blocks - at >= size // BLOCK:
+            out.append((at, code))
+            at += size // BLOCK
+    return out
+
+
 def encode(payloads: list[bytes]) -> list[bytes]:
     """A FLAC stream of each payload; unsigned bytes, a positive multiple of 576 of them, become signed samples."""
     counts = [len(p) // BLOCK for p in payloads]
     if any(not n or len(p) != n * BLOCK for n, p in zip(counts, payloads, strict=True)):
         raise ValueError("a payload must be a positive multiple of 576 bytes")
-    signed = np.frombuffer(b"".join(payloads), np.uint8) ^ 0x80
-    blocks = signed.view(np.int8).reshape(-1, BLOCK)
-    numbers = np.concatenate([np.arange(n) for n in counts]) if counts else np.zeros(0, np.int64)
-    frames: list[bytes] = []
-    for a in range(0, len(blocks), FRAMES):
-        subframes = encode_blocks(blocks[a : a + FRAMES])
-        bodies = [frame_header(i) + s for s, i in zip(subframes, numbers[a : a + FRAMES].tolist(), strict=True)]
-        frames += [b + int(crc).to_bytes(2, "big") for b, crc in zip(bodies, crc16(bodies), strict=True)]
+    signed = (np.frombuffer(b"".join(payloads), np.uint8) ^ 0x80).view(np.int8)
+    cuts = [_cut(n) for n in counts]
+    base = np.cumsum([0, *counts])
+    begins = np.array([b + at for b, cut in zip(base.tolist(), cuts, strict=False) for at, _ in cut], np.int64)
+    codes = np.array([code for cut in cuts for _, code in cut], np.int64)
+    numbers = [at * BLOCK for cut in cuts for at, _ in cut]
+    frames: list[bytes] = [b""] * len(codes)
+    for code, size in SIZES.items():
+        rows = np.flatnonzero(codes == code)
+        together = BLOCKS * BLOCK // size
+        for a in range(0, len(rows), together):
+            some = rows[a : a + together]
+            samples = signed[begins[some][:, None] * BLOCK + np.arange(size)]
+            bodies = [frame_header(numbers[i], code) + sub for i, sub in zip(some.tolist(), encode_blocks(samples), strict=True)]
+            for i, body, crc in zip(some.tolist(), bodies, crc16(bodies), strict=True):
+                frames[i] = body + int(crc).to_bytes(2, "big")
     out, at = [], 0
-    for n in counts:
-        own = frames[at : at + n]
-        sizes = np.fromiter(map(len, own), np.int64, n)
-        digest = hashlib.md5(signed[at * BLOCK : (at + n) * BLOCK].tobytes()).digest()
+    for n, cut, first in zip(counts, cuts, base.tolist(), strict=False):
+        own = frames[at : at + len(cut)]
+        at += len(cut)
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        samples = np.array([SIZES[code] for _, code in cut])
+        digest = hashlib.md5(signed[first * BLOCK : (first + n) * BLOCK].tobytes()).digest()
         packed = RATE << 44 | 0 << 41 | 7 << 36 | n * BLOCK
-        info = struct.pack(">HH", BLOCK, BLOCK) + int(sizes.min()).to_bytes(3, "big") + int(sizes.max()).to_bytes(3, "big") + packed.to_bytes(8, "big") + digest
-        points = np.zeros(n, np.dtype([("sample", ">u8"), ("offset", ">u8"), ("size", ">u2")]))
-        points["sample"], points["offset"], points["size"] = np.arange(n) * BLOCK, np.cumsum(sizes) - sizes, BLOCK
+        info = struct.pack(">HH", BLOCK, max(SIZES.values())) + int(sizes.min()).to_bytes(3, "big") + int(sizes.max()).to_bytes(3, "big") + packed.to_bytes(8, "big") + digest
+        points = np.zeros(len(own), np.dtype([("sample", ">u8"), ("offset", ">u8"), ("size", ">u2")]))
+        points["sample"], points["offset"], points["size"] = np.cumsum(samples) - samples, np.cumsum(sizes) - sizes, samples
         table = points.tobytes()
         out.append(b"fLaC" + b"\x00" + len(info).to_bytes(3, "big") + info + b"\x83" + len(table).to_bytes(3, "big") + table + b"".join(own))
-        at += n
     return out
 
 
@@ -267,8 +295,8 @@ def read_stream(stream: bytes) -> tuple[np.ndarray, list[bytes], bytes]:
         elif kind & 0x7F == 3:
             points = np.frombuffer(body, np.dtype([("sample", ">u8"), ("offset", ">u8"), ("size", ">u2")]))
         at += 4 + size
-    if points is None or len(points) * BLOCK != total:
-        raise ValueError("the stream has no seek point for each block")
+    if points is None or int(points["size"].sum(dtype=np.int64)) != total or total % BLOCK:
+        raise ValueError("the stream has no seek point for each frame")
     cuts = [*(points["offset"].astype(np.int64) + at).tolist(), len(stream)]
     return points["sample"].astype(np.int64), [stream[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], digest
 
@@ -319,12 +347,12 @@ def _signed(values: np.ndarray, width) -> np.ndarray:
     return values - ((values >> (np.asarray(width) - 1) & 1) << np.asarray(width))
 
 
-def _decode_predicted(rows: list[bytes], order: int, linear: bool) -> np.ndarray:
-    """Samples (rows, 576) of subframes of one kind."""
+def _decode_predicted(rows: list[bytes], order: int, linear: bool, samples: int) -> np.ndarray:
+    """Samples (rows, samples) of subframes of one kind."""
     n = len(rows)
     reader = _Reader(rows)
     reader.bits(8)
-    out = np.zeros((BLOCK, n), np.int64)
+    out = np.zeros((samples, n), np.int64)
     for t in range(order):
         out[t] = _signed(reader.bits(8), 8)
     if linear:
@@ -337,11 +365,11 @@ def _decode_predicted(rows: list[bytes], order: int, linear: bool) -> np.ndarray
         raise ValueError("unknown residual coding")
     wide = 4 + method
     partition_order = reader.bits(4)
-    size = BLOCK >> partition_order
+    size = samples >> partition_order
     k = raw = np.zeros(n, np.int64)
     escaped = np.zeros(n, bool)
-    begins = {t for p in set(partition_order.tolist()) for t in range(order, BLOCK) if t % (BLOCK >> p) == 0} | {order}
-    for t in range(order, BLOCK):
+    begins = {t for p in set(partition_order.tolist()) for t in range(order, samples) if t % (samples >> p) == 0} | {order}
+    for t in range(order, samples):
         if t in begins:
             new = (t % size == 0) | (t == order)
             found = reader.bits(np.where(new, wide, 0))
@@ -366,42 +394,53 @@ def _decode_predicted(rows: list[bytes], order: int, linear: bool) -> np.ndarray
     return out.T
 
 
-def decode_frames(frames: list[bytes]) -> np.ndarray:
-    """Samples (frames, 576), once headers and checksums are found right."""
+def decode_frames(frames: list[bytes]) -> list[np.ndarray]:
+    """The samples of each frame, once headers and checksums are found right."""
     if (crc16([f[:-2] for f in frames]) != np.array([int.from_bytes(f[-2:], "big") for f in frames], np.uint16)).any():
         raise ValueError("checksum of a frame is wrong")
     bodies = [f[_header_length(f) : -2] for f in frames]
-    out = np.zeros((len(frames), BLOCK), np.int8)
+    sizes = np.fromiter((SIZES[f[2] >> 4] for f in frames), np.int64, len(frames))
     kinds = np.fromiter((b[0] for b in bodies), np.int64, len(bodies))
-    for kind in np.unique(kinds).tolist():
-        rows = np.flatnonzero(kinds == kind)
-        some = [bodies[i] for i in rows.tolist()]
+    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(frames)
+    for size, kind in sorted(set(zip(sizes.tolist(), kinds.tolist(), strict=True))):
+        rows = np.flatnonzero((sizes == size) & (kinds == kind)).tolist()
+        some = [bodies[i] for i in rows]
         number = kind >> 1
         if kind & 0x81:
             raise ValueError("wasted bits are not read")
         if number == 0:
-            out[rows] = np.frombuffer(b"".join(b[1:2] for b in some), np.int8)[:, None]
+            found = np.repeat(np.frombuffer(b"".join(b[1:2] for b in some), np.int8)[:, None], size, 1)
         elif number == 1:
-            out[rows] = np.frombuffer(b"".join(b[1 : 1 + BLOCK] for b in some), np.int8).reshape(-1, BLOCK)
+            found = np.frombuffer(b"".join(b[1 : 1 + size] for b in some), np.int8).reshape(-1, size)
         elif 8 <= number <= 12:
-            out[rows] = _decode_predicted(some, number - 8, False)
+            found = _decode_predicted(some, number - 8, False, size).astype(np.int8)
         elif number >= 32:
-            out[rows] = _decode_predicted(some, number - 31, True)
+            found = _decode_predicted(some, number - 31, True, size).astype(np.int8)
         else:
             raise ValueError("reserved subframe type")
+        for i, samples in zip(rows, found, strict=True):
+            out[i] = samples
     return out
 
 
+def _sizes(frames: list[bytes]) -> list[int]:
+    """Samples of frames, by their headers."""
+    return [SIZES.get(f[2] >> 4, BLOCK) if len(f) > 2 else BLOCK for f in frames]
+
+
 def decode(streams: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each stream its blocks' first samples, and its samples (blocks, 576)."""
     read = [read_stream(s) for s in streams]
     frames = [f for _, own, _ in read for f in own]
-    blocks = np.concatenate([np.zeros((0, BLOCK), np.int8), *(decode_frames(frames[a : a + FRAMES]) for a in range(0, len(frames), FRAMES))])
+    parts: list[np.ndarray] = []
+    ends = np.cumsum([n // BLOCK for _, own, _ in read for n in _sizes(own)])
+    for group in np.split(np.arange(len(frames)), np.flatnonzero(np.diff(ends // BLOCKS)) + 1):
+        parts += decode_frames([frames[i] for i in group.tolist()])
     out, at = [], 0
-    for first, frames, digest in read:
-        own = blocks[at : at + len(frames)]
-        if hashlib.md5(own.tobytes()).digest() != digest:
+    for _, own, digest in read:
+        samples = np.concatenate(parts[at : at + len(own)])
+        if hashlib.md5(samples.tobytes()).digest() != digest:
             raise ValueError("digest of the samples is wrong")
-        out.append((first, own))
-        at += len(frames)
+        out.append((np.arange(len(samples) // BLOCK, dtype=np.int64) * BLOCK, samples.reshape(-1, BLOCK)))
+        at += len(own)
     return out

@@ -22,7 +22,7 @@ from skein.llm.workspace import Workspace
 
 PAD = b"\xff"
 #: Bytes of texts or streams that are coded together.
-TOGETHER = 1 << 20
+TOGETHER = 4 << 20
 
 BLOCKS = "doc_id long, first_sample long, n_samples int, pcm binary"
 FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"

@@ -57,7 +57,7 @@ def test_media(spark, sf, edge, none):
 def test_long_text_is_coded_in_groups(monkeypatch):
     text = bytes(np.random.default_rng(3).integers(32, 127, 576 * 40, dtype=np.uint8))
     whole = flac.encode([text, media.payload(b"x")])
-    monkeypatch.setattr(flac, "FRAMES", 7)
+    monkeypatch.setattr(flac, "BLOCKS", 16)
     assert flac.encode([text, media.payload(b"x")]) == whole
     assert [(s.view(np.uint8) ^ 0x80).tobytes() for _, s in flac.decode(whole)] == [text, media.payload(b"x")]
 
