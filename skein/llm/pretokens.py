@@ -12,14 +12,15 @@ from __future__ import annotations
 import json
 import os
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Distinct pre-tokens that an Encoder keeps before it starts anew.
-KEPT = 300_000
+KEPT = 500_000
+#: Pre-tokens that the library is given as one sequence of words.
+TOGETHER = 4096
 #: Bytes of texts whose ids are held against the library's, for each worker.
 CHECKED = 1 << 16
 
@@ -202,9 +203,18 @@ class Encoder:
         return out
 
     def _add(self, names: list[bytes]) -> np.ndarray:
-        found = [x.ids for x in self.library.encode_batch_fast([x.decode() for x in names], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        # many pre-tokens as one sequence cost less than a sequence each
+        rows = [[x.decode() for x in names[a : a + TOGETHER]] for a in range(0, len(names), TOGETHER)]
+        found = self.library.encode_batch_fast(rows, is_pretokenized=True, add_special_tokens=False)
+        parts = []
+        for x, row in zip(found, rows, strict=True):
+            if None in (word := x.word_ids):  # a special string belongs to no word
+                own = [y.ids for y in self.library.encode_batch_fast(row, add_special_tokens=False)]
+                word, got = [i for i, y in enumerate(own) for _ in y], [i for y in own for i in y]
+            else:
+                got = x.ids
+            parts.append((np.array(got, np.uint32), np.bincount(np.array(word, np.int64), minlength=len(row))))
+        ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
         first = len(self.known)
         for name in names:
             self.known[name] = len(self.known)
