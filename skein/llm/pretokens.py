@@ -2,9 +2,9 @@
 
 A tokenizer of this kind encodes each pre-token by itself, so a text's ids are
 the ids of its pre-tokens in a row, and a pre-token need only be encoded once.
-Splitting is done on whole blocks of text with array operations; the tokenizers
-library encodes all new pre-tokens of a block at once, and every ``Encoder``
-holds the ids of its first texts against those of the library itself.
+Splitting is done on whole blocks of text with array operations; the model of the
+tokenizers library encodes all new pre-tokens of a block at once, and every
+``Encoder`` holds the ids of its first texts against the library's own.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Distinct pre-tokens that an Encoder keeps before it starts anew.
-KEPT = 500_000
+KEPT = 400_000
 #: Pre-tokens that the library is given as one sequence of words.
 TOGETHER = 4096
 #: Bytes of texts whose ids are held against the library's, for each worker.
@@ -114,6 +114,14 @@ def split_words(points: np.ndarray, edge: np.ndarray) -> np.ndarray:
 
 
 @cache
+@cache
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in vocabularies: printable Latin-1 as itself, others from U+0100 on."""
+    hidden = iter(range(0x100, 0x200))
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: chr(b) if b in printable else chr(next(hidden)) for b in range(256)}
+
+
 @cache
 def library(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -130,6 +138,8 @@ class Encoder:
 
     def __init__(self, path: str):
         self.library = library(path)
+        # pre-tokens are split and normalised already, so only the library's model is asked for them
+        self.model = type(self.library)(self.library.model)
         spec = json.loads(self.library.to_str())
         self.words = spec["normalizer"] is not None
         self.special = {x["content"].encode(): x["id"] for x in spec["added_tokens"]}
@@ -203,18 +213,24 @@ class Encoder:
         return out
 
     def _add(self, names: list[bytes]) -> np.ndarray:
-        # many pre-tokens as one sequence cost less than a sequence each
-        rows = [[x.decode() for x in names[a : a + TOGETHER]] for a in range(0, len(names), TOGETHER)]
-        found = self.library.encode_batch_fast(rows, is_pretokenized=True, add_special_tokens=False)
-        parts = []
-        for x, row in zip(found, rows, strict=True):
-            if None in (word := x.word_ids):  # a special string belongs to no word
-                own = [y.ids for y in self.library.encode_batch_fast(row, add_special_tokens=False)]
-                word, got = [i for i, y in enumerate(own) for _ in y], [i for y in own for i in y]
-            else:
-                got = x.ids
-            parts.append((np.array(got, np.uint32), np.bincount(np.array(word, np.int64), minlength=len(row))))
-        ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        ends = np.cumsum(np.fromiter(map(len, names), np.int64, len(names))).tolist()
+        letters = b"".join(names).decode("latin-1").translate(byte_letters())
+        words = [letters[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        # special strings have ids of their own, white space between words has none
+        own = {i: self.special.get(x) for i, x in enumerate(names) if (not x.strip(b" ") if self.words else x in self.special)}
+        plain = np.ones(len(names), bool)
+        plain[list(own)] = False
+        if own:
+            words = [words[i] for i in np.flatnonzero(plain).tolist()]
+        rows = [words[a : a + TOGETHER] for a in range(0, len(words), TOGETHER)]
+        found = self.model.encode_batch(rows, is_pretokenized=True, add_special_tokens=False)
+        sizes, starts = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        sizes[plain] = np.concatenate([np.zeros(0, np.int64), *(np.bincount(np.array(x.word_ids, np.int64), minlength=len(row)) for x, row in zip(found, rows, strict=True))])
+        starts[plain] = np.cumsum(sizes[plain]) - sizes[plain]
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(x.ids, np.uint32) for x in found)])
+        for i, special in own.items():
+            if special is not None:
+                starts[i], sizes[i], ids = len(ids), 1, np.append(ids, np.uint32(special))
         first = len(self.known)
         for name in names:
             self.known[name] = len(self.known)
@@ -222,7 +238,7 @@ class Encoder:
         self.ids = _grown(self.ids, self.used + len(ids))
         self.starts, self.sizes = _grown(self.starts, last), _grown(self.sizes, last)
         self.ids[self.used : self.used + len(ids)] = ids
-        self.starts[first:last] = self.used + np.cumsum(sizes) - sizes
+        self.starts[first:last] = self.used + starts
         self.sizes[first:last] = sizes
         self.used += len(ids)
         return np.arange(first, last)
