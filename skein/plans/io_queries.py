@@ -304,7 +304,7 @@ def _(e):
     return e.select("index", F.bround(M.wer(few("raw_generated"), few("expected")), 6).alias("wer"))
 
 
-@query("optional_metadata", X.PAIRS, f"SELECT CAST(count(*) AS BIGINT) AS pairs, CAST(min(line_no) AS BIGINT) AS first FROM {P}")
+@query("metadata_report", X.PAIRS, f"SELECT CAST(count(*) AS BIGINT) AS pairs, CAST(min(line_no) AS BIGINT) AS first FROM {P}")
 def _(p):
     """A report read back if it is there; one that is not there, and one that is broken, are none."""
     spark, path = p.sparkSession, folder(p.sparkSession)
