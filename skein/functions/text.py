@@ -16,8 +16,18 @@ def matches(text: Column, patterns: list[str]) -> Column:
     return reduce(add, [F.regexp_count(text, F.lit("(?U)" + p)) for p in patterns])
 
 
+#: The characters with the property White_Space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    """text without white space at its ends, which alone are looked at."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
+def has_any(text: Column, *needles: str) -> Column:
+    """Whether text holds any of the strings: a cheap test before a pattern that needs one of them."""
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in needles])
 
 
 def words(text: Column) -> Column:

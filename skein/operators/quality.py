@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import lexicons as L
-from skein.functions.text import merged_codes, strip, words
+from skein.functions.text import has_any, merged_codes, strip, words
 
 
 def unquoted_fillers(text: Column) -> Column:
@@ -33,15 +33,16 @@ def rule_checks(source: Column, output: Column) -> dict[str, Column]:
     """Code of each rule and whether the pair breaks it."""
     i, o = strip(source), strip(output)
     null_byte = lambda t: F.contains(t, F.lit("\x00"))
+    mojibake = lambda t: has_any(t, "�", "Ã", "â") & t.rlike(L.MOJIBAKE)
     return {
         "length": (i != "") & (o != "") & (F.length(o) > 2 * F.length(i)),
         "empty_output": (o == "") & (i != "") & (F.length(strip(F.regexp_replace(i, L.VALIDATOR_FILLERS, ""))) > 10),
         "input_null_byte": null_byte(source),
-        "input_mojibake": source.rlike(L.MOJIBAKE),
+        "input_mojibake": mojibake(source),
         "output_null_byte": null_byte(output),
-        "output_mojibake": output.rlike(L.MOJIBAKE),
+        "output_mojibake": mojibake(output),
         "fillers": (o != "") & F.regexp_replace(o, L.QUOTED, "").rlike(L.VALIDATOR_FILLERS),
-        "think_tag": (o != "") & o.rlike(L.THINK_TAG),
+        "think_tag": has_any(F.lower(o), "think>") & o.rlike(L.THINK_TAG),
     }
 
 
