@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm import chat_format, decontamination, license_scan, line_dedup, media, packing, quality, simhash, token_counts, token_files
+from skein.llm import chat_format, decontamination, exponion, fim, license_scan, line_dedup, media, packing, quality, simhash, token_counts, token_files, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_line_dedup": line_dedup.query,
         "op9_chat_format": chat_format.query,
         "op10_quality_classifier": quality.query,
+        "op11_toxicity_lexicon": toxicity.query,
+        "op12_exponion_clusters": exponion.query,
+        "op13_fill_in_middle": fim.query,
     }
 
 
@@ -25,4 +28,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scan": license_scan.oracle(),
         "op3_fm_decontamination": decontamination.ORACLE,
         "op9_chat_format": chat_format.ORACLE,
+        "op12_exponion_clusters": exponion.oracle(),
+        "op13_fill_in_middle": fim.ORACLE,
     }
