@@ -8,9 +8,9 @@ The score is a logistic function of the weights found per thousand characters.
 
 Weights are learned from a bounded sample of labelled rows (``PER_CLASS`` of each class:
 of the first ``CANDIDATES`` times as many in the order of a hash of the id, the first
-that have a text of up to ``LONGEST`` bytes), never from held-out ids. A word joins the lexicon if it is
-far more frequent in toxic texts: counted once for each text and each word before it, so that neither a
-long text nor copies of one text make a term. Terms of ``SEEDS`` have a weight of their own until the sample
+that have a text of up to ``LONGEST`` bytes), never from held-out ids. A word, or the beginning of a family of
+words, joins the lexicon if it is far more frequent in toxic texts: counted once with each word before it, so that neither a
+text that repeats itself nor copies of one text make a term. Terms of ``SEEDS`` have a weight of their own until the sample
 says otherwise. Texts are scored whole, piece by piece.
 
 Defined results: null counts as empty text; an empty text scores like any text without terms. Labels that are
@@ -46,13 +46,15 @@ EXCEPTIONS = (
     "trash can", "trash cans", "trash bin", "trash bins", "trash bag", "trash bags", "trash collection", "trash pickup", "take out the trash", "taking out the trash",
     "clown fish", "circus clown", "clown car", "class clown", "pond scum", "soap scum", "sore loser", "loser bracket", "losers bracket", "cheeky bastard sword", "bastard sword", "bastard file",
 )
-#: Least evidence (log-likelihood ratio, twice) and least ratio of rates for a learned term; the longest lexicon.
-EVIDENCE, RATIO, TERMS = 30.0, 10.0, 2_000
+#: Least evidence (log-likelihood ratio, twice), ratio of rates, letters and texts of a learned term; the longest lexicon.
+EVIDENCE, RATIO, LEAST, TEXTS, TERMS = 30.0, 10.0, 3, 5, 2_000
+#: A beginning that makes up less than this share of the words it begins is an open term.
+OPEN = 0.8
 #: Characters added to every text's length, and characters that a rate counts by.
 SMOOTH, PER = 200, 1_000
 #: (offset, slope) where there are no labels.
 UNFITTED = (-3.0, 3.0)
-RIDGE = 0.05
+RIDGE = 1.0
 
 #: Fixed: letters that look like Latin ones, below their Latin looks.
 _LOOKS = (
@@ -79,7 +81,7 @@ def fold(text: str) -> str:
 
 @dataclass
 class Lexicon:
-    weights: dict[str, float]  # by folded term
+    weights: dict[str, tuple[float, bool]]  # by folded term; open ones are beginnings of words
     exceptions: tuple[str, ...]  # folded phrases
     offset: float = UNFITTED[0]
     slope: float = UNFITTED[1]
@@ -87,15 +89,15 @@ class Lexicon:
 
     @classmethod
     def of(cls, weights: dict[str, float], exceptions: Iterable[str] = EXCEPTIONS) -> Lexicon:
-        return cls({fold(t): w for t, w in weights.items()}, tuple(fold(p) for p in exceptions))
+        return cls({fold(t): (w, False) for t, w in weights.items()}, tuple(fold(p) for p in exceptions))
 
     def automaton(self) -> ahocorasick.Automaton:
         if self.found is None:
             made = ahocorasick.Automaton()
             for phrase in self.exceptions:
-                made.add_word(phrase, (len(phrase), None))
-            for term, weight in self.weights.items():
-                made.add_word(term, (len(term), weight))
+                made.add_word(phrase, (len(phrase), None, False))
+            for term, (weight, open_) in self.weights.items():
+                made.add_word(term, (len(term), weight, open_))
             made.make_automaton()
             self.found = made
         return self.found
@@ -108,12 +110,12 @@ class Lexicon:
         if not self.weights:
             return 0.0
         size, hits, covered = len(folded), [], []
-        for last, (length, weight) in self.automaton().iter(folded):
+        for last, (length, weight, open_) in self.automaton().iter(folded):
             first, end = last + 1 - length, last + 1
             if first and folded[first - 1].isalnum():
                 continue
             plural = end < size and folded[end] == "s"
-            if end + plural < size and folded[end + plural].isalnum():
+            if not open_ and end + plural < size and folded[end + plural].isalnum():
                 continue
             if weight is None:
                 covered.append((first, end))
@@ -141,34 +143,54 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.offset + self.slope * self.rate(text)))))
 
 
-def _support(texts: list[str]) -> dict[str, int]:
-    """Of each word the number of texts, or of words before it if those are fewer."""
-    texts_of, before_of = defaultdict(int), defaultdict(set)
+def _pairs(texts: list[str]) -> tuple[set[tuple[str, str]], dict[str, int]]:
+    """The distinct pairs of neighbouring words, and of each beginning of a word the number of texts that hold it."""
+    pairs, held = set(), defaultdict(int)
     for text in texts:
         words = _WORD.findall(fold(text))
-        for w in set(words):
-            texts_of[w] += 1
-        for a, b in zip(["", *words], words, strict=False):
-            before_of[b].add(a)
-    return {w: min(n, len(before_of[w])) for w, n in texts_of.items()}
-
-
-def learned(toxic: list[str], clean: list[str]) -> dict[str, float]:
-    """Weights of terms: the log ratio of rates of words far more frequent in toxic texts, and of seeds as the sample has them."""
-    a, b = _support(toxic), _support(clean)
-    na, nb = len(toxic), len(clean)
-    out = {fold(s): SEED_WEIGHT for s in SEEDS}
-    found = {}
-    for word in {*a, *(w for w in b if w in out)}:
-        x, y = a.get(word, 0), b.get(word, 0)
-        ratio = ((x + 0.5) / na) / ((y + 0.5) / nb)
-        share = (x + y) / (na + nb)
-        evidence = 2 * sum(n * math.log(n / (size * share)) for n, size in ((x, na), (y, nb)) if n)
-        if evidence >= EVIDENCE and ratio >= RATIO and len(word) > 2:
-            found[word] = (evidence, math.log(ratio))
-        elif word in out and ratio < 1 and y > 2:
-            del out[word]
-    return out | {w: weight for w, (_, weight) in sorted(found.items(), key=lambda x: (-x[1][0], x[0]))[:TERMS]}
+        pairs.update(zip(["", *words], words, strict=False))
+        for stem in {w[:k] for w in set(words) for k in range(LEAST, len(w) + 1)}:
+            held[stem] += 1
+    return pairs, held
+
+
+def learned(toxic: list[str], clean: list[str]) -> dict[str, tuple[float, bool]]:
+    """(weight, open) of terms: whole words and open beginnings of words that are far more frequent in toxic texts, and seeds.
+
+    A beginning is counted by the distinct pairs of a word that begins so and the word before it. Of beginnings of
+    one another that with the most evidence stays, the longest of those alike.
+    """
+    (a, texts_of), (b, _) = _pairs(toxic), _pairs(clean)
+    stems = {s for s, n in texts_of.items() if n >= TEXTS}
+    seeds = {fold(s) for s in SEEDS}
+    x, y, whole = defaultdict(int), defaultdict(int), defaultdict(int)
+    for pairs, counts in ((a, x), (b, y)):
+        for _, word in pairs:
+            for k in range(LEAST, len(word) + 1):
+                if word[:k] in stems or word[:k] in seeds:
+                    counts[word[:k]] += 1
+            if pairs is a and word in stems:
+                whole[word] += 1
+    found = []
+    for stem in stems:
+        m, n = x[stem], y[stem]
+        ratio = ((m + 0.5) / len(a)) / ((n + 0.5) / len(b))
+        share = (m + n) / (len(a) + len(b))
+        evidence = 2 * sum(c * math.log(c / (size * share)) for c, size in ((m, len(a)), (n, len(b))) if c)
+        if evidence >= EVIDENCE and ratio >= RATIO:
+            found.append((evidence, stem, math.log(ratio)))
+    out = {s: (SEED_WEIGHT, False) for s in seeds if (x[s] + 0.5) / len(a) >= (y[s] + 0.5) / len(b) or y[s] < TEXTS}
+    taken, below = set(), set()
+    for _, stem, weight in sorted(found, key=lambda f: (-f[0], -len(f[1]), f[1])):
+        if len(taken) == TERMS:
+            break
+        beginnings = {stem[:k] for k in range(LEAST, len(stem) + 1)}
+        if stem in below or beginnings & taken:
+            continue
+        taken.add(stem)
+        below |= beginnings
+        out[stem] = (weight, whole[stem] < OPEN * x[stem])
+    return out
 
 
 def fit(toxic: list[str], clean: list[str], exceptions: Iterable[str] = EXCEPTIONS) -> Lexicon:

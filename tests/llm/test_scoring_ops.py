@@ -174,13 +174,24 @@ def test_terms_come_from_contexts_not_copies():
     assert "scum" not in terms and toxicity.fold("idiot") in terms
 
 
+def test_beginnings_of_word_families_are_open_terms():
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefgh", k=3))
+    say = lambda begin: " ".join(x for _ in range(2) for x in (*(word() for _ in range(20)), begin + word()))
+    toxic, clean = [say("grumpf") for _ in range(60)], [say("") for _ in range(300)]
+    lexicon = toxicity.fit(toxic, clean)
+    weight, open_ = lexicon.weights["grumpf"]
+    assert open_ and weight > 2 and sum(w.startswith("gru") for w in lexicon.weights) == 1
+    assert lexicon.score("und ein Grumpfal und " + say("")) > 0.7 > lexicon.score("ein Ungrumpfal " + say(""))
+
+
 def test_held_out_toxicity(spark):
     d = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{d}/labels.parquet").withColumnRenamed("toxic", "wanted")
     rows = toxicity.query(spark, d).join(labels, "doc_id").where("held_out").collect()
     right = sum(r.predicted == r.wanted for r in rows)
     false = sum(r.predicted == 1 and r.wanted == 0 for r in rows)
-    assert right / len(rows) > 0.93 and false <= 0.005 * len(rows)  # some 5 % of the labels are noise
+    assert right / len(rows) > 0.98 and false <= 0.005 * len(rows)
 
 
 def test_toxicity_edges(spark, sf, edge, none):
