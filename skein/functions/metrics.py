@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import lexicons as L
-from skein.functions.text import merged_codes, strip, words
+from skein.functions.text import merged_codes, place_among, strip, words
 
 
 def exact_match(generated: Column, expected: Column) -> Column:
@@ -29,15 +29,66 @@ def _shared_start(a: Column, b: Column) -> Column:
     return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), lambda s, _: halve(s), lambda s: s["lo"])
 
 
-def edit_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance. What texts have alike at either end adds nothing, so only what is between is compared, which costs the product of its lengths."""
+#: Items of the shorter side up to which the built-in distance is asked; it takes time with the product of the lengths.
+SHORT = 1_000
+
+
+def _run(a: Column, b: Column, i: Column, j: Column) -> Column:
+    """How many items from i in a equal those from j in b: blocks are doubled while they are equal, then halved."""
+    most = F.greatest(F.least(F.size(a) - i, F.size(b) - j), F.lit(0))
+    doublings = F.sequence(F.lit(0), F.ceil(F.log2(most + 1)).cast("int"))
+
+    def block(s: Column, t: Column) -> Column:
+        size = F.pow(F.lit(2.0), t).cast("int")
+        same = F.slice(a, i + s["n"] + 1, size) == F.slice(b, j + s["n"] + 1, size)
+        grown = F.struct((s["n"] + size).alias("n"), s["stop"].alias("stop"))
+        return F.when((t < s["stop"]) & (s["n"] + size <= most) & same, grown)
+
+    up = lambda s, t: F.coalesce(block(s, t), F.struct(s["n"].alias("n"), F.least(s["stop"], t).alias("stop")))
+    start = F.struct(F.lit(0).alias("n"), F.lit(31).alias("stop")).cast("struct<n:int,stop:int>")
+    doubled = F.aggregate(doublings, start, lambda s, t: F.when(t < s["stop"], up(s, t)).otherwise(s))
+    full = F.aggregate(F.reverse(doublings), doubled, lambda s, t: F.coalesce(block(s, t), s), lambda s: s["n"])
+    return F.when(F.get(a, i) == F.get(b, j), full).otherwise(F.lit(0))
+
+
+def _by_diagonals(a: Column, b: Column) -> Column:
+    """Edit distance of two arrays of any items: on each diagonal how far so many edits reach, one edit more at a time.
+
+    Costs the square of the distance and the items that are passed over; holds a number for each diagonal reached.
+    """
+    n, m = F.size(a), F.size(b)
+    slide = lambda i, j: i + _run(a, b, i, j)
+
+    def further(s: Column) -> Column:
+        """One edit more: a diagonal is reached from itself and from both beside it."""
+        d = s["d"] + 1
+
+        def reach(x: Column) -> Column:
+            k = x - d
+            start = F.greatest(F.get(s["f"], x - 1) + 1, F.get(s["f"], x - 2), F.get(s["f"], x) + 1)
+            bound = F.least(start, n, m - k)  # before 0 or beyond the end there is nothing
+            return F.transform(F.array(bound), lambda i: F.when((i >= 0) & (i + k >= 0), slide(i, i + k)).otherwise(i))[0]
+
+        return F.struct(d.alias("d"), F.transform(F.sequence(F.lit(0), 2 * d), reach).alias("f")).cast("struct<d:int,f:array<int>>")
+
+    done = lambda s: F.coalesce(F.get(s["f"], m - n + s["d"]) >= n, F.lit(False))
+    start = F.struct(F.lit(0).alias("d"), F.array(slide(F.lit(0), F.lit(0))).alias("f")).cast("struct<d:int,f:array<int>>")
+    return F.aggregate(F.sequence(F.lit(0), F.greatest(n, m)), start, lambda s, _: F.when(done(s), s).otherwise(further(s)), lambda s: s["d"])
+
+
+def edit_distance(a: Column, b: Column, short: int = SHORT) -> Column:
+    """Levenshtein distance. What texts have alike at either end adds nothing; what is left costs its length and the square of the distance."""
     bind = lambda x, y, f: F.transform(F.array(F.struct(x.alias("a"), y.alias("b"))), f)[0]
     rest = lambda t, n: F.substring(t, n + 1, F.length(t))
+    letters = lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, "", -1))
+
+    def different(p: Column) -> Column:
+        few = F.least(F.length(p["a"]), F.length(p["b"])) <= short
+        return F.when(few, F.levenshtein(p["a"], p["b"])).otherwise(bind(letters(p["a"]), letters(p["b"]), lambda q: _by_diagonals(q["a"], q["b"])))
 
     def between(p: Column) -> Column:
         """Of reversed texts without their common start."""
-        n = F.transform(F.array(_shared_start(p["a"], p["b"])), lambda n: F.levenshtein(rest(p["a"], n), rest(p["b"], n)))
-        return n[0]
+        return F.transform(F.array(_shared_start(p["a"], p["b"])), lambda n: bind(rest(p["a"], n), rest(p["b"], n), different))[0]
 
     def turned(p: Column) -> Column:
         return F.transform(F.array(_shared_start(p["a"], p["b"])), lambda n: bind(F.reverse(rest(p["a"], n)), F.reverse(rest(p["b"], n)), between))[0]
@@ -52,13 +103,42 @@ def cer(generated: Column, expected: Column) -> Column:
     )
 
 
+def _item_codes(items: Column, common: Column, alone: int) -> Column:
+    """A character for each item: of a common one by its place in the sorted common items, of any other ``alone``."""
+    code = lambda w: F.transform(F.array(place_among(w, common)), lambda i: F.when(i < 0, F.lit(alone)).otherwise(i + 0x40))[0]
+    return F.decode(F.unhex(F.array_join(F.transform(items, lambda w: F.lpad(F.hex(code(w)), 8, "0")), "")), "UTF-32")
+
+
+def word_distance(generated: Column, expected: Column, short: int = SHORT) -> Column:
+    """Edit distance of two arrays of words, of any number.
+
+    Words of a short side become characters, those that only one side has one character for
+    each side, as they match nothing; longer arrays are compared as they are.
+    """
+    both = F.struct(generated.alias("g"), expected.alias("e"))
+
+    def coded(t: Column) -> Column:
+        common = F.array(F.array_sort(F.array_intersect(t["g"], t["e"])))
+        texts = lambda c: F.struct(_item_codes(t["g"], c, 0x20).alias("g"), _item_codes(t["e"], c, 0x21).alias("e"))
+        return F.transform(F.transform(common, texts), lambda c: F.levenshtein(c["g"], c["e"]))[0]
+
+    few = lambda t: F.least(F.size(t["g"]), F.size(t["e"])) <= short
+    return F.transform(F.array(both), lambda t: F.when(few(t), coded(t)).otherwise(_by_diagonals(t["g"], t["e"])))[0]
+
+
+def word_rate(generated: Column, expected: Column) -> Column:
+    """Edit distance of two arrays of words for each expected one; of none expected 0 or 1."""
+
+    def rate(t: Column) -> Column:
+        n = F.size(t["e"])
+        return F.when(t["g"].isNull() | t["e"].isNull(), F.lit(None)).when(n == 0, (F.size(t["g"]) > 0).cast("double")).otherwise(word_distance(t["g"], t["e"]) / n)
+
+    return F.transform(F.array(F.struct(generated.alias("g"), expected.alias("e"))), rate)[0]
+
+
 def wer(generated: Column, expected: Column) -> Column:
-    """As cer over words: each distinct word becomes a character, for up to 50,000 distinct words."""
-    both = F.array_distinct(F.concat(words(expected), words(generated)))
-    code = lambda ws, all_: F.array_join(F.transform(ws, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(all_, w) + 0x20), 8, "0")), "UTF-32")), "")
-    coded = F.transform(F.array(both), lambda a: F.struct(code(words(generated), a).alias("g"), code(words(expected), a).alias("e")))[0]
-    n = F.size(words(expected))
-    return F.when(n == 0, (F.size(words(generated)) > 0).cast("double")).otherwise(F.levenshtein(coded["g"], coded["e"]) / n)
+    """As cer over words."""
+    return word_rate(words(generated), words(expected))
 
 
 def _grams(tokens: Column, n: int) -> Column:

@@ -202,8 +202,8 @@ def merged_codes(a: Column, b: Column) -> Column:
     return F.sort_array(F.concat(code(a, 0), code(b, 1)))
 
 
-def is_among(item: Column, ordered: Column) -> Column:
-    """Whether a sorted array has the item, by halving the range where it can be."""
+def place_among(item: Column, ordered: Column) -> Column:
+    """The place from 0 at which a sorted array has the item, -1 if it has not, by halving the range where it can be."""
 
     def halve(s: Column) -> Column:
         mid = F.shiftright(s["lo"] + s["hi"], 1)
@@ -214,7 +214,12 @@ def is_among(item: Column, ordered: Column) -> Column:
     steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(ordered) + 1)).cast("int"))
     start = F.struct(F.lit(0).alias("lo"), F.size(ordered).alias("hi"))
     found = F.aggregate(steps, start, lambda s, _: F.when(s["lo"] < s["hi"], halve(s)).otherwise(s), lambda s: s["lo"])
-    return F.coalesce(F.get(ordered, found) == item, F.lit(False))
+    return F.transform(F.array(found), lambda i: F.when(F.get(ordered, i) == item, i).otherwise(F.lit(-1)))[0]
+
+
+def is_among(item: Column, ordered: Column) -> Column:
+    """Whether a sorted array has the item."""
+    return place_among(item, ordered) >= 0
 
 
 def made_up_words(source: Column, output: Column) -> Column:

@@ -1,12 +1,18 @@
-"""Scores of generated rows and their summary (AGG-10 to 13, WIN-07, MET-12 to 14)."""
+"""Scores of generated rows and their summary (AGG-10 to 13, WIN-07, MET-12 to 15)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import metrics as M
-from skein.functions.text import had_think, strip_think
+from skein.functions.text import had_think, strip_think, words
+from skein.operators.selection import quantiles
+from skein.sources.shared import scratch
 
 
 def score(rows: DataFrame) -> DataFrame:
@@ -19,14 +25,16 @@ def score(rows: DataFrame) -> DataFrame:
 
 
 def summary(scored: DataFrame) -> DataFrame:
-    """One row of aggregates over scored rows; counts of checks are nullable where none applies."""
+    """One row of aggregates over scored rows; counts of checks are nullable where none applies.
+
+    The figures are written once as a narrow table, which the aggregates and the exact median are read from.
+    """
     r4 = lambda c: F.bround(c, 4)
     fields = [
         F.count("*").alias("n"),
         F.count_if("exact").alias("exact_count"),
         r4(F.avg(F.col("exact").cast("int"))).alias("exact_rate"),
         r4(F.avg("cer")).alias("cer_mean"),
-        r4(F.percentile("cer", F.lit(0.5))).alias("cer_median"),
         r4(F.min("cer")).alias("cer_min"),
         r4(F.max("cer")).alias("cer_max"),
         r4(F.avg("sentence_bleu")).alias("sentence_bleu_mean"),
@@ -36,7 +44,13 @@ def summary(scored: DataFrame) -> DataFrame:
     ]
     for c in M.CHECKS:
         fields += [F.count(c).alias(f"{c}_applicable"), F.count_if(F.col(c)).alias(f"{c}_passed")]
-    return scored.agg(*fields)
+    with scratch(scored.select("exact", "cer", "sentence_bleu", "format_accuracy", "had_think", *M.CHECKS), "scores") as figures:
+        found = figures.agg(*fields)
+        row, (median,) = found.collect(), quantiles(figures, "cer", [0.5])
+        made = scored.sparkSession.createDataFrame(row, found.schema)
+    names = [c for c in found.columns if c != "cer_min"]
+    at = names.index("cer_mean") + 1
+    return made.withColumn("cer_median", r4(F.lit(median).cast("double"))).select(*names[:at], "cer_median", "cer_min", *names[at:])
 
 
 def check_rates(scored: DataFrame) -> DataFrame:
@@ -83,3 +97,37 @@ def compare_precisions(full: DataFrame, small: DataFrame) -> DataFrame:
         F.coalesce((ratio < 0.3) | (ratio > 3.0), F.lit(False)).alias("length_off"),
         ((F.trim("full") != "") & (F.trim("small") == "")).alias("emptied"),
     )
+
+
+#: Shares of the counts 0, 1, 2 ... of a Poisson distribution of mean 1, added up.
+POISSON = [sum(math.exp(-1) / math.factorial(k) for k in range(n + 1)) for n in range(8)]
+
+
+def replicate_weight(seed: int, replicate: Column, key: Column) -> Column:
+    """How often a row is drawn in a replicate: Poisson of mean 1 by a digest, alike in every engine and partitioning."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), replicate.cast("string"), key.cast("string")).cast("binary"))
+    share = F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long") / F.lit(float(1 << 32))
+    return reduce(add, [(share >= F.lit(p)).cast("int") for p in POISSON])
+
+
+def ab_compare(rows: DataFrame, replicates: int = 200, seed: int = 42, inside: float = 0.95) -> DataFrame:
+    """One row for rows (index, expected, a, b): word error rates of two outputs, which is better how often, and an interval of their difference.
+
+    The interval is that of a bootstrap: every replicate weighs each row by a digest, so all replicates are
+    sums that tasks add up before anything is shuffled, a row for each replicate and task.
+    Rows without an expected text or one of the outputs do not count.
+    """
+    rate = lambda c: M.word_rate(words(F.col(c)), words(F.col("expected")))
+    rated = rows.select("index", rate("a").alias("a"), rate("b").alias("b")).where("a is not null and b is not null")
+    with scratch(rated, "ab") as pairs:
+        means = [F.count("*").alias("n"), F.avg("a").alias("wer_a"), F.avg("b").alias("wer_b"), F.avg(F.col("a") - F.col("b")).alias("difference")]
+        wins = [F.count_if(F.col("a") < F.col("b")).alias("a_better"), F.count_if(F.col("a") > F.col("b")).alias("b_better"), F.count_if(F.col("a") == F.col("b")).alias("ties")]
+        whole = pairs.agg(*means, *wins)
+        drawn = pairs.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).withColumn("w", replicate_weight(seed, F.col("r"), F.col("index")))
+        sums = drawn.groupBy("r").agg(F.sum(F.col("w") * (F.col("a") - F.col("b"))).alias("d"), F.sum("w").alias("w")).where("w > 0")
+        found, row = sorted(r["d"] / r["w"] for r in sums.collect()), whole.collect()
+        made = rows.sparkSession.createDataFrame(row, whole.schema)
+    low, high = (found[math.floor((1 - inside) / 2 * (len(found) - 1))], found[math.ceil((1 + inside) / 2 * (len(found) - 1))]) if found else (None, None)
+    r6 = lambda c: F.bround(c, 6)
+    ends = made.withColumn("low", F.lit(low).cast("double")).withColumn("high", F.lit(high).cast("double"))
+    return ends.select("n", *[r6(c).alias(c) for c in ("wer_a", "wer_b", "difference", "low", "high")], "a_better", "b_better", "ties")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skein.functions.metrics import corpus_bleu
 from skein.functions.text import pretty_label
 from skein.operators import evaluation as E
+from skein.sources.shared import stored
 
 
 @dataclass
@@ -21,7 +22,7 @@ class Evaluated:
 
 
 def evaluate(rows: DataFrame, k: int = 20) -> Evaluated:
-    scored = E.score(rows)
+    scored = stored(E.score(rows), "scored")
     summary = E.summary(scored).crossJoin(corpus_bleu(scored)).crossJoin(E.latency(scored))  # one row each
     return Evaluated(scored, summary, E.best(scored, k), E.worst(scored, k))
 

@@ -293,15 +293,39 @@ def _(e):
     return evaluation.sanity(shown).select("index", F.array_join("problems", ",").alias("problems"))
 
 
-_FEW = "SELECT index, list_slice({}, 1, 20) AS g, list_slice({}, 1, 20) AS e FROM {}".format(tokens("raw_generated"), tokens("expected"), E)
-_CODES = "array_to_string(list_transform({}, lambda w: chr(CAST(32 + list_position(list_distinct(list_concat(e, g)), w) AS INT))), '')"
+def _word_rate(g: str, e: str, view: str) -> str:
+    """index, rate: words that are alike at both ends cut off, the others as numbers in a fold over rows of distances."""
+    alike = "coalesce(list_position(list_transform(range(1, least(len(g), len(e)) + 1), lambda i: g[i] <> e[i]), true) - 1, least(len(g), len(e)))"
+    rest = f"list_reverse(list_slice(g, {alike} + 1, len(g))) AS g, list_reverse(list_slice(e, {alike} + 1, len(e))) AS e"
+    number = lambda ws: f"list_transform({ws}, lambda w: list_position(c, w))::BIGINT[]"
+    rows = "list_prepend(range(0, len(b) + 1)::BIGINT[], list_transform(a, lambda x, i: [x, i]::BIGINT[]))"
+    above = "list_transform(b, lambda y, j: [least(p[j + 1] + 1, p[j] + (y <> t[1])::INT)]::BIGINT[])"
+    row = f"list_reduce(list_prepend([t[2]]::BIGINT[], {above}), lambda done, z: list_append(done, least(list_last(done) + 1, z[1])))"
+    return f"""SELECT index, CASE WHEN n = 0 THEN (m > 0)::INT::DOUBLE ELSE list_last(list_reduce({rows}, lambda p, t: {row}))::DOUBLE / n END AS rate FROM
+    (SELECT index, n, m, {number('g')} AS a, {number('e')} AS b FROM (SELECT *, list_distinct(list_concat(g, e)) AS c FROM
+    (SELECT index, n, m, {rest} FROM (SELECT index, len(e) AS n, len(g) AS m, {rest} FROM (SELECT index, {tokens(g)} AS g, {tokens(e)} AS e FROM {view})))))"""
+
+
+@query("wer", X.EVALUATION, f"SELECT index, round_even(rate, 6) AS wer FROM ({_word_rate('raw_generated', 'expected', E)})")
+def _(e):
+    return e.select("index", F.bround(M.wer(F.col("raw_generated"), F.col("expected")), 6).alias("wer"))
+
+
+_DRAWN = " + ".join(f"CAST(u >= {p!r}::DOUBLE AS INT)" for p in evaluation.POISSON)
 
 
-@query("wer", X.EVALUATION, f"SELECT index, round_even(CASE WHEN len(e) = 0 THEN (len(g) > 0)::INT::DOUBLE ELSE levenshtein({_CODES.format('g')}, {_CODES.format('e')})::DOUBLE / len(e) END, 6) AS wer FROM ({_FEW})")
+@query(
+    "ab_compare",
+    X.EVALUATION,
+    f"""WITH p AS MATERIALIZED (SELECT index, a.rate AS a, b.rate AS b FROM ({_word_rate('raw_generated', 'expected', E)}) a JOIN ({_word_rate('input', 'expected', E)}) b USING (index)),
+    u AS (SELECT r, a - b AS d, CAST('0x' || left(md5(concat('42|', r, '|', index)), 8) AS BIGINT) / 4294967296.0::DOUBLE AS u FROM p, range(200) t(r)),
+    s AS (SELECT list_sort(list(m)) AS m FROM (SELECT sum(w * d) / sum(w) AS m FROM (SELECT r, d, {_DRAWN} AS w FROM u) GROUP BY r HAVING sum(w) > 0))
+    SELECT n, round_even(wer_a, 6) AS wer_a, round_even(wer_b, 6) AS wer_b, round_even(difference, 6) AS difference, round_even(m[5], 6) AS low, round_even(m[196], 6) AS high, a_better, b_better, ties
+    FROM s, (SELECT count(*) AS n, avg(a) AS wer_a, avg(b) AS wer_b, avg(a - b) AS difference, count(*) FILTER (WHERE a < b) AS a_better, count(*) FILTER (WHERE a > b) AS b_better, count(*) FILTER (WHERE a = b) AS ties FROM p)""",
+)
 def _(e):
-    """Of the first twenty words: edit distances of the SQL's engine count bytes, and so many words have codes of one."""
-    few = lambda c: F.array_join(F.slice(T.words(F.col(c)), 1, 20), " ")
-    return e.select("index", F.bround(M.wer(few("raw_generated"), few("expected")), 6).alias("wer"))
+    """What the model makes of a text against the text as it was."""
+    return evaluation.ab_compare(e.select("index", "expected", F.col("raw_generated").alias("a"), F.col("input").alias("b")))
 
 
 @query("metadata_report", X.PAIRS, f"SELECT CAST(count(*) AS BIGINT) AS pairs, CAST(min(line_no) AS BIGINT) AS first FROM {P}")
@@ -446,9 +470,10 @@ def _(p):
     return judge.judge_pairs(p.select("line_no"), model, F.col("line_no").cast("string")).select("line_no", "parse_error", "no_hallucination")
 
 
-@query("answer_or_reasoning", X.PAIRS, f"SELECT line_no, CASE WHEN output <> '' THEN left(output, 50) ELSE category END AS answer FROM {P}")
+@query("answer_or_reasoning", X.PAIRS, f"SELECT line_no, md5(CASE WHEN output <> '' THEN output ELSE input END) AS answer FROM {P}")
 def _(p):
-    return p.select("line_no", synth.answer_or_reasoning(F.when(F.col("output") != "", F.left("output", F.lit(50))), F.col("category")).alias("answer"))
+    answer = synth.answer_or_reasoning(F.when(F.col("output") != "", F.col("output")), F.col("input"))
+    return p.select("line_no", F.md5(answer.cast("binary")).alias("answer"))
 
 
 # --- control tables

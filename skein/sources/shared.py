@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +27,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """df as a table in the shared folder for as long as the block runs: what is read of it must be fetched within."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.parquet(path)
+    finally:
+        remove(df.sparkSession, path)
