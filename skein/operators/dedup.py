@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import dedup_key
+from skein.sources.shared import stored
 
 
 def first_occurrences(pairs: DataFrame, order: list[str], text: str = "input") -> DataFrame:
@@ -83,17 +84,43 @@ def top_per_group(rows: DataFrame, group: list[str], order: list, n: int) -> Dat
     return rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
 
 
+#: Counts (a row for each file and group) up to which they are broadcast.
+FEW_COUNTS = 1_000_000
+
+
+def ordered_places(rows: DataFrame, order: list[str], name: str = "place", group: str | None = None, total: str | None = None) -> DataFrame:
+    """rows with their place from 0 in the order of columns, in all or in each group; total: a column for the rows of the group.
+
+    Rows are dealt by ranges of group and order and written, so each file holds one
+    stretch of the order however large a group is. A place is the rows of the group in the files before
+    and the place in its own file: only the counts, a row for each file and group, are shuffled. Rows alike in group and
+    order stand in any order, which the table fixes.
+    """
+    by = [group] if group else []
+    table = stored(rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order), "ordered")
+    lined = table.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    counts = lined.groupBy(*by, "__file").agg(F.count("*").alias("__n"), F.min("__row").alias("__first"), F.min(F.struct(*order)).alias("__low"))
+    all_ = Window.partitionBy(*by)  # over the counts
+    before = counts.select(*by, "__file", "__first", (F.sum("__n").over(all_.orderBy("__low")) - F.col("__n")).alias("__before"), F.sum("__n").over(all_).alias("__total"))
+    before = F.broadcast(before) if before.count() <= FEW_COUNTS else before
+    if group:  # a null group is one as well
+        placed = lined.join(before, (lined["__file"] == before["__file"]) & lined[group].eqNullSafe(before[group])).drop(before["__file"]).drop(before[group])
+    else:
+        placed = lined.join(before, "__file")
+    if total:
+        placed = placed.withColumn(total, F.col("__total"))
+    return placed.withColumn(name, F.col("__before") + F.col("__row") - F.col("__first")).drop("__file", "__row", "__first", "__before", "__total")
+
+
 def batches(rows: DataFrame, group: str, order: list[str], size: int = 25) -> DataFrame:
     """rows with batch, their number in fixed-size batches of a group."""
-    w = Window.partitionBy(group).orderBy(*order)
-    return rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    return ordered_places(rows, order, "batch", group).withColumn("batch", F.floor(F.col("batch") / size).cast("int"))
 
 
 def still_needed(rows: DataFrame, plan: DataFrame, order: list[str]) -> DataFrame:
     """Of each category's rows the first plan.remaining."""
-    w = Window.partitionBy("category").orderBy(*order)
-    ranked = rows.withColumn("__rn", F.row_number().over(w))
-    return ranked.join(plan.select("category", "remaining"), "category").where("__rn <= remaining").drop("__rn", "remaining")
+    asked = rows.join(plan.where("remaining > 0").select("category", "remaining"), "category")
+    return ordered_places(asked, order, "__place", "category").where("__place < remaining").drop("__place", "remaining")
 
 
 def union_sources(*ranked: DataFrame) -> DataFrame:

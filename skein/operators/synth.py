@@ -21,6 +21,8 @@ from skein.functions.text import first_paragraph, numbered_list
 from skein.operators.dedup import batches
 from skein.operators.joins import zip_short
 from skein.operators.quality import first_reason
+from skein.sources.readers import file_name, listing
+from skein.sources.shared import stored
 
 Model = Callable[[list[str]], list[str | None]]
 
@@ -78,10 +80,32 @@ def run_totals(generated: DataFrame, asked: DataFrame | None = None) -> DataFram
     return sums.where("all = 1 or category is not null").select(F.when(F.col("all") == 1, "TOTAL").otherwise(F.col("category")).alias("category"), "generated", "rejected", "failed")
 
 
-def clean_texts(rows: DataFrame, wanted: int, text: str = "text", scan_factor: int = 20) -> DataFrame:
-    """Up to ``wanted`` (text, category) of first fitting paragraphs, from a bounded scan."""
-    found = rows.limit(scan_factor * wanted).select(first_paragraph(F.col(text)).alias("text"))
-    return found.withColumn("category", category(F.col("text"))).where("text is not null and category is not null").limit(wanted)
+def clean_texts(spark: SparkSession, pattern: str, wanted: int, text: str = "text", scan_factor: int = 20) -> DataFrame:
+    """Up to ``wanted`` (place, text, category) of first fitting paragraphs of eligible categories, from a bounded scan of Parquet files.
+
+    Files are read in the order of their paths, as many again as before in each step, until
+    enough texts are found or ``scan_factor`` times as many rows were seen; files behind are
+    not opened. place is that of the row in all files, so the same texts are found however files are
+    split. Both numbers are the feature's limits.
+    """
+    files = [r["path"] for r in listing(spark, pattern).orderBy("path").collect()]
+    seen, at, step, most = 0, 0, 1, scan_factor * wanted
+    found = spark.createDataFrame([], "place long, text string, category string")
+    have = 0
+    while at < len(files) and seen < most and have < wanted:
+        some = files[at : at + step]
+        rows = spark.read.parquet(*some).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row"), first_paragraph(F.col(text)).alias("text"))
+        firsts = []
+        for path in some:  # counts come from the footers
+            firsts.append((file_name(path), seen))
+            seen += spark.read.parquet(path).count()
+        placed = rows.withColumn("file", F.element_at(F.split("path", "/"), -1)).join(F.broadcast(spark.createDataFrame(firsts, "file string, first long")), "file")
+        placed = placed.withColumn("place", F.col("first") + F.col("row")).where(F.col("place") < most)
+        fitting = placed.where("text is not null").withColumn("category", category(F.col("text"))).where(F.col("category").isin(L.CLEAN_TO_MESSY))
+        found = found.unionByName(stored(fitting.orderBy("place").limit(wanted - have).select("place", "text", "category"), "clean"))
+        have = found.count()
+        at, step = at + len(some), 2 * step
+    return found
 
 
 def quota_plan(spark: SparkSession, existing: DataFrame, total: int, batch_size: int = 25, weights: dict[str, float] | None = None) -> DataFrame:

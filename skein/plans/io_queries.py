@@ -42,7 +42,7 @@ def _(p):
     return readers.raw_pairs(spark, path).select(md5("input"), md5("output"), F.lit("raw/all").alias("source"))
 
 
-@query("synthetic_pairs_read", X.PAIRS, f"SELECT lang AS category, md5(input) AS input, md5(output) AS output, concat('synthetic/synthetic_', lang) AS source FROM {P} WHERE lang IN ('en', 'fr')")
+@query("synthetic_pairs_read", X.PAIRS, f"SELECT lang AS category, md5(input) AS input, md5(output) AS output, concat('synthetic/', lang) AS source FROM {P} WHERE lang IN ('en', 'fr')")
 def _(p):
     """One file a category, written by ``write_jsonl_file``; one of them is rejected, one is not configured."""
     spark, path = p.sparkSession, folder(p.sparkSession)
@@ -130,13 +130,15 @@ def _(p):
     return back.groupBy("category").agg(F.count("*").alias("n"), F.md5(F.min("input").cast("binary")).alias("least"))
 
 
-@query("combined_lines", X.PAIRS, f"SELECT value, CAST(row_number() OVER (ORDER BY rank, line_no) - 1 AS BIGINT) AS place FROM (SELECT lang || ' ' || line_no AS value, CASE lang WHEN 'fr' THEN 1 WHEN 'en' THEN 2 END AS rank, line_no FROM {P} WHERE lang IN ('fr', 'en') AND output <> '')")
+@query("combined_lines", X.PAIRS, f"SELECT md5(input) AS input, md5(output) AS output, CAST(row_number() OVER (ORDER BY list_position(['fr', 'es', 'en', 'de'], lang), line_no) - 1 AS BIGINT) AS place FROM {P} WHERE output <> ''")
 def _(p):
-    """One file in the order of the categories, read back with its line numbers."""
+    """All pairs as ordered files in the order of their categories, blank lines dropped, read back with their places."""
     path = folder(p.sparkSession)
-    lines = p.where("lang in ('fr', 'en')").select(F.col("lang").alias("category"), "line_no", F.when(F.col("output") != "", F.concat_ws(" ", "lang", "line_no")).otherwise("  ").alias("value"))
-    writers.combined(lines, ["fr", "en"]).coalesce(1).write.text(path)
-    return readers.numbered_lines(p.sparkSession, path).select("value", (F.col("line_no") - 1).alias("place"))
+    line = J.to_json_line(F.col("input"), F.col("output"))
+    lines = p.select(F.col("lang").alias("category"), "line_no", F.when(F.col("output") != "", line).otherwise("  ").alias("value"))
+    writers.write_ordered(writers.combined(lines, ["fr", "es", "en", "de"]), path)
+    back = writers.read_ordered(p.sparkSession, path).withColumn("p", J.strict_strings(F.col("value"), ["input", "output"])).select("place", "p.*")
+    return back.select("place", md5("input"), md5("output"))
 
 
 @query("rewritten_lines", X.VERDICTS, f"SELECT category, line_no FROM {V} WHERE (category, line_no) NOT IN ({_CRITICAL})")
@@ -339,9 +341,12 @@ def _(p):
     return readers.optional_json(spark, f"{path}/report.json").select("pairs", "first")
 
 
-@query("listing_megabytes", X.PAIRS, f"SELECT sum(length(input)) / 1048576::DOUBLE AS mb FROM {P}")
+@query("listing_megabytes", X.PAIRS, f"SELECT sum(strlen(replace(input, chr(10), ' ')) + 1) / 1048576::DOUBLE AS mb FROM {P}")
 def _(p):
-    return stats.directory_size(p.select(F.length("input").cast("long").alias("length")))
+    """Sizes of the files of a folder, by a listing alone."""
+    path = folder(p.sparkSession)
+    p.select(F.translate("input", "\n", " ").alias("value")).write.text(path)
+    return stats.directory_size(readers.listing(p.sparkSession, f"{path}/*").withColumnRenamed("size", "length"))
 
 
 @query("verdict_tally", X.PAIRS, "WITH v AS (SELECT 1) SELECT verdict, count(*) AS n FROM (VALUES ('TIE'), ('A_BETTER'), ('TIE')) t(verdict) GROUP BY 1")
@@ -393,15 +398,15 @@ def _(p):
     return gate.replayed_verdicts(p.select("line_no"), responses, prompt).select("line_no", "parse_error", "input_realistic")
 
 
-@query("messified", X.PAIRS, f"SELECT category, CAST((row_number() OVER (PARTITION BY category ORDER BY line_no) - 1) // 25 AS INT) AS batch, concat('um ', line_no) AS transcript, CAST(line_no AS VARCHAR) AS output FROM {P}")
+@query("messified", X.PAIRS, f"SELECT category, CAST((row_number() OVER (PARTITION BY category ORDER BY line_no) - 1) // 25 AS INT) AS batch, md5('um ' || t) AS transcript, md5(t) AS output FROM (SELECT *, replace(input, chr(10), ' ') AS t FROM {P})")
 def _(p):
     """Batches of 25 texts; the model's items are zipped with the texts."""
 
     def model(prompts: list[str]) -> list[str | None]:
         return [json.dumps([{"transcript": "um " + line.split(". ", 1)[1], "output": "-"} for line in x.split("\n")]) for x in prompts]
 
-    texts = p.select("category", "line_no", F.col("line_no").cast("string").alias("text"))
-    return synth.messify(texts, model, ["line_no"], "{texts}").select("category", F.col("batch").cast("int").alias("batch"), "transcript", "output")
+    texts = p.select("category", "line_no", F.translate("input", "\n", " ").alias("text"))
+    return synth.messify(texts, model, ["line_no"], "{texts}").select("category", F.col("batch").cast("int").alias("batch"), md5("transcript"), md5("output"))
 
 
 @query("quotas_filled", X.PAIRS, "SELECT * FROM (VALUES ('a', 60, 60), ('b', 40, 40), ('c', 0, 0)) v(category, n, n_distinct) WHERE n > 0")

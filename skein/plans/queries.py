@@ -879,4 +879,4 @@ def _(spark, d):
     return spark.read.schema("input string, dedup_key string").parquet(f"{work}/out").agg(F.count("*").alias("n_distinct"), F.sum(F.length(T.dedup_key(F.col("input")))).alias("chars"))
 
 
-from skein.plans import io_queries  # noqa: E402, F401  registers more queries
+from skein.plans import io_queries, run_queries  # noqa: E402, F401  register more queries

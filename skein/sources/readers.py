@@ -15,7 +15,19 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def file_name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
+def listing(spark: SparkSession, pattern: str) -> DataFrame:
+    """(path, file, size) of the files that a pattern names, hidden ones left out; no file is opened."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
+    rows = [(s.getPath().toString(), s.getPath().getName(), s.getLen()) for s in found if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+    return spark.createDataFrame(rows, "path string, file string, size long")
+
+
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, stem, line_no, value) of text files; numbers are those of physical lines, from 1.
 
     Files are split as Spark likes. Each split's lines are counted, and a line's
@@ -35,8 +47,8 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), "value")
 
 
-def jsonl_pairs(spark: SparkSession, path: str, rank: int, label: str, prefix: str = "", keep_blank: bool = True) -> DataFrame:
-    """Pairs of a JSONL folder: input, output, source (label/stem), category (stem less prefix), src_rank, file, line_no.
+def jsonl_pairs(spark: SparkSession, path: str | list[str], rank: int, label: str, prefix: str = "", keep_blank: bool = True) -> DataFrame:
+    """Pairs of JSONL files: input, output, source (label/category), category (stem less prefix), src_rank, file, line_no.
 
     Lines that are no object with both texts as strings are left out.
     keep_blank: whether pairs with a blank text stay.
@@ -45,7 +57,7 @@ def jsonl_pairs(spark: SparkSession, path: str, rank: int, label: str, prefix: s
     pairs = parsed.select(
         "p.input",
         "p.output",
-        F.concat(F.lit(f"{label}/"), "stem").alias("source"),
+        F.concat(F.lit(f"{label}/"), F.regexp_replace("stem", f"^{prefix}", "")).alias("source"),
         F.regexp_replace("stem", f"^{prefix}", "").alias("category"),
         F.lit(rank).alias("src_rank"),
         "file",
@@ -58,12 +70,21 @@ def raw_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return jsonl_pairs(spark, f"{folder}/*.jsonl", 0, "raw").withColumn("category", F.lit(None).cast("string"))
 
 
-def synthetic_pairs(spark: SparkSession, folder: str, rejected: DataFrame | None = None, configured: list[str] | None = None) -> DataFrame:
-    """Pairs of synthetic_*.jsonl less rejected files, of configured categories only."""
-    pairs = jsonl_pairs(spark, f"{folder}/synthetic_*.jsonl", 1, "synthetic", "synthetic_")
+def synthetic_files(spark: SparkSession, folder: str, rejected: DataFrame | None = None, configured: list[str] | None = None) -> DataFrame:
+    """The listing of synthetic_*.jsonl less rejected names, of configured categories only."""
+    files = listing(spark, f"{folder}/synthetic_*.jsonl")
     if configured is not None:
-        pairs = pairs.where(F.col("category").isin(configured))
-    return pairs.join(F.broadcast(rejected.select("file").distinct()), "file", "left_anti") if rejected is not None else pairs
+        names = spark.createDataFrame([(f"synthetic_{c}.jsonl",) for c in configured], "file string")
+        files = files.join(names, "file", "left_semi")
+    return files.join(rejected.select("file"), "file", "left_anti") if rejected is not None else files
+
+
+def synthetic_pairs(spark: SparkSession, folder: str, rejected: DataFrame | None = None, configured: list[str] | None = None) -> DataFrame:
+    """Pairs of the files of ``synthetic_files``: the others are neither opened nor counted."""
+    paths = sorted(r["path"] for r in synthetic_files(spark, folder, rejected, configured).select("path").collect())
+    if not paths:
+        return spark.createDataFrame([], "input string, output string, source string, category string, src_rank int, file string, line_no long")
+    return jsonl_pairs(spark, paths, 1, "synthetic", "synthetic_")
 
 
 def prepared_pairs(spark: SparkSession, folder: str) -> DataFrame:

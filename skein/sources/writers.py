@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.functions.jsonx import to_json_line
+from skein.sources.readers import numbered_lines
 
 
 def write_jsonl(rows: DataFrame, path: str, columns: list[str] | None = None, mode: str = "overwrite") -> int:
@@ -53,6 +54,27 @@ def combined(pairs: DataFrame, order: list[str]) -> DataFrame:
     return pairs.where("trim(value) <> ''").orderBy(rank, "line_no").select("value")
 
 
+def write_ordered(lines: DataFrame, path: str) -> DataFrame:
+    """Sorted lines (value) as text files that follow one another, and their manifest (file, n, first), which is returned.
+
+    Tasks write as many files as the sort has ranges; the manifest says how many lines each has
+    and the place of its first one, so that no task writes, and no reader counts, all lines. It lies in a folder
+    that readers of text skip.
+    """
+    spark = lines.sparkSession
+    lines.write.mode("errorifexists").option("lineSep", "\n").text(path)
+    counts = spark.read.option("lineSep", "\n").text(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n"))
+    first = F.sum("n").over(Window.orderBy("file")) - F.col("n")  # a row for each file, whose names have the order of the ranges
+    counts.select("file", "n", first.alias("first")).coalesce(1).write.json(f"{path}/_manifest")
+    return spark.read.schema("file string, n long, first long").json(f"{path}/_manifest")
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """(place, value) of what ``write_ordered`` wrote: places from 0 over all files."""
+    manifest = spark.read.schema("file string, n long, first long").json(f"{path}/_manifest")
+    return numbered_lines(spark, path).join(F.broadcast(manifest), "file").select((F.col("first") + F.col("line_no") - 1).alias("place"), "value")
+
+
 def rewrite_without(lines: DataFrame, gone: DataFrame, path: str, version: int) -> str:
     """Lines (category, line_no, value) less those of gone, written beside the old version; returns the new folder."""
     to = f"{path}/v{version}"

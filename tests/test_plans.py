@@ -63,7 +63,7 @@ def test_sources_to_splits(spark, tmp_path):
     done = prepare(readers.raw_pairs(spark, str(raw)), s, readers.prepared_pairs(spark, str(prepared)))
     assert done.validated.count() == 5
     got = {r.input: (r.source, r.line_no) for r in done.accepted.collect()}
-    assert got == {"hello world one": ("raw/a", 1), "another pair here": ("synthetic/synthetic_meeting_notes", 2), "milk and eggs": ("prepared/shopping_lists", 1)}
+    assert got == {"hello world one": ("raw/a", 1), "another pair here": ("synthetic/meeting_notes", 2), "milk and eggs": ("prepared/shopping_lists", 1)}
     assert sum(write_prepared(done, str(tmp_path / "out")).values()) == 3
     with pytest.raises(FileExistsError):
         write_prepared(done, str(tmp_path / "out"))
