@@ -6,12 +6,15 @@ A model is a function from a list of prompts to a list of answers (or None). It
 
 from __future__ import annotations
 
+import sys
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import add
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -134,38 +137,67 @@ def judging_cost(counts: DataFrame, rate: float, tokens: tuple[int, int] = (800,
 
 
 def with_retries(model: Model, tries: int = 3, wait: float = 2.0) -> Model:
-    """The model, called again after an error, each time after twice the wait."""
+    """The model, called again after an error, each time after twice the wait; after the last its prompts have no answers."""
 
     def call(prompts: list[str]) -> list[str | None]:
         for k in range(tries):
             try:
                 return model(prompts)
-            except Exception:
+            except Exception as e:
                 if k == tries - 1:
-                    raise
-                time.sleep(wait * 2**k)
-        raise AssertionError
+                    print(f"{len(prompts)} prompts have no answer: {e!r}", file=sys.stderr)
+                else:
+                    time.sleep(wait * 2**k)
+        return [None] * len(prompts)
 
     return call
 
 
-def call_model(rows: DataFrame, model: Model, prompt: str = "prompt", answer: str = "raw", batch: int = 25) -> DataFrame:
-    """rows with the model's answers, null where it gives none.
+def call_model(rows: DataFrame, model: Model, prompt: str = "prompt", answer: str = "raw", batch: int = 25, at_once: int = 1) -> DataFrame:
+    """rows with the model's answers, null where it gives none; a task has ``at_once`` calls of ``batch`` prompts under way.
 
     Write the result as a table before using it twice, or the model is called again.
     """
     schema = rows.withColumn(answer, F.lit(None).cast("string")).schema
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            said: list[str | None] = []
-            for a in range(0, len(frame), batch):
-                said += model(frame[prompt].iloc[a : a + batch].tolist())
-            yield frame.assign(**{answer: pd.Series(said, index=frame.index, dtype=object)})
+        with ThreadPoolExecutor(at_once) as pool:
+            for frame in frames:
+                prompts = frame[prompt].tolist()
+                said = [x for part in pool.map(model, [prompts[a : a + batch] for a in range(0, len(prompts), batch)]) for x in part]
+                yield frame.assign(**{answer: pd.Series(said, index=frame.index, dtype=object)})
 
     return rows.mapInPandas(run, schema)
 
 
+RESPONSES = "prompt_hash string, raw string"
+
+
+def recorded(spark: SparkSession, path: str) -> DataFrame:
+    """Responses (``RESPONSES``) recorded in a folder, one for each prompt; none where there is no folder."""
+    try:
+        rows = spark.read.schema(RESPONSES).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], RESPONSES)
+    return rows.groupBy("prompt_hash").agg(F.min("raw").alias("raw"))
+
+
+def ask(rows: DataFrame, model: Model, path: str, prompt: str = "prompt", batch: int = 25, at_once: int = 4) -> DataFrame:
+    """rows with raw, the answers to their prompts; equal prompts are asked once, those recorded in the folder not at all.
+
+    New answers are appended to the record before anything uses them, so a run that was
+    broken off, or a later one, asks for the rest only. Prompts without an answer (null) are not recorded:
+    a later run asks them again.
+    """
+    spark = rows.sparkSession
+    hashed = rows.withColumn("prompt_hash", F.sha2(F.col(prompt), 256))
+    open_ = hashed.where(F.col(prompt).isNotNull()).groupBy("prompt_hash").agg(F.first(prompt).alias("__prompt"))
+    open_ = open_.join(recorded(spark, path).select("prompt_hash"), "prompt_hash", "left_anti")
+    said = call_model(open_, model, "__prompt", "raw", batch, at_once).where("raw is not null")
+    said.select("prompt_hash", "raw").write.mode("append").parquet(path)
+    return hashed.join(recorded(spark, path), "prompt_hash", "left").drop("prompt_hash")
+
+
 def replay(rows: DataFrame, responses: DataFrame, prompt: str = "prompt") -> DataFrame:
     """rows with raw from recorded responses (prompt_hash, raw): a model that needs no network."""
     return rows.withColumn("prompt_hash", F.sha2(prompt, 256)).join(responses.select("prompt_hash", "raw"), "prompt_hash", "left").drop("prompt_hash")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.operators import judge
 from skein.operators.dedup import top_per_group
-from skein.operators.synth import Model, replay, with_retries
-from skein.functions.jsonx import parse_verdicts
+from skein.operators.synth import Model, ask, replay, with_retries
+from skein.functions.jsonx import parse_verdicts, strict_strings
 from skein.functions import lexicons as L
+from skein.sources.shared import stored
+from skein.sources.versions import Versions
+from skein.sources.writers import report_json
 
 
 def verdicts_once(pairs: DataFrame, path: str, rate: float, prompt: Column, model: Model, seed: int = 42) -> DataFrame:
@@ -41,3 +46,24 @@ def gate(pairs: DataFrame, verdicts: DataFrame, pass_at: float = 0.85, reject_be
     """(decisions, pairs that stay)."""
     decisions = judge.decide(judge.with_empty(judge.criterion_rates(verdicts), pairs), pass_at, reject_below)
     return decisions, judge.prune(pairs, judge.critical_lines(verdicts), decisions)
+
+
+def run_gate(table: Versions, model: Model, prompt: Column, record: str, rate: float = 0.12, pass_at: float = 0.85, reject_below: float = 0.70, seed: int = 42) -> int:
+    """Judge a sample of the last version's pairs, write the report, then make the next version; its number.
+
+    ``prompt`` may use input, output and category. Answers are recorded in the folder ``record``. Lines that are no pair, or have a
+    blank side, are not judged. Critical lines go from categories that pass or warn; rejected categories are
+    quarantined whole. A run that fails on the way leaves the last version as it is; run again, it asks no prompt twice.
+    """
+    base = table.current()
+    lines = table.read(base)
+    pairs = lines.withColumn("p", strict_strings(F.col("value"), ["input", "output"])).where("trim(p.input) <> '' and trim(p.output) <> ''").select("category", "line_no", "p.*")
+    sample = stored(judge.judge_sample(pairs, rate, seed).withColumn("prompt", prompt), "sample")
+    said = parse_verdicts(ask(sample, with_retries(model), record))
+    verdicts = stored(said.select("category", "line_no", "parse_error", *[F.col("verdict")[c].alias(c) for c in L.CRITERIA]), "verdicts")
+    full = stored(report(verdicts, lines, pass_at, reject_below), "report")
+    place = f"reports/v{base + 1:08d}-{uuid.uuid4().hex}"
+    report_json(full).write.text(f"{table.root}/{place}")
+    decided = {r["category"]: r["decision"] for r in full.select("category", "decision").collect()}  # configured categories
+    rejected = sorted(c for c, d in decided.items() if d == "reject")
+    return table.rewrite(base, judge.critical_lines(verdicts), rejected, place)

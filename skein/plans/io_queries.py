@@ -349,9 +349,9 @@ def _(p):
     return stats.directory_size(readers.listing(p.sparkSession, f"{path}/*").withColumnRenamed("size", "length"))
 
 
-@query("verdict_tally", X.PAIRS, "WITH v AS (SELECT 1) SELECT verdict, count(*) AS n FROM (VALUES ('TIE'), ('A_BETTER'), ('TIE')) t(verdict) GROUP BY 1")
+@query("verdict_tally", X.PAIRS, f"SELECT verdict, count(*) AS n FROM ({_VERDICTS}) GROUP BY 1")
 def _(p):
-    return compare.verdict_counts(p.sparkSession.createDataFrame([("TIE",), ("A_BETTER",), ("TIE",)], "verdict string"))
+    return compare.verdict_counts(_verdicts(p))
 
 
 @query("eligible_categories", X.PAIRS, "SELECT category, CASE WHEN category IN (" + ", ".join(f"'{c}'" for c in L.CORE_CATEGORIES) + f") THEN 'core' ELSE 'domain_specific' END AS type, count(*) AS n FROM (SELECT ({list(L.CATEGORY_WEIGHTS)!r})[1 + line_no % 12] AS category FROM {P}) WHERE category IN (" + ", ".join(f"'{c}'" for c in L.CLEAN_TO_MESSY) + ") GROUP BY 1")

@@ -10,9 +10,11 @@ from skein.functions import jsonx as J
 from skein.functions import lexicons as L
 from skein.operators import synth
 from skein.plans import fixtures as X
+from skein.plans import gate
 from skein.plans.io_queries import folder, md5
-from skein.plans.queries import _BEST, _SCORES, E, P, V, query, strip
+from skein.plans.queries import _BEST, _CRITICAL, _DECIDED, _SCORES, P, V, query, strip
 from skein.sources import readers, writers
+from skein.sources.versions import Versions
 
 # --- scans
 
@@ -39,3 +41,118 @@ def _(p):
     path = folder(p.sparkSession)
     p.select("line_no", "input").repartitionByRange(8, "line_no").sortWithinPartitions("line_no").write.parquet(path)
     return synth.clean_texts(p.sparkSession, f"{path}/*.parquet", 30, "input").select("place", md5("text"), "category")
+
+
+# --- the gate
+
+
+def _judge(prompts: list[str]) -> list[str | None]:
+    """A judge that looks at the pair: prose for one kind of text, else four criteria."""
+    said = []
+    for x in prompts:
+        pair = json.loads(x)
+        verdict = {
+            "input_realistic": not pair["input"].startswith("um "),
+            "content_preserved": len(pair["output"]) * 5 > len(pair["input"]),
+            "no_hallucination": "\ufffd" not in pair["output"],
+            "corrections_applied": not pair["input"].startswith("wait no "),
+        }
+        said.append("I can't say." if "<THINK>" in pair["output"] else "```json\n" + json.dumps(verdict) + "\n```")
+    return said
+
+
+_JUDGED = f"""(SELECT category, line_no, input, output, contains(output, '<THINK>') AS parse_error, CASE WHEN NOT contains(output, '<THINK>') THEN NOT starts_with(input, 'um ') END AS input_realistic,
+  CASE WHEN NOT contains(output, '<THINK>') THEN length(output) * 5 > length(input) END AS content_preserved, CASE WHEN NOT contains(output, '<THINK>') THEN NOT contains(output, '{X.REPLACEMENT}') END AS no_hallucination,
+  CASE WHEN NOT contains(output, '<THINK>') THEN NOT starts_with(input, 'wait no ') END AS corrections_applied FROM {P} WHERE trim(input) <> '' AND trim(output) <> '')"""
+_GATED = _DECIDED.replace(V, _JUDGED).replace("0.30", "0.70").replace("0.20", "0.65")
+
+
+@query(
+    "gated_version",
+    X.PAIRS,
+    f"""SELECT category, line_no, md5(input) AS input, md5(output) AS output, CASE WHEN decision = 'reject' THEN 'rejected' ELSE 'live' END AS state FROM {P} JOIN ({_GATED}) USING (category)
+    WHERE decision = 'reject' OR (category, line_no) NOT IN ({_CRITICAL.replace(V, _JUDGED)})""",
+)
+def _(p):
+    """Version 2 of a table of pairs: a sample judged on its texts, the report, critical lines pruned, categories quarantined."""
+    spark, path = p.sparkSession, folder(p.sparkSession)
+    line = J.to_json_line(F.col("input"), F.col("output"))
+    table = Versions(spark, f"{path}/pairs")
+    table.create(p.select("category", "line_no", line.alias("value")))
+    version = gate.run_gate(table, _judge, J.to_json_line(F.col("input"), F.col("output")), f"{path}/responses", 0.5, 0.70, 0.65)
+    rows = table.read(version).withColumn("state", F.lit("live")).unionByName(table.rejected(version).withColumn("state", F.lit("rejected")))
+    return rows.withColumn("p", J.strict_strings(F.col("value"), ["input", "output"])).select("category", "line_no", "state", "p.*").withColumns({"input": F.md5(F.col("input").cast("binary")), "output": F.md5(F.col("output").cast("binary"))})
+
+
+@query("model_calls", X.PAIRS, f"SELECT 1 AS run, count(DISTINCT lang || ' ' || output) AS asked, count(*) AS answered FROM {P} WHERE line_no % 2 = 0 UNION ALL SELECT 2, (SELECT count(DISTINCT lang || ' ' || output) FROM {P}) - (SELECT count(DISTINCT lang || ' ' || output) FROM {P} WHERE line_no % 2 = 0), count(*) FROM {P}")
+def _(p):
+    """Two runs over texts that repeat, the second over all of them: prompts that were asked anew, and rows with answers."""
+    spark, path = p.sparkSession, folder(p.sparkSession)
+    asked = p.withColumn("prompt", F.concat_ws(" ", "lang", "output"))
+    out, before = None, 0
+    for run, rows in ((1, asked.where("line_no % 2 = 0")), (2, asked)):
+        answered = synth.ask(rows, lambda prompts: [f"said {len(x)}" for x in prompts], path).where(F.col("raw") == F.concat(F.lit("said "), F.length("prompt").cast("string"))).count()
+        record = spark.read.schema(synth.RESPONSES).parquet(path).count()
+        row = spark.createDataFrame([(run, record - before, answered)], "run int, asked long, answered long")
+        out, before = (row if out is None else out.unionByName(row)), record
+    return out
+
+
+# --- streams with state
+
+
+def _events(spark, d):
+    """Events with ts as a timestamp, in UTC whatever the session's zone, and as microseconds."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
+    return spark.read.parquet(f"{d}/events.parquet").withColumn("micros", micros).withColumn("ts", F.timestamp_micros("micros"))
+
+
+def _in_order(events, path: str, pieces: int = 3) -> None:
+    """Events as files of one stretch of time each, written one after the other, so that a stream meets them in this order."""
+    edges = [*events.select(F.percentile_approx("micros", [k / pieces for k in range(1, pieces)])).first()[0], 1 << 62]
+    low = -1
+    for high in edges:
+        events.where((F.col("micros") > low) & (F.col("micros") <= high)).coalesce(1).write.mode("append").parquet(path)
+        low = high
+
+
+@query("stream_deduped_within_watermark", None, "SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1")
+def _(spark, d):
+    """Events that are delivered again within the delay pass once; those that come after it are late, and their keys were forgotten."""
+    from skein.streaming.ingest import distinct_stream, run_available
+
+    path = folder(spark)
+    events = _events(spark, d).select("event_id", "event_type", "ts", "micros")
+    again = events.where("event_id % 3 = 0").withColumn("micros", F.col("micros") + 300_000_000).withColumn("ts", F.timestamp_micros("micros"))
+    _in_order(events.unionByName(again), f"{path}/in")
+    end = events.agg(F.max("micros")).first()[0]
+    events.where(f"event_id % 7 = 0 and micros < {end} - 10800000000").coalesce(1).write.mode("append").parquet(f"{path}/in")  # late
+    stream = spark.readStream.schema("event_id long, event_type string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    keyed = stream.select("*", F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("input"))
+    run_available(distinct_stream(keyed, "ts", "1 hour"), f"{path}/out", f"{path}/checkpoint")
+    back = spark.read.schema("event_id long, event_type string").parquet(f"{path}/out")
+    return back.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+_STATUS = "CASE WHEN event_type IN ('click', 'view') THEN 'running' WHEN event_type = 'purchase' THEN 'completed' WHEN event_type = 'error' THEN 'failed' END"
+
+
+@query(
+    "stream_step_states",
+    None,
+    f"""WITH t AS (SELECT CAST(user_id AS VARCHAR) AS step_id, ts, event_id, {_STATUS} AS status, props FROM events),
+    l AS (SELECT step_id, status, ts, props, (SELECT max(ts) FROM t) AS now, row_number() OVER (PARTITION BY step_id ORDER BY ts DESC, event_id DESC) AS rn, max(CASE WHEN status = 'running' THEN ts END) OVER (PARTITION BY step_id) AS began FROM t WHERE status IS NOT NULL)
+    SELECT step_id, status, epoch_us(began) AS started, CASE WHEN status <> 'running' THEN epoch_us(ts) END AS ended, CASE WHEN status = 'failed' THEN props END AS error,
+      status = 'running' AND epoch_ms(now) - 3600000 > (epoch_us(ts) + 86400000000) // 1000 AS stalled FROM l WHERE rn = 1""",
+)
+def _(spark, d):
+    """Users as steps: their events start, end or fail them."""
+    from skein.streaming.state import CHANGES, run_states, step_states
+
+    path = folder(spark)
+    _in_order(_events(spark, d).select("event_id", "event_type", "ts", "micros", "user_id", "props"), f"{path}/in")
+    stream = spark.readStream.schema("event_id long, event_type string, ts timestamp, user_id long, props string").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    marks = stream.select(F.col("user_id").cast("string").alias("step_id"), F.expr(_STATUS).alias("status"), F.col("ts").alias("at"), F.col("event_id").alias("id"), F.col("props").alias("error"))
+    run_states(step_states(marks.where("status is not null")), f"{path}/out", f"{path}/checkpoint")
+    changes = spark.read.schema(f"{CHANGES}, batch long").parquet(f"{path}/out")
+    return changes.groupBy("step_id").agg(F.max_by(F.struct("status", "started", "ended", "error", "stalled"), "batch").alias("s")).select("step_id", "s.*")
