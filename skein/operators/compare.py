@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions import lexicons as L
-from skein.functions.text import correction_count, has_multi_step, matches, pair_features
+from skein.functions.text import correction_count, has_multi_step, matches, output_fillers, pair_features
+from skein.operators.dedup import shuffle_key, top_per_group
+from skein.operators.quality import validate
 
 #: Metrics of which the greater value wins; the others are not judged, but for the density.
 GREATER_WINS = ("count", "input_length_cv", "avg_corrections", "vocab_diversity", "input_word_max", "input_word_std")
@@ -127,3 +130,47 @@ def size_imbalance(pairs: DataFrame, group: str) -> DataFrame:
     """One row: the largest and smallest group, and their ratio."""
     sizes = pairs.groupBy(group).agg(F.count("*").alias("n"))
     return sizes.agg(F.max("n").alias("largest"), F.min("n").alias("smallest"), (F.max("n") / F.min("n")).alias("ratio"))
+
+
+def inventory(pairs: DataFrame, group: str, expected: list[str], small: float = 0.25) -> DataFrame:
+    """(group, n, bytes, state) of all groups, expected ones with no pair included.
+
+    state: missing, small (fewer than a share of the mean), unexpected or ok.
+    """
+    size = F.octet_length("input") + F.octet_length("output")
+    found = pairs.groupBy(group).agg(F.count("*").alias("n"), F.sum(size.cast("long")).alias("bytes"))
+    wanted = pairs.sparkSession.createDataFrame([(x,) for x in expected], f"{group} string").distinct().withColumn("wanted", F.lit(True))
+    both = found.join(wanted, group, "full").withColumns({"n": F.coalesce("n", F.lit(0)), "bytes": F.coalesce("bytes", F.lit(0))})
+    mean = F.try_divide(F.sum("n").over(Window.partitionBy()), F.count_if(F.col("n") > 0).over(Window.partitionBy()))  # over the groups
+    state = F.when(F.col("n") == 0, "missing").when(F.col("n") < mean * small, "small").when(F.col("wanted").isNull(), "unexpected").otherwise("ok")
+    return both.select(group, "n", "bytes", state.alias("state"))
+
+
+def review_sample(pairs: DataFrame, group: str, key: list[str], n: int = 5, seed: int = 42) -> DataFrame:
+    """n pairs of each group, by digest, with the problems that rules find and the number of fillers left in the output."""
+    some = top_per_group(pairs.withColumn("__order", shuffle_key(seed, group, *key)), [group], ["__order", *key], n)
+    return validate(some).select(group, *key, F.array_join("reasons", ",").alias("problems"), F.size(output_fillers(F.col("output"))).alias("fillers_left"))
+
+
+#: Names, as words with a capital after a word or a comma, and numbers.
+NAMES, NUMBERS = r"[\p{Ll},;] (\p{Lu}\p{L}+)", r"[0-9]+(?:[.,][0-9]+)*"
+#: The most terms that the sketch follows.
+TRACKED = 1_000_000
+
+
+def shared_terms(pairs: DataFrame, group: str, share: float = 0.01, least: int = 2, text: str = "output") -> DataFrame:
+    """(term, n, n_groups): names and numbers that at least a share of all pairs hold, in ``least`` groups or more.
+
+    A mergeable sketch of bounded size finds the terms that can be so frequent: with t terms followed, none that makes up 4 / t of all
+    is missed. Those few are then counted exactly. A share too small for the sketch raises.
+    """
+    terms = pairs.select(group, F.explode(F.array_distinct(F.concat(F.regexp_extract_all(text, F.lit(NAMES), F.lit(1)), F.regexp_extract_all(text, F.lit(NUMBERS), F.lit(0))))).alias("term"))
+    n, every = pairs.count(), terms.count()
+    wanted = max(1, math.ceil(n * share))
+    most = every // wanted + 1
+    tracked = max(1_000, 4 * most)
+    if tracked > TRACKED:
+        raise ValueError(f"a share of {share} needs a sketch of {tracked} terms")
+    found = terms.agg(F.expr(f"approx_top_k(term, {most}, {tracked})").alias("top")).select(F.explode("top.item").alias("term"))
+    counted = terms.join(F.broadcast(found), "term").groupBy("term", group).agg(F.count("*").alias("n")).groupBy("term").agg(F.sum("n").alias("n"), F.count("*").alias("n_groups"))
+    return counted.where((F.col("n") >= wanted) & (F.col("n_groups") >= least))

@@ -219,12 +219,15 @@ def generated_pairs(answers: DataFrame, raw: str = "raw") -> DataFrame:
     return each.withColumn("reason", first_reason(F.col("transcript"), F.col("output")))
 
 
-def messify(texts: DataFrame, model: Model, order: list[str], template: str, size: int = 25) -> DataFrame:
-    """Clean texts in numbered batches to a model; its items zipped with the texts as far as both go."""
+def messify(texts: DataFrame, model: Model, order: list[str], template: str, size: int = 25, record: str | None = None) -> DataFrame:
+    """Clean texts in numbered batches to a model; its items zipped with the texts as far as both go.
+
+    With a folder ``record`` answers are kept there, and what is recorded is not asked again.
+    """
     grouped = batches(texts, "category", order, size)
     lists = grouped.groupBy("category", "batch").agg(F.transform(F.sort_array(F.collect_list(F.struct(*order, "text"))), lambda x: x["text"]).alias("clean"))
     asked = lists.withColumn("prompt", F.replace(F.lit(template), F.lit("{texts}"), numbered_list(F.col("clean"))))
-    answered = call_model(asked, model)
+    answered = ask(asked, model, record) if record else call_model(asked, model)
     messy = F.transform(F.filter(array_pairs(F.col("raw")), lambda p: p["transcript"].isNotNull()), lambda p: p["transcript"])
     zipped = answered.select("category", "batch", F.explode(zip_short(F.col("clean"), messy)).alias("z"))
     pairs = zipped.select("category", "batch", F.col("z.messy").alias("transcript"), F.col("z.clean").alias("output"))

@@ -67,6 +67,19 @@ def fill_quotas(spark: SparkSession, path: str, total: int, model: synth.Model,
     return out.groupBy("category").agg(*[F.sum(c).alias(c) for c in ("generated", "rejected", "failed")])
 
 
+def clean_to_messy(spark: SparkSession, pattern: str, path: str, record: str, model: synth.Model, template: str, wanted: int, text: str = "text", size: int = 25) -> DataFrame:
+    """Pairs made of clean texts: a bounded scan, batches to a model, valid pairs appended to their category's folder.
+
+    A run again finds the same texts, asks what has no recorded answer, and appends the pairs that
+    are not there: a run that broke off goes on. Returns run totals by category.
+    """
+    texts = synth.clean_texts(spark, pattern, wanted, text)
+    made = stored(synth.messify(texts, model, ["place"], template, size, record), "messy")
+    good = made.where("reason is null").select(F.col("transcript").alias("input"), "output", "category")
+    append_pairs(good.dropDuplicates().join(existing(spark, path).select("category", "input", "output"), ["category", "input", "output"], "left_anti").select("input", "output", "category"), path)
+    return synth.run_totals(made.select("category", "reason"))
+
+
 def infer(rows: DataFrame, model: synth.Model, system: str, source: str = "input") -> DataFrame:
     """rows with raw_generated, generation_seconds and generated_token_count; prompts are ChatML with an open assistant turn.
 

@@ -16,9 +16,9 @@ from skein.operators import compare, dedup, evaluation, judge, quality, stats, s
 from skein.plans import control, gate, generate, reports
 from skein.plans import evaluate as evaluate_plan
 from skein.plans import fixtures as X
-from skein.plans.queries import _CRITICAL, _DECIDED, _PARSED, _PROFILE, _RATES, _SAMPLED, _SCORED, _VERDICTS, E, P, V, _decided, _sampled, _sided, _verdicts, query, strip, tokens
+from skein.plans.queries import _CRITICAL, _DECIDED, _PARSED, _PROFILE, _RATES, _REASONED, _SAMPLED, _SCORED, _VERDICTS, E, P, V, _decided, _sampled, _sided, _verdicts, oracle_sql, query, strip, tokens
 from skein.sources import readers, writers
-from skein.sources.shared import shared_dir
+from skein.sources.shared import shared_dir, stored
 
 
 def folder(spark: SparkSession) -> str:
@@ -80,17 +80,21 @@ def _(p):
     return readers.chat_pairs(p.sparkSession, path).select(md5("input"), md5("expected"))
 
 
-_LINES = "CASE line_no % 5 WHEN 0 THEN '{\"input\":\"a\",\"output\":\"b\"}' WHEN 1 THEN '{\"input\":1,\"output\":\"b\"}' WHEN 2 THEN '  ' WHEN 3 THEN '[1]' ELSE '{\"input\":\"a\"}' END"
+def _line():
+    """The pair as a line, or one of four lines that are none."""
+    whole, number = J.to_json_line(F.col("input"), F.col("output")), J.to_json_line(F.lit(1).alias("input"), F.col("output"))
+    kind = F.col("line_no") % 5
+    return F.when(kind == 0, whole).when(kind == 1, number).when(kind == 2, F.lit("  ")).when(kind == 3, F.concat(F.lit("["), whole, F.lit("]"))).otherwise(J.to_json_line(F.col("input")))
 
 
 @query("record_counts", X.PAIRS, f"SELECT category AS file, count(*) AS lines, count(*) FILTER (WHERE line_no % 5 <> 2) AS non_blank, count(*) FILTER (WHERE line_no % 5 < 2) AS with_keys, count(*) FILTER (WHERE line_no % 5 = 0) AS strict FROM {P} GROUP BY 1")
 def _(p):
-    return readers.record_counts(p.select(F.col("category").alias("file"), F.expr(_LINES).alias("value")))
+    return readers.record_counts(p.select(F.col("category").alias("file"), _line().alias("value")))
 
 
-@query("given_pairs", X.PAIRS, f"SELECT CAST(line_no - 1 AS INT) AS pair_index, 'a' AS input, 'b' AS output FROM {P} WHERE line_no % 5 = 0")
+@query("given_pairs", X.PAIRS, f"SELECT CAST(line_no - 1 AS INT) AS pair_index, md5(input) AS input, md5(output) AS output FROM {P} WHERE line_no % 5 = 0")
 def _(p):
-    return readers.given_pairs(p.select("line_no", F.expr(_LINES).alias("value")))
+    return readers.given_pairs(p.select("line_no", _line().alias("value"))).select("pair_index", md5("input"), md5("output"))
 
 
 @query("split_problems", X.PAIRS, "SELECT * FROM (VALUES ('valid', 'no chat record'), ('test', 'missing')) v(split, problem)")
@@ -245,10 +249,9 @@ def _(p):
     return quality.complete_pairs(p).select("line_no")
 
 
-@query("rejection_log", X.PAIRS, f"SELECT line_no, 'empty_output' AS reasons FROM (SELECT line_no FROM {P} WHERE output = '' AND length(input) > 100 ORDER BY line_no LIMIT 20)")
+@query("rejection_log", X.PAIRS, f"SELECT line_no, array_to_string(reasons, ',') AS reasons FROM ({_REASONED}) WHERE len(reasons) > 0 ORDER BY line_no LIMIT 20")
 def _(p):
-    some = p.where("output = '' and length(input) > 100")
-    return quality.rejection_log(quality.validate(some), ["line_no"], 20).select("line_no", F.array_join("reasons", ",").alias("reasons"))
+    return quality.rejection_log(quality.validate(p), ["line_no"], 20).select("line_no", F.array_join("reasons", ",").alias("reasons"))
 
 
 # --- order and limits
@@ -370,32 +373,40 @@ def _(p):
 # --- model calls: the model is a function, or a table of recorded answers
 
 
-def _echo(prompts: list[str]) -> list[str | None]:
-    """Answers that repeat their prompt; none for one that holds a 7."""
-    return [None if "7" in x else "```json\n" + json.dumps([{"transcript": f"um {x}", "output": x}, {"output": x}]) + "\n```" for x in prompts]
+def _writer(prompts: list[str]) -> list[str | None]:
+    """A model that answers a pair by an array of it, or by prose."""
+    said = []
+    for x in prompts:
+        pair = json.loads(x)
+        said.append("No." if "<THINK>" in pair["output"] else "Here you are:\n" + json.dumps([{"transcript": pair["input"], "output": pair["output"]}]))
+    return said
 
 
-@query("generated_pairs", X.PAIRS, f"SELECT line_no, CASE WHEN k = 0 THEN concat('um ', line_no) END AS transcript, CAST(line_no AS VARCHAR) AS output, CASE WHEN k = 1 THEN 'empty_transcript' END AS reason FROM {P}, range(2) r(k) WHERE NOT contains(CAST(line_no AS VARCHAR), '7')")
+_WRITTEN = f"SELECT p.line_no, category, md5(input) AS transcript, md5(output) AS output, reason, contains(output, '<THINK>') AS failed FROM {P} p JOIN ({oracle_sql()['generation_first_reason']}) r ON p.line_no = r.line_no"
+
+
+@query("generated_pairs", X.PAIRS, f"SELECT line_no, transcript, output, reason FROM ({_WRITTEN}) WHERE NOT failed")
 def _(p):
-    asked = p.select("line_no", F.col("line_no").cast("string").alias("prompt"))
-    answered = synth.call_model(asked, synth.with_retries(_echo, wait=0.0))
-    return synth.generated_pairs(answered).select("line_no", "transcript", "output", "reason")
+    """Pairs of a model's answers, with what is wrong with them."""
+    asked = p.select("line_no", J.to_json_line(F.col("input"), F.col("output")).alias("prompt"))
+    answered = synth.call_model(asked, synth.with_retries(_writer, wait=0.0))
+    return synth.generated_pairs(answered).select("line_no", md5("transcript"), md5("output"), "reason")
 
 
-@query("run_totals", X.PAIRS, f"SELECT coalesce(category, 'TOTAL') AS category, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS generated, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS rejected, CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS failed FROM (SELECT category, NOT contains(CAST(line_no AS VARCHAR), '7') AS ok FROM {P}) GROUP BY ROLLUP (category)")
+@query("run_totals", X.PAIRS, f"SELECT coalesce(category, 'TOTAL') AS category, CAST(count(*) FILTER (WHERE NOT failed AND reason IS NULL) AS BIGINT) AS generated, CAST(count(*) FILTER (WHERE NOT failed AND reason IS NOT NULL) AS BIGINT) AS rejected, CAST(count(*) FILTER (WHERE failed) AS BIGINT) AS failed FROM ({_WRITTEN}) GROUP BY ROLLUP (category)")
 def _(p):
-    answered = synth.call_model(p.select("category", F.col("line_no").cast("string").alias("prompt")), _echo)
+    answered = stored(synth.call_model(p.select("category", J.to_json_line(F.col("input"), F.col("output")).alias("prompt")), _writer), "written")
     asked = answered.select("category", F.coalesce(F.size(J.array_pairs(F.col("raw"))), F.lit(0)).alias("n_pairs"))
     return synth.run_totals(synth.generated_pairs(answered), asked)
 
 
 @query("replayed_verdicts", X.PAIRS, f"SELECT line_no, line_no % 3 = 0 AS parse_error, CASE WHEN line_no % 3 > 0 THEN line_no % 3 = 1 END AS input_realistic FROM {P}")
 def _(p):
-    prompt = F.concat(F.lit("judge "), F.col("line_no").cast("string"))
+    prompt = F.concat_ws(" ", F.lit("judge"), F.col("line_no").cast("string"), "input", "output")
     said = {c: "true" for c in L.CRITERIA}
     good, bad = json.dumps({c: True for c in L.CRITERIA}), json.dumps(said | {L.CRITERIA[0]: "False"})
     responses = p.where("line_no % 3 > 0").select(F.sha2(prompt, 256).alias("prompt_hash"), F.when(F.col("line_no") % 3 == 1, good).otherwise(bad).alias("raw"))
-    return gate.replayed_verdicts(p.select("line_no"), responses, prompt).select("line_no", "parse_error", "input_realistic")
+    return gate.replayed_verdicts(p.select("line_no", "input", "output"), responses, prompt).select("line_no", "parse_error", "input_realistic")
 
 
 @query("messified", X.PAIRS, f"SELECT category, CAST((row_number() OVER (PARTITION BY category ORDER BY line_no) - 1) // 25 AS INT) AS batch, md5('um ' || t) AS transcript, md5(t) AS output FROM (SELECT *, replace(input, chr(10), ' ') AS t FROM {P})")
@@ -426,24 +437,52 @@ def _(p):
     return done.groupBy("category").agg(F.count("*").cast("int").alias("n"), F.countDistinct("input").cast("int").alias("n_distinct"))
 
 
-@query("inferred", X.PAIRS, f"SELECT line_no, CAST(line_no AS VARCHAR) || ' ok' AS raw_generated, CAST(2 AS BIGINT) AS generated_token_count, true AS timed FROM {P}")
+@query("inferred", X.PAIRS, f"SELECT line_no, md5(input || ' ok') AS raw_generated, CAST(len({tokens('input')}) + 1 AS BIGINT) AS generated_token_count, true AS timed FROM {P}")
 def _(p):
     """A model that repeats the user's turn of its prompt."""
 
     def model(prompts: list[str]) -> list[str | None]:
         return [x.split("<|im_start|>user\n")[1].split("<|im_end|>")[0] + " ok" for x in prompts]
 
-    found = generate.infer(p.select("line_no", F.col("line_no").cast("string").alias("input")), model, "s")
-    return found.select("line_no", "raw_generated", "generated_token_count", (F.col("generation_seconds") >= 0).alias("timed"))
+    found = generate.infer(p.select("line_no", "input"), model, "s")
+    return found.select("line_no", md5("raw_generated"), "generated_token_count", (F.col("generation_seconds") >= 0).alias("timed"))
 
 
-@query("judged_batch", X.PAIRS, f"SELECT count(*) AS total, count(*) FILTER (WHERE line_no % 4 = 0) AS passed, count(*) FILTER (WHERE line_no % 4 <> 0) AS failed, 'input_realistic' AS most_common_failure FROM {P}")
-def _(p):
-    def model(prompts: list[str]) -> list[str | None]:
-        return ["```json\n" + json.dumps({c: int(x) % 4 == 0 for c in L.CRITERIA}) + "\n```" for x in prompts]
+def _judge(prompts: list[str]) -> list[str | None]:
+    """A judge that looks at the pair: prose for one kind of text, else four criteria."""
+    said = []
+    for x in prompts:
+        pair = json.loads(x)
+        verdict = {
+            "input_realistic": not pair["input"].startswith("um "),
+            "content_preserved": len(pair["output"]) * 5 > len(pair["input"]),
+            "no_hallucination": "\ufffd" not in pair["output"],
+            "corrections_applied": not pair["input"].startswith("wait no "),
+        }
+        said.append("I can't say." if "<THINK>" in pair["output"] else "```json\n" + json.dumps(verdict) + "\n```")
+    return said
 
-    lines = p.select("line_no", J.to_json_line(F.col("line_no").cast("string").alias("input"), F.lit("x").alias("output")).alias("value"))
-    return generate.judge_batch(lines, model, F.col("input"))[1]
+
+_PROSE = "contains(output, '<THINK>')"
+_SAID = {
+    "input_realistic": "NOT starts_with(input, 'um ')",
+    "content_preserved": "length(output) * 5 > length(input)",
+    "no_hallucination": f"NOT contains(output, '{X.REPLACEMENT}')",
+    "corrections_applied": "NOT starts_with(input, 'wait no ')",
+}
+_JUDGED = f"(SELECT category, line_no, input, output, {_PROSE} AS parse_error, {', '.join(f'CASE WHEN NOT {_PROSE} THEN {rule} END AS {c}' for c, rule in _SAID.items())} FROM {P})"
+_ALL_SAID = " AND ".join(f"coalesce({c}, false)" for c in _SAID)
+
+
+@query(
+    "judged_batch",
+    X.PAIRS,
+    f"""WITH j AS {_JUDGED}, f AS ({" UNION ALL ".join(f"SELECT {i} AS ord, '{c}' AS criterion, count(*) FILTER (WHERE NOT coalesce({c}, false)) AS n FROM j" for i, c in enumerate(_SAID))})
+    SELECT count(*) AS total, count(*) FILTER (WHERE {_ALL_SAID}) AS passed, count(*) FILTER (WHERE NOT ({_ALL_SAID})) AS failed, (SELECT criterion FROM f ORDER BY n DESC, ord LIMIT 1) AS most_common_failure FROM j""",
+)
+def _(p):
+    lines = p.select("line_no", J.to_json_line(F.col("input"), F.col("output")).alias("value"))
+    return generate.judge_batch(lines, _judge, J.to_json_line(F.col("input"), F.col("output")))[1]
 
 
 @query("system_hoisted", X.PAIRS, f"SELECT line_no, concat('s', chr(10), chr(10), lang) AS system, 2 AS n_messages FROM {P}")
@@ -465,14 +504,10 @@ def _(p):
     return p.select("line_no", J.has_keys(raw, "quantization", "quantization_config").alias("quantized"))
 
 
-@query("judged_pairs", X.PAIRS, f"SELECT line_no, contains(CAST(line_no AS VARCHAR), '7') AS parse_error, CASE WHEN NOT contains(CAST(line_no AS VARCHAR), '7') THEN contains(CAST(line_no AS VARCHAR), '1') END AS no_hallucination FROM {P}")
+@query("judged_pairs", X.PAIRS, f"SELECT line_no, parse_error, {', '.join(_SAID)} FROM {_JUDGED}")
 def _(p):
-    """A judge that gives no answer for numbers with a 7 and finds fault with those without a 1."""
-
-    def model(prompts: list[str]) -> list[str | None]:
-        return [None if "7" in x else "<think>x</think> " + json.dumps({c: c != "no_hallucination" or "1" in x for c in L.CRITERIA}) for x in prompts]
-
-    return judge.judge_pairs(p.select("line_no"), model, F.col("line_no").cast("string")).select("line_no", "parse_error", "no_hallucination")
+    """Verdicts of a judge that reads the pairs; prose is none."""
+    return judge.judge_pairs(p.select("line_no", "input", "output"), _judge, J.to_json_line(F.col("input"), F.col("output"))).select("line_no", "parse_error", *_SAID)
 
 
 @query("answer_or_reasoning", X.PAIRS, f"SELECT line_no, md5(CASE WHEN output <> '' THEN output ELSE input END) AS answer FROM {P}")
@@ -561,8 +596,8 @@ def _(log):
 
 @query("template_problems", X.PAIRS, f"SELECT line_no, CASE WHEN line_no % 4 = 0 THEN 'no_markers,missing_role' WHEN line_no % 4 = 1 THEN 'missing_role' WHEN line_no % 4 = 2 THEN 'think_content' ELSE '' END AS problems FROM {P}")
 def _(p):
-    whole = T.chatml(T.chat_messages("s", F.col("lang"), F.col("lang")))
-    shown = F.when(F.col("line_no") % 4 == 0, F.col("lang")).when(F.col("line_no") % 4 == 1, F.lit("<|im_start|>user\nx<|im_end|>")).when(F.col("line_no") % 4 == 2, F.concat(whole, F.lit("<think>x</think>"))).otherwise(F.concat(whole, F.lit("<think> \n</think>")))
+    whole = T.chatml(T.chat_messages("s", F.col("input"), F.col("output")))
+    shown = F.when(F.col("line_no") % 4 == 0, F.col("input")).when(F.col("line_no") % 4 == 1, F.lit("<|im_start|>user\nx<|im_end|>")).when(F.col("line_no") % 4 == 2, F.concat(whole, F.lit("<think>x</think>"))).otherwise(F.concat(whole, F.lit("<think> \n</think>")))
     return p.select("line_no", F.array_join(training.template_problems(shown), ",").alias("problems"))
 
 
@@ -582,16 +617,19 @@ def _(log):
     return best.select("best_val_loss").join(parsed, F.col("best_val_loss") == F.col("val_loss")).groupBy("best_val_loss").agg(F.min("iter").alias("least_iter"))
 
 
-@query("stream_pairs", X.PAIRS, f"SELECT lang, count(*) AS n FROM {P} GROUP BY 1")
+@query("stream_pairs", X.PAIRS, f"SELECT md5(input) AS input, count(*) AS n, count(DISTINCT output) AS outputs FROM {P} GROUP BY 1")
 def _(p):
     """New files of pairs as they come, upserted batch by batch into counts."""
     from skein.streaming.ingest import for_each_batch, pair_stream
 
     spark, path = p.sparkSession, folder(p.sparkSession)
-    p.select(J.to_json_line(F.col("lang").alias("input"), F.lit("x").alias("output")).alias("value")).write.text(f"{path}/in")
+    p.select(J.to_json_line(F.col("input"), F.col("output")).alias("value")).write.text(f"{path}/in")
 
     def upsert(batch: DataFrame, number: int) -> None:
-        batch.groupBy("input").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/counts/batch={number}")
+        batch.groupBy("input", "output").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/counts/batch={number}")
 
     for_each_batch(pair_stream(spark, f"{path}/in"), upsert, f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/counts").groupBy(F.col("input").alias("lang")).agg(F.sum("n").alias("n"))
+    return spark.read.parquet(f"{path}/counts").groupBy(md5("input")).agg(F.sum("n").alias("n"), F.countDistinct("output").alias("outputs"))
+
+
+from skein.plans import run_queries  # noqa: E402, F401  registers more queries

@@ -324,10 +324,10 @@ def _(p):
     return z.select("line_no", F.col("pos").cast("long").alias("pos"), "z.clean", "z.messy")
 
 
-@query("stats_full_outer", X.PAIRS, f"SELECT coalesce(a.category, b.category) AS category, coalesce(a.n, 0) AS a, coalesce(b.n, 0) AS b FROM (SELECT category, count(*) AS n FROM {P} WHERE lang = 'en' GROUP BY 1) a FULL JOIN (SELECT category, count(*) AS n FROM {P} WHERE lang = 'es' GROUP BY 1) b ON a.category = b.category")
+@query("stats_full_outer", X.PAIRS, f"SELECT coalesce(a.category, b.category) AS category, coalesce(a.n, 0) AS a, coalesce(b.n, 0) AS b FROM (SELECT category, count(*) AS n FROM {P} WHERE lang = 'en' GROUP BY 1) a FULL JOIN (SELECT category, count(*) AS n FROM {P} WHERE lang <> 'en' GROUP BY 1) b ON a.category = b.category")
 def _(p):
-    count = lambda lang: stats.counts_by(p.where(F.col("lang") == lang), "category")
-    return joins.side_by_side(count("en"), count("es"), "category", "n", ("a", "b"))
+    count = lambda rows: stats.counts_by(rows, "category")
+    return joins.side_by_side(count(p.where("lang = 'en'")), count(p.where("lang <> 'en'")), "category", "n", ("a", "b"))
 
 
 # --- categories, paragraphs, quotas
@@ -879,4 +879,4 @@ def _(spark, d):
     return spark.read.schema("input string, dedup_key string").parquet(f"{work}/out").agg(F.count("*").alias("n_distinct"), F.sum(F.length(T.dedup_key(F.col("input")))).alias("chars"))
 
 
-from skein.plans import io_queries, run_queries  # noqa: E402, F401  register more queries
+from skein.plans import io_queries  # noqa: E402, F401  registers more queries

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from skein.functions import jsonx as J
 from skein.functions import lexicons as L
-from skein.operators import synth
+from skein.operators import compare, synth
 from skein.plans import fixtures as X
-from skein.plans import gate
-from skein.plans.io_queries import folder, md5
-from skein.plans.queries import _BEST, _CRITICAL, _DECIDED, _SCORES, P, V, query, strip
+from skein.plans import gate, generate
+from skein.plans.io_queries import _JUDGED, _judge, folder, md5
+from skein.plans.queries import _BEST, _CRITICAL, _DECIDED, _REASONED, _SCORES, P, V, marked, n_matches, phrase, query, strip, word
 from skein.sources import readers, writers
 from skein.sources.versions import Versions
 
@@ -46,32 +46,15 @@ def _(p):
 # --- the gate
 
 
-def _judge(prompts: list[str]) -> list[str | None]:
-    """A judge that looks at the pair: prose for one kind of text, else four criteria."""
-    said = []
-    for x in prompts:
-        pair = json.loads(x)
-        verdict = {
-            "input_realistic": not pair["input"].startswith("um "),
-            "content_preserved": len(pair["output"]) * 5 > len(pair["input"]),
-            "no_hallucination": "\ufffd" not in pair["output"],
-            "corrections_applied": not pair["input"].startswith("wait no "),
-        }
-        said.append("I can't say." if "<THINK>" in pair["output"] else "```json\n" + json.dumps(verdict) + "\n```")
-    return said
-
-
-_JUDGED = f"""(SELECT category, line_no, input, output, contains(output, '<THINK>') AS parse_error, CASE WHEN NOT contains(output, '<THINK>') THEN NOT starts_with(input, 'um ') END AS input_realistic,
-  CASE WHEN NOT contains(output, '<THINK>') THEN length(output) * 5 > length(input) END AS content_preserved, CASE WHEN NOT contains(output, '<THINK>') THEN NOT contains(output, '{X.REPLACEMENT}') END AS no_hallucination,
-  CASE WHEN NOT contains(output, '<THINK>') THEN NOT starts_with(input, 'wait no ') END AS corrections_applied FROM {P} WHERE trim(input) <> '' AND trim(output) <> '')"""
-_GATED = _DECIDED.replace(V, _JUDGED).replace("0.30", "0.70").replace("0.20", "0.65")
+_LOOKED_AT = f"(SELECT * FROM {_JUDGED} WHERE trim(input) <> '' AND trim(output) <> '')"
+_GATED = _DECIDED.replace(V, _LOOKED_AT).replace("0.30", "0.70").replace("0.20", "0.65")
 
 
 @query(
     "gated_version",
     X.PAIRS,
     f"""SELECT category, line_no, md5(input) AS input, md5(output) AS output, CASE WHEN decision = 'reject' THEN 'rejected' ELSE 'live' END AS state FROM {P} JOIN ({_GATED}) USING (category)
-    WHERE decision = 'reject' OR (category, line_no) NOT IN ({_CRITICAL.replace(V, _JUDGED)})""",
+    WHERE decision = 'reject' OR (category, line_no) NOT IN ({_CRITICAL.replace(V, _LOOKED_AT)})""",
 )
 def _(p):
     """Version 2 of a table of pairs: a sample judged on its texts, the report, critical lines pruned, categories quarantined."""
@@ -98,6 +81,61 @@ def _(p):
     return out
 
 
+@query(
+    "clean_to_messy",
+    X.PAIRS,
+    f"""WITH found AS (SELECT place, text, category FROM ({_FOUND.replace('md5(input) AS text', 'input AS text')}) WHERE category IN ({", ".join(f"'{c}'" for c in L.CLEAN_TO_MESSY)}) ORDER BY place LIMIT 30)
+    SELECT category, md5('uhm ' || text || ' hm') AS input, md5(text) AS output FROM (SELECT DISTINCT category, replace(text, chr(10), ' ') AS text FROM found) WHERE NOT regexp_matches({marked('text')}, '(?i){word('um', 'uh')}')""",
+)
+def _(p):
+    """Pairs made of real texts by a model; a second run asks nothing and appends nothing."""
+    spark, path = p.sparkSession, folder(p.sparkSession)
+    flat = p.select("line_no", F.concat_ws("\n\n", F.transform(F.split("input", "\n\n"), lambda x: F.translate(x, "\n", " "))).alias("input"))
+    flat.repartitionByRange(8, "line_no").sortWithinPartitions("line_no").write.parquet(f"{path}/in")
+
+    def model(prompts: list[str]) -> list[str | None]:
+        return [json.dumps([{"transcript": f"uhm {line.split('. ', 1)[1]} hm"} for line in x.split("\n")]) for x in prompts]
+
+    for model_of_run in (model, lambda prompts: [None for _ in prompts]):
+        generate.clean_to_messy(spark, f"{path}/in/*.parquet", f"{path}/out", f"{path}/record", model_of_run, "{texts}", 30, "input")
+    back = spark.read.schema("input string, output string, category string").json(f"{path}/out")
+    return back.select("category", md5("input"), md5("output"))
+
+
+# --- the last review
+
+
+@query(
+    "review_inventory",
+    X.PAIRS,
+    f"""SELECT category, coalesce(n, 0) AS n, coalesce(bytes, 0) AS bytes, CASE WHEN n IS NULL THEN 'missing' WHEN n < m * 0.25::DOUBLE THEN 'small' WHEN w.category IS NULL THEN 'unexpected' ELSE 'ok' END AS state
+    FROM (SELECT category, count(*) AS n, CAST(sum(strlen(input) + strlen(output)) AS BIGINT) AS bytes FROM {P} GROUP BY 1) c FULL JOIN (VALUES ('src0'), ('src1'), ('src2'), ('src99')) w(category) USING (category),
+    (SELECT count(*)::DOUBLE / count(DISTINCT category) AS m FROM {P})""",
+)
+def _(p):
+    return compare.inventory(p, "category", ["src0", "src1", "src2", "src99"])
+
+
+_LEFT = n_matches(marked("lower(output)"), word("um", "uh", "basically", "literally"), phrase("you know"))
+
+
+@query("review_sample", X.PAIRS, f"SELECT category, line_no, array_to_string(reasons, ',') AS problems, CAST({_LEFT} AS INT) AS fillers_left FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY md5(concat('42|', category, '|', line_no)), line_no) AS rn FROM ({_REASONED})) WHERE rn <= 5")
+def _(p):
+    """Five pairs of each category."""
+    return compare.review_sample(p, "category", ["line_no"])
+
+
+@query(
+    "shared_terms",
+    X.PAIRS,
+    f"""SELECT term, count(*) AS n, count(DISTINCT category) AS n_groups FROM (SELECT category, unnest(list_distinct(list_concat(regexp_extract_all(output, '{compare.NAMES}', 1), regexp_extract_all(output, '{compare.NUMBERS}')))) AS term FROM {P})
+    GROUP BY term HAVING count(*) >= (SELECT ceil(count(*) * 0.01::DOUBLE) FROM {P}) AND count(DISTINCT category) >= 2""",
+)
+def _(p):
+    """Names and numbers that one pair in a hundred holds, in two categories or more."""
+    return compare.shared_terms(p, "category")
+
+
 # --- streams with state
 
 

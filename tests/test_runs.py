@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import lexicons as L
-from skein.operators import dedup, synth
-from skein.plans import gate
+from skein.operators import compare, dedup, synth
+from skein.plans import gate, generate
 from skein.sources import readers, writers
 from skein.sources.versions import ROWS, ConflictError, Versions
 from skein.streaming import ingest, state
@@ -261,3 +261,43 @@ def test_keys_are_forgotten_after_the_delay(spark, tmp_path):
     got = sorted((r.input, r.at.hour) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert [h for _, h in got if _ == "a b"] == [5] and sum(x == "c" for x, _ in got) == 1 and len(got) == 4
     assert removed >= 2
+
+
+# --- texts to pairs, the last review
+
+
+def test_clean_to_messy_goes_on(spark, tmp_path):
+    fit = "The patient came to the hospital with a diagnosis, and the nurse wrote all of it down for the doctor, visit"
+    spark.range(60).selectExpr(f"concat('{fit} ', id, '.') AS text").coalesce(2).write.parquet(f"{tmp_path}/in")
+
+    def model(answered):
+        def call(prompts):
+            return [json.dumps([{"transcript": "uhm " + line.split(". ", 1)[1]} for line in x.split("\n")]) if answered or "visit 3." in x else None for x in prompts]
+
+        return call
+
+    run = lambda m, n=40: generate.clean_to_messy(spark, f"{tmp_path}/in/*.parquet", f"{tmp_path}/out", f"{tmp_path}/record", m, "{texts}", n, size=10)
+    made = lambda: spark.read.schema("input string, output string, category string").json(f"{tmp_path}/out")
+    totals = {r.category: r.generated for r in run(model(False)).collect()}
+    assert totals == {"medical_clinical": 10, "TOTAL": 10} and made().count() == 10
+    run(model(True))
+    assert made().count() == made().distinct().count() == 40
+    run(lambda prompts: 1 / 0)
+    assert made().count() == 40
+    assert {r.input[:8] for r in made().collect()} == {"uhm The "}
+
+
+def test_shared_terms_and_inventory(spark):
+    rows = [("a", i, "Then Maria paid 5,000 to them, said Bo" if i % 2 else "said Other" + chr(97 + i % 26), "in") for i in range(200)]
+    rows += [("b", 1000 + i, "so Maria came, Bo" if i < 3 else "nothing 42 here", "in") for i in range(30)] + [("c", 2000, None, "in")]
+    df = spark.createDataFrame(rows, "category string, line_no long, output string, input string").repartition(5)
+    got = {r.term: (r.n, r.n_groups) for r in compare.shared_terms(df, "category", 0.1).collect()}
+    assert got == {"Maria": (103, 2), "Bo": (103, 2)}
+    assert {r.term for r in compare.shared_terms(df, "category", 0.1, 1).collect()} == {"Maria", "Bo", "5,000", "42"}
+    assert compare.shared_terms(df.where("false"), "category").count() == 0
+    with pytest.raises(ValueError, match="sketch"):
+        compare.shared_terms(df.withColumn("output", F.lit(" ".join(map(str, range(300_000))))).limit(3), "category", 1e-9)
+    found = {r.category: (r.n, r.state) for r in compare.inventory(df, "category", ["a", "b", "z"]).collect()}
+    assert found == {"a": (200, "ok"), "b": (30, "ok"), "c": (1, "small"), "z": (0, "missing")}
+    sample = compare.review_sample(df.fillna(""), "category", ["line_no"]).collect()
+    assert sorted(r.category for r in sample) == ["a"] * 5 + ["b"] * 5 + ["c"]
