@@ -5,7 +5,7 @@ are cut into full pieces after a first one that may be shorter. Full pieces
 are sequences by themselves. The others are dealt out evenly over groups of
 bounded size and packed group by group: best fit, longest first, then local
 search between underfull bins. A step moves one piece, exchanges one for one,
-or two for one, and is taken if it raises the sum of squared fills; the
+or two for one either way, and is taken if it raises the sum of squared fills; the
 emptiest bins run dry. Only (document, piece, length) rows are shuffled.
 
 Defined results: null or empty text is the end id alone; repeated rows and
@@ -18,6 +18,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -79,69 +80,185 @@ def best_fit(lengths: list[int], size: int) -> list[list[int]]:
     return bins
 
 
+class Emptiest:
+    """Of each length the least full bin that has it to give, and the longest of a range whose bin is below a bound.
+
+    A tree of minima over lengths holds, for each, the fill of that bin less the length; bins of one length lie in
+    a heap, where entries of bins that changed since stay until they come to the top.
+    """
+
+    NONE = 1 << 30
+
+    def __init__(self, size: int, version: list[int]):
+        self.half = 1 << size.bit_length()
+        self.tree = [self.NONE] * (2 * self.half)
+        self.heaps: dict[int, list[tuple[int, int, int, tuple[int, ...]]]] = defaultdict(list)
+        self.version = version
+
+    def build(self) -> None:
+        for n, heap in self.heaps.items():
+            heapify(heap)
+            self.tree[self.half + n] = heap[0][0] - n
+        for node in range(self.half - 1, 0, -1):
+            self.tree[node] = min(self.tree[2 * node], self.tree[2 * node + 1])
+
+    def put(self, n: int, value: int) -> None:
+        node, tree = self.half + n, self.tree
+        tree[node] = value
+        while node > 1:
+            node >>= 1
+            least = min(tree[2 * node], tree[2 * node + 1])
+            if tree[node] == least:
+                break
+            tree[node] = least
+
+    def top(self, n: int) -> tuple[int, int, int, tuple[int, ...]] | None:
+        heap = self.heaps[n]
+        while heap and heap[0][1] != self.version[heap[0][2]]:
+            heappop(heap)
+        return heap[0] if heap else None
+
+    def refresh(self, n: int) -> None:
+        top = self.top(n)
+        self.put(n, top[0] - n if top else self.NONE)
+
+    def without(self, n: int, b: int) -> None:
+        """Let the tree forget that bin b has length n, until ``refresh``."""
+        top = self.top(n)
+        if top and top[2] == b:
+            heappop(self.heaps[n])
+            self.refresh(n)
+            heappush(self.heaps[n], top)
+
+    def longest(self, low: int, high: int, bound: int) -> int:
+        """The greatest length in (low, high] whose value is below the bound, 0 if there is none."""
+        tree, left, right, after = self.tree, low + 1 + self.half, high + 1 + self.half, []
+        while left < right:
+            if left & 1:
+                after.append(left)
+                left += 1
+            if right & 1:
+                right -= 1
+                if tree[right] < bound:
+                    return self._descend(right, bound)
+            left >>= 1
+            right >>= 1
+        for node in reversed(after):
+            if tree[node] < bound:
+                return self._descend(node, bound)
+        return 0
+
+    def _descend(self, node: int, bound: int) -> int:
+        tree, half = self.tree, self.half
+        while node < half:
+            node = 2 * node + (tree[2 * node + 1] < bound)
+        return node - half
+
+
 class LocalSearch:
-    """Moves and exchanges between underfull bins that raise the sum of squared fills."""
+    """Moves and exchanges between underfull bins that raise the sum of squared fills: one for one, two given for one, one for two, or none for one.
+
+    A bin whose fill grows by ``gain`` and another's that shrinks by as much raise the sum exactly if the first ends fuller than the
+    other was: so only the least full bin that has a length to give needs to be looked at, and a bin finds the
+    best of its steps in a logarithm of the size for each of its own choices. A bin that found none is not looked at again
+    before a length within its reach can be had from an emptier bin than before.
+    """
 
     def __init__(self, lengths: list[int], bins: list[list[int]], size: int):
         self.lengths, self.bins, self.size = lengths, bins, size
         self.fill = [sum(lengths[i] for i in b) for b in bins]
-        self.at: dict[int, set[tuple[int, int]]] = defaultdict(set)  # length -> (bin, piece) in underfull bins
-        self.present = 0
+        self.version = [0] * len(bins)
+        self.ones, self.twos = Emptiest(size, self.version), Emptiest(size, self.version)
+        self.changed = self.before = 0  # bits of lengths that can be had from an emptier bin, since the pass began and in the last one
+        self.reach: dict[int, int] = {}
         for b in range(len(bins)):
             if 0 < self.fill[b] < size:
-                self._list(b)
+                for of, sets in self._offers(b):
+                    for n, taken in sets.items():
+                        of.heaps[n].append((self.fill[b], 0, b, taken))
+        self.ones.build()
+        self.twos.build()
+
+    def _offers(self, b: int) -> tuple[tuple[Emptiest, dict[int, tuple[int, ...]]], ...]:
+        """What bin b has to give: a piece, or two pieces, by length."""
+        own, lengths = self.bins[b], self.lengths
+        ones = {lengths[i]: (i,) for i in own}
+        pairs: dict[int, list[int]] = defaultdict(list)
+        for i in own:  # two of a length are enough for any pair
+            if len(pairs[lengths[i]]) < 2:
+                pairs[lengths[i]].append(i)
+        few = [i for same in pairs.values() for i in same]
+        twos = {lengths[i] + lengths[j]: (i, j) for k, i in enumerate(few) for j in few[k + 1 :]}
+        return (self.ones, ones), (self.twos, twos)
 
     def _list(self, b: int) -> None:
-        for i in self.bins[b]:
-            self.at[self.lengths[i]].add((b, i))
-            self.present |= 1 << self.lengths[i]
+        for of, sets in self._offers(b):
+            for n, taken in sets.items():
+                heappush(of.heaps[n], (self.fill[b], self.version[b], b, taken))
+                if self.fill[b] - n < of.tree[of.half + n]:
+                    of.put(n, self.fill[b] - n)
+                    self.changed |= 1 << n
 
     def _unlist(self, b: int) -> None:
-        for i in self.bins[b]:
-            n = self.lengths[i]
-            self.at[n].discard((b, i))
-            if not self.at[n]:
-                self.present &= ~(1 << n)
-
-    def _best(self, b: int, over: int, gap: int) -> tuple[int, int, int] | None:
-        """(gain, bin, piece): the longest piece in another bin with over < length <= over + gap that fills b past that bin."""
-        n = min(over + gap, self.size - 1)
-        while True:
-            found = self.present & ((1 << (n + 1)) - 1)
-            n = found.bit_length() - 1
-            if n <= over:
-                return None
-            other = min(self.at[n], key=lambda x: (x[0] == b, self.fill[x[0]]))
-            if other[0] != b and self.fill[b] + n - over > self.fill[other[0]]:
-                return n - over, *other
-            n -= 1
-        return None
+        self.version[b] += 1
+        for of, sets in self._offers(b):
+            for n in sets:
+                of.refresh(n)
+
+    def _step(self, b: int, offers: tuple) -> tuple[int, tuple[int, ...], Emptiest, int] | None:
+        """(gain, given, where, length) of the step that fills bin b most, as far as that is known without its own offers."""
+        size, fill = self.size, self.fill[b]
+        gap = size - fill
+        best, most, reach = None, 0, 0
+        (_, ones), (_, twos) = offers
+        for given, over, wheres in (((), 0, (self.ones,)), *((g, n, (self.ones, self.twos)) for n, g in ones.items()), *((g, n, (self.ones,)) for n, g in twos.items())):
+            high = min(over + gap, size - 1)
+            reach |= (1 << (high + 1)) - (1 << (over + 1))
+            for of in wheres:
+                n = of.longest(over + most, high, fill - over)
+                if n:
+                    best, most = (n - over, given, of, n), n - over
+            if most == gap:
+                break
+        self.reach[b] = reach
+        return best
 
     def improve(self, b: int) -> bool:
         """Fill bin b as far as one step can; whether there was a step."""
-        gap = self.size - self.fill[b]
-        if not 0 < gap < self.size:
+        if not 0 < self.fill[b] < self.size:
+            return False
+        reach = self.reach.get(b)
+        if reach is not None and not reach & (self.changed | self.before):
             return False
-        own = sorted({self.lengths[i]: i for i in self.bins[b]}.items())
-        give: list[tuple[int, ...]] = [(), *((i,) for _, i in own)]
-        give += [(i, j) for k, (_, i) in enumerate(own) for _, j in own[k + 1 :]]
-        best = None
-        for out in give:
-            found = self._best(b, sum(self.lengths[i] for i in out), gap)
-            if found and (best is None or found[0] > best[0]):
-                best = (*found, out)
-                if found[0] == gap:
-                    break
-        if best is None:
+        offers = self._offers(b)
+        for of, sets in offers:
+            for n in sets:
+                of.without(n, b)
+        best = self._step(b, offers)
+        entry = None
+        if best:
+            _, _, of, n = best
+            heap, hidden = of.heaps[n], None
+            if of.top(n)[2] == b:
+                hidden = heappop(heap)
+            entry = of.top(n)
+            if hidden:
+                heappush(heap, hidden)
+        for of, sets in offers:
+            for n in sets:
+                of.refresh(n)
+        if entry is None:
             return False
-        gain, other, i, out = best
+        gain, given, _, _ = best
+        _, _, other, taken = entry
         self._unlist(b)
         self._unlist(other)
-        self.bins[other] = [x for x in self.bins[other] if x != i] + list(out)
-        self.bins[b] = [x for x in self.bins[b] if x not in out] + [i]
+        self.bins[other] = [x for x in self.bins[other] if x not in taken] + list(given)
+        self.bins[b] = [x for x in self.bins[b] if x not in given] + list(taken)
         self.fill[b] += gain
         self.fill[other] -= gain
         for x in (b, other):
+            self.reach.pop(x, None)
             if 0 < self.fill[x] < self.size:
                 self._list(x)
         return True
@@ -150,6 +267,7 @@ class LocalSearch:
         """Until a pass over the underfull bins finds no step; each step raises the sum of squared fills, so the search ends."""
         while True:
             under = sorted((b for b in range(len(self.bins)) if 0 < self.fill[b] < self.size), key=lambda b: -self.fill[b])
+            self.before, self.changed = self.changed, 0
             steps = 0
             for b in under:  # each is filled as far as it goes before the next
                 while self.improve(b):

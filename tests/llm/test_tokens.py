@@ -1,6 +1,7 @@
 """Pre-tokens, token counts, packing and token files against the tokenizers library."""
 
 import math
+import time
 import zlib
 from collections import defaultdict
 
@@ -98,6 +99,41 @@ def test_local_search_empties_bins():
         assert len(found) <= len(fitted) * 1.15 + 1
 
 
+def steps_left(lengths, bins, size):
+    """Moves and exchanges between underfull bins that raise the sum of squared fills, by trying them all."""
+    bins = [b for b in bins if sum(lengths[i] for i in b) < size]
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    sets = [[(0, 0), *{(1, lengths[i]) for i in b}, *{(2, lengths[i] + lengths[j]) for k, i in enumerate(b) for j in b[k + 1 :]}] for b in bins]
+    allowed = {(0, 1), (1, 1), (2, 1), (1, 2)}  # given, taken
+    for x in range(len(bins)):
+        for y in range(len(bins)):
+            for given, out in sets[x]:
+                for taken, into in sets[y]:
+                    gain = into - out
+                    if x != y and (given, taken) in allowed and 0 < gain <= size - fill[x] and fill[x] + gain > fill[y]:
+                        return x, y, out, into
+    return None
+
+
+@pytest.mark.parametrize(("low", "high", "n"), [(1, 100, 300), (52, 100, 300), (20, 60, 200), (1, 20, 150), (33, 34, 100)])
+def test_search_ends_with_no_step_left(low, high, n):
+    rng = np.random.default_rng(high)
+    lengths = rng.integers(low, high + 1, n).tolist()
+    alone = packing.LocalSearch(lengths, [[i] for i in range(n)], 101).run()
+    for found in (packing.pack(lengths, 101), alone):
+        assert sorted(i for b in found for i in b) == list(range(n)) and all(sum(lengths[i] for i in b) <= 101 for b in found)
+        assert steps_left(lengths, found, 101) is None
+
+
+def test_search_of_a_full_group_is_short():
+    """Lengths of which no two fit: every bin is looked at, no step is found."""
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(520, 1001, packing.GROUP).tolist()
+    began = time.perf_counter()
+    assert len(packing.pack(lengths, 1024)) == packing.GROUP
+    assert time.perf_counter() - began < 60
+
+
 def test_perfect_hash():
     for n in (0, 1, 2, 100, 5000):
         keys = token_files.hashed_keys(np.arange(n), np.zeros(n, np.int64))
