@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from skein.llm.batches import text_pieces
 from skein.llm.pretokens import encoder
-from skein.llm.workspace import Workspace
+from skein.llm.workspace import Workspace, joined
 
 END_ID = 1
 #: Ids of a shard before the next one begins, at the end of a block of texts.
@@ -211,10 +211,39 @@ def read_documents(tokens: DataFrame) -> DataFrame:
     return found.join(bases, "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
+#: Shards up to which a lookup names them to the reader, which then skips the others' row groups; of more, rows are chosen as they are read.
+NAMED = 1_000
+
+
+def shards_of(tokens: DataFrame, doc_ids: list[int | None]) -> DataFrame:
+    """(part, shard) of the shards that can hold one of the ids: each shard's range of ids is searched in the sorted ids asked for.
+
+    Reads the ranges only, no payload and no index. Documents are in ascending order, so an id is in one shard, or in
+    neighbouring ones if it repeats.
+    """
+    wanted, nulls = np.array(sorted({i for i in doc_ids if i is not None}), np.int64), None in doc_ids
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+            first, last = (batch.column(k).fill_null(0).to_numpy() for k in (2, 3))
+            holds = known & (np.searchsorted(wanted, last, "right") > np.searchsorted(wanted, first, "left"))
+            if nulls:
+                holds |= batch.column(4).to_numpy(zero_copy_only=False)
+            yield pa.record_batch([batch.column(k).filter(pa.array(holds)) for k in (0, 1)], names=["part", "shard"])
+
+    # nulls come first: the first shard with a known id, and those before it, can hold them
+    known = tokens.where("first_id is not null").agg(F.min(F.struct("part", "shard")).alias("at")).first()["at"]
+    null_ids = F.lit(True) if known is None else F.struct("part", "shard") <= F.struct(F.lit(known["part"]), F.lit(known["shard"]))
+    ranges = tokens.withColumn("null_ids", null_ids)
+    return ranges.select("part", "shard", "first_id", "last_id", "null_ids").mapInArrow(run, "part int, shard int")
+
+
 def lookup(tokens: DataFrame, doc_ids: list[int | None]) -> DataFrame:
     """(doc_id, ids) of every document with one of the given ids, null among them if None is given.
 
-    Occurrences of an id in a shard are asked for one after another until one is not there.
+    Only the shards of ``shards_of`` are looked into. Occurrences of an id in a shard are asked for one after another
+    until one is not there.
     """
     wanted, nulls = sorted({i for i in doc_ids if i is not None}), None in doc_ids
 
@@ -232,12 +261,16 @@ def lookup(tokens: DataFrame, doc_ids: list[int | None]) -> DataFrame:
                     yield pa.record_batch([pa.array(keys, mask=occurrence >= NULL), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "ids"])
                     occurrence = occurrence + 1
 
-    holds = F.lit(False)
-    if wanted:
-        holds = F.col("last_id").isNotNull() & (F.col("last_id") >= wanted[0]) & (F.col("first_id") <= wanted[-1])
-    if nulls:  # they come first
-        holds = F.lit(True)
-    return tokens.where(holds).select("index", "payload").mapInArrow(run, "doc_id long, ids array<long>")
+    chosen = shards_of(tokens, doc_ids)
+    named = chosen.limit(NAMED + 1).collect()
+    if len(named) <= NAMED:
+        holds = F.lit(False)
+        for part in sorted({r["part"] for r in named}):
+            holds |= (F.col("part") == part) & F.col("shard").isin([r["shard"] for r in named if r["part"] == part])
+        held = tokens.where(holds)
+    else:
+        held = joined(tokens, chosen, ["part", "shard"], "left_semi")
+    return held.select("index", "payload").mapInArrow(run, "doc_id long, ids array<long>")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,6 +167,28 @@ def test_lookup_finds_repeated_and_null_ids(spark, edge):
     assert token_files.lookup(tokens, []).count() == 0
 
 
+def test_lookup_reads_the_shards_of_its_keys(spark, monkeypatch):
+    """Two ids far apart are in two shards, an id that repeats in as many as hold it; more shards than are named are joined."""
+    monkeypatch.setattr(token_files, "SHARD_IDS", 64)
+    rows = [(None, "no id")] * 30 + [(i, f"some words of document {i}") for i in range(300)] + [(150, "again")] * 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        tokens = token_files.write_tokens(docs, WORDS, Workspace(spark, "t"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    count = lambda *ids: token_files.shards_of(tokens, list(ids)).count()
+    assert tokens.count() > 12 and count(5, 290) == 2 and count(10**6, -4) == 0 and count() == 0
+    held = {(r.part, r.shard) for r in token_files.shards_of(tokens, [150]).collect()}
+    assert held == {(r.part, r.shard) for r in tokens.where("first_id <= 150 and last_id >= 150").collect()} and len(held) > 1
+    nulls = sum(r.n_docs for r in tokens.join(token_files.shards_of(tokens, [None]), ["part", "shard"]).collect())
+    assert nulls >= 30 and count(None) < tokens.count() / 2
+    for named in (1_000, 1):
+        monkeypatch.setattr(token_files, "NAMED", named)
+        got = token_files.lookup(tokens, [5, 290, 150, None, 10**6]).groupBy("doc_id").count().collect()
+        assert {r.doc_id: r["count"] for r in got} == {5: 1, 290: 1, 150: 101, None: 30}
+
+
 def test_frequent_pretokens_are_dealt(spark):
     """One pre-token in all documents of many shards still counts right."""
     docs = spark.range(2000).repartition(4).selectExpr("id AS doc_id", "concat(' the the ', id % 7) AS text")
