@@ -19,7 +19,7 @@ from skein.streaming import ingest
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: Queries whose SQL is asked as well; the driver asks all.
-CHECKED = ["synthetic_pairs_read", "prepared_pairs_read", "paired_text_files", "combined_lines", "rewritten_lines", "gate_report", "verdicts", "quotas_filled", "messified", "judged_batch", "comparison_lines", "step_state", "steps_dry_run", "step_artifacts", "stream_best_loss", "wer", "chat_records", "dedup_first_occurrence", "quality_reasons", "split_assign", "made_up_words", "filler_positions", "cer", "sentence_bleu", "gate_decisions", "quota_plan", "train_log_parse", "dag_resume", "stream_dedup_available_now"]
+CHECKED = ["synthetic_files_opened", "clean_texts_bounded", "gated_version", "model_calls", "stream_deduped_within_watermark", "stream_step_states", "ab_compare", "shared_terms", "review_sample", "generated_pairs", "still_needed", "batch_sizes", "cer_summary", "synthetic_pairs_read", "prepared_pairs_read", "paired_text_files", "combined_lines", "rewritten_lines", "gate_report", "verdicts", "quotas_filled", "messified", "judged_batch", "comparison_lines", "step_state", "steps_dry_run", "step_artifacts", "stream_best_loss", "wer", "chat_records", "dedup_first_occurrence", "quality_reasons", "split_assign", "made_up_words", "filler_positions", "cer", "sentence_bleu", "gate_decisions", "quota_plan", "train_log_parse", "dag_resume", "stream_dedup_available_now"]
 
 
 @pytest.fixture(scope="module")
