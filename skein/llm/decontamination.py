@@ -2,28 +2,31 @@
 
 Words are runs of digits, letters a-z (upper case lowered) and characters
 beyond ASCII. A window is ten consecutive words of a test item, or all words
-of an item that has fewer. Every shard of training documents is indexed, every
-distinct window is searched in it backwards, its occurrences are located by
-sampled suffix positions, and their spans are merged.
-
-Words that no window has act as separators in the index, and stretches between
-separators that are shorter than the shortest window, which cannot hold one,
-are left out of it. Words are numbered by a 64-bit hash; the words of every
-occurrence are then held against the item's own, byte by byte.
-
-Test items are searched in blocks of bounded size, each against all documents.
+of an item that has fewer.
+
+1. Every shard of training documents is indexed once, over all its words, and
+   its index is written as cells of a row (``index_shards``). The table depends on no
+   benchmark and can be searched again.
+2. Windows are rows with a digest of their words; equal ones of all items are one.
+3. Blocks of windows of bounded size are broadcast in turn. In each shard the
+   windows all of whose words it has are searched backwards, occurrences are located by
+   sampled suffix positions, and leave as rows by document and window.
+4. Of documents with occurrences, the words of each are held against the
+   window's digest, since the index numbers words by a 64-bit hash; the spans of
+   those that are right are merged.
 
 Defined results: null or empty texts have no words and no hits; an item
 without words has no window; items of one id are one item; items with a null id
 are searched, and count in n_hit and spans but not in n_items. Repeated rows
-are reported each. Other columns of the inputs are ignored.
+are reported each. Empty tables give no rows, or no hits. Other columns of the
+inputs are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,38 +35,39 @@ from pyspark.sql import functions as F
 
 from skein.llm.batches import text_pieces
 from skein.llm.fm_index import FMIndex
+from skein.llm.workspace import Workspace, joined, met_by_key, numbered
 
 WINDOW = 10
-#: Text bytes of a shard, and of the test items that are searched together.
+#: Text bytes of a shard, and bytes of the windows that are searched together.
 SHARD_BYTES, ITEM_BYTES = 8 << 20, 32 << 20
+#: Bytes of a row group of indexes.
+GROUP_BYTES = 32 << 20
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 SEPARATOR = 1
-#: Bytes up to which words are hashed and compared side by side; longer ones are taken one by one.
+#: Bytes up to which words are hashed side by side; longer ones are taken one by one.
 LONG_WORD = 64
 
 
-@dataclass
 class Words:
     """The words of a block of texts: where they begin and end in its lower-case bytes, and texts' first words."""
 
-    data: np.ndarray
-    starts: np.ndarray
-    ends: np.ndarray
-    texts: np.ndarray
-
-    @classmethod
-    def of(cls, data: np.ndarray, offsets: np.ndarray) -> Words:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
         n = len(data)
         inside = _WORD[data]
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True
         starts = np.flatnonzero(inside & (np.concatenate([[True], ~inside[:-1]]) | edge[:n])) if n else np.zeros(0, np.int64)
         ends = np.flatnonzero(inside & (np.concatenate([~inside[1:], [True]]) | edge[1:])) + 1 if n else starts
-        return cls(_LOWER[data], starts, ends, np.searchsorted(starts, offsets))
+        self.data, self.starts, self.ends, self.texts = _LOWER[data], starts, ends, np.searchsorted(starts, offsets)
+
+    def of_text(self, i: int) -> list[bytes]:
+        """The words of one text."""
+        some = slice(self.texts[i], self.texts[i + 1])
+        return [self.data[a:b].tobytes() for a, b in zip(self.starts[some].tolist(), self.ends[some].tolist(), strict=True)]
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word, eight bytes at a step, of a long one by a digest."""
@@ -85,127 +89,159 @@ class Words:
         return out
 
 
-class Phrases:
-    """The distinct windows of a block of test items."""
+def digest(words: list[bytes]) -> bytes:
+    """By which a window's words are told from others."""
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
-    def __init__(self, items: list[tuple[int | None, str]], window: int = WINDOW):
-        texts = [(t or "").encode() for _, t in items]
-        words = Words.of(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
+
+WINDOWS = "win binary, words binary, item_id long"
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, data, offsets in text_pieces(batches):
+        words = Words(data, offsets)
         hashes = words.hashes()
-        distinct, first, numbers = np.unique(hashes, return_index=True, return_inverse=True)
-        self.hashes = distinct
-        self.slots, self.slot_numbers = _slots(distinct)
-        names = [words.data[words.starts[i] : words.ends[i]].tobytes() for i in first.tolist()]
-        self.name_sizes = np.fromiter(map(len, names), np.int64, len(names))
-        self.names = np.frombuffer(b"".join(x[:LONG_WORD].ljust(LONG_WORD, b"\0") for x in names), np.uint8).reshape(len(names), LONG_WORD)
-        self.long_names = {i: np.frombuffer(x, np.uint8) for i, x in enumerate(names) if len(x) > LONG_WORD}
-        found: dict[tuple[int, ...], set[int | None]] = {}
-        for i, (item, _) in enumerate(items):
-            own = (numbers[words.texts[i] : words.texts[i + 1]] + 2).tolist()
-            size = min(window, len(own))
+        wins, codes, of = [], [], []
+        for i in range(rows.num_rows):
+            own, first = words.of_text(i), int(words.texts[i])
+            size = min(WINDOW, len(own))
             for at in range(len(own) - size + 1 if size else 0):
-                found.setdefault(tuple(own[at : at + size]), set()).add(item)
-        self.by_size: list[tuple[np.ndarray, list[list[int]]]] = []
-        for size in sorted({len(w) for w in found}):
-            some = [w for w in found if len(w) == size]
-            self.by_size.append((np.array(some, np.int64), [sorted(x for x in found[w] if x is not None) for w in some]))
-        self.shortest = min((len(w) for w in found), default=0)
-
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        """The number of each word; SEPARATOR for words that no window has."""
-        out = np.full(len(hashes), SEPARATOR, np.int64)
-        slot = (hashes >> np.uint64(48)).astype(np.int64)
-        for k in range(self.slots.shape[1]):
-            hit = np.flatnonzero(self.slots[slot, k] == hashes)
-            out[hit] = self.slot_numbers[slot[hit], k] + 2
-        return out
+                wins.append(digest(own[at : at + size]))
+                codes.append(hashes[first + at : first + at + size].tobytes())
+                of.append(i)
+        items = rows.column(0).take(pa.array(of, pa.int64()))
+        yield pa.record_batch([pa.array(wins, pa.binary()), pa.array(codes, pa.binary()), items], names=["win", "words", "item_id"])
 
 
-def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes in ascending order, and their places, in rows by their top 16 bits."""
-    top = (hashes >> np.uint64(48)).astype(np.int64)
-    wide = max(1, int(np.bincount(top, minlength=1).max(initial=0)))
-    keys, numbers = np.zeros((1 << 16, wide), np.uint64), np.zeros((1 << 16, wide), np.int64)
-    empty = np.arange(1 << 16, dtype=np.uint64)[:, None] + np.uint64(1) << np.uint64(48)  # a hash of another row
-    keys[:] = empty
-    column = np.arange(len(hashes)) - np.searchsorted(top, top)
-    keys[top, column], numbers[top, column] = hashes, np.arange(len(hashes))
-    return keys, numbers
+def windows_of(items: DataFrame) -> DataFrame:
+    """(win, words, ids): digest, word hashes and items of each distinct window of items (item_id, text)."""
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(_windows, WINDOWS)
+    return rows.groupBy("win").agg(F.min("words").alias("words"), F.collect_set("item_id").alias("ids"))
 
 
-def occurrences(words: Words, phrases: Phrases) -> Iterator[tuple[np.ndarray, int, list[list[int]], np.ndarray]]:
-    """(first word of each occurrence, words in the window, items by window, window of each occurrence)."""
-    if not phrases.by_size or not len(words.starts):
-        return
-    numbers = phrases.numbers(words.hashes())
-    known = numbers != SEPARATOR
-    edge = np.zeros(len(known) + 1, bool)
-    edge[words.texts] = True
-    place = np.arange(len(known))
-    begin = known & (np.concatenate([[True], ~known[:-1]]) | edge[:-1])
-    finish = known & (np.concatenate([~known[1:], [True]]) | edge[1:])
-    first, last = place[begin], place[finish] + 1
-    long = last - first >= phrases.shortest
-    first, sizes = first[long], (last - first)[long] + 1  # a separator after each stretch
-    if not len(first):
+class Block:
+    """Windows that are searched together, by the number of their words."""
+
+    def __init__(self, table: pa.Table):
+        self.wins = table.column("win").combine_chunks()
+        codes = [np.frombuffer(x, "<u8") for x in table.column("words").to_pylist()]
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+        self.words, numbers = np.unique(np.concatenate([np.zeros(0, np.uint64), *codes]), return_inverse=True)
+        first = np.cumsum(sizes) - sizes
+        #: Places of windows in ``wins``, and places of their words in ``words``.
+        self.by_size = [(which := np.flatnonzero(sizes == n), numbers[first[which][:, None] + np.arange(n)]) for n in np.unique(sizes).tolist()]
+
+
+INDEX = "files array<long>, places array<long>, firsts array<int>, vocabulary binary, n long, bits binary, smaller binary, sampled binary, samples binary"
+_FIELDS = [x.split()[0] for x in INDEX.split(", ")]
+
+
+def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, data, offsets in text_pieces(batches, "__text", SHARD_BYTES):
+        words = Words(data, offsets)
+        vocabulary, numbers = np.unique(words.hashes(), return_inverse=True)
+        firsts = words.texts[:-1] + np.arange(rows.num_rows)  # with a separator after each text
+        index = FMIndex(np.insert(numbers + 2, words.texts[1:], SEPARATOR), len(vocabulary) + 2, texts=firsts)
+        key = rows.column(0)
+        one = {"files": key.field("file").to_numpy(), "places": key.field("place").to_numpy(), "firsts": firsts, "vocabulary": vocabulary.tobytes(), **index.cells()}
+        types = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.int64(), *[pa.binary()] * 4]
+        yield pa.record_batch([pa.array([one[f]], t) for f, t in zip(_FIELDS, types, strict=True)], names=_FIELDS)
+
+
+def index_shards(rows: DataFrame, work: Workspace) -> DataFrame:
+    """The stored table of indexes of rows (__row, __text), a row for each shard."""
+    return work.table(rows.select("__row", "__text").mapInArrow(_index, INDEX), "index", group_bytes=GROUP_BYTES)
+
+
+def occurrences(index: FMIndex, vocabulary: np.ndarray, block: Block) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(places, windows, words in the window) of all occurrences of a block's windows in a shard."""
+    if not len(vocabulary):
         return
-    source = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-    ends = np.cumsum(sizes) - 1
-    text = numbers[np.minimum(source, len(numbers) - 1)]
-    text[ends] = SEPARATOR
-    index = FMIndex(text, len(phrases.hashes) + 2)
-    for patterns, items in phrases.by_size:
+    at = np.minimum(np.searchsorted(vocabulary, block.words), len(vocabulary) - 1)
+    symbols = np.where(vocabulary[at] == block.words, at + 2, SEPARATOR)
+    for which, words in block.by_size:
+        patterns = symbols[words]
+        known = (patterns != SEPARATOR).all(1)
+        which, patterns = which[known], patterns[known]
         low, high = index.search(patterns)
         counts = high - low
-        window = np.repeat(np.arange(len(patterns)), counts)
-        rows = np.repeat(low, counts) + np.arange(len(window)) - np.repeat(np.cumsum(counts) - counts, counts)
-        at = source[index.locate(rows)]
-        same = _same_words(words, phrases, at, patterns[window])
-        yield at[same], patterns.shape[1], items, window[same]
-
-
-def _same_words(words: Words, phrases: Phrases, at: np.ndarray, patterns: np.ndarray) -> np.ndarray:
-    """Whether the words from each place on are those of the pattern, byte by byte."""
-    out = np.ones(len(at), bool)
-    wide = np.concatenate([words.data, np.zeros(LONG_WORD, np.uint8)])
-    views = np.lib.stride_tricks.sliding_window_view(wide, LONG_WORD)
-    for a in range(0, len(at), 20_000):
-        for t in range(patterns.shape[1]):
-            word, name = at[a : a + 20_000] + t, patterns[a : a + 20_000, t] - 2
-            starts, sizes = words.starts[word], words.ends[word] - words.starts[word]
-            equal = (views[starts] == phrases.names[name]) | (np.arange(LONG_WORD) >= sizes[:, None])
-            same = (sizes == phrases.name_sizes[name]) & equal.all(1)
-            for i in np.flatnonzero(same & (sizes > LONG_WORD)).tolist():
-                same[i] = np.array_equal(words.data[starts[i] : starts[i] + sizes[i]], phrases.long_names[int(name[i])])
-            out[a : a + 20_000] &= same
-    return out
+        rows = np.repeat(low, counts) + np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        yield index.locate(rows), np.repeat(which, counts), patterns.shape[1]
 
 
-FOUND = "n_words long, n_hit long, item_ids array<long>, spans array<struct<start: long, end: long>>"
+FOUND_IN = "file long, place long, win binary, size int, ats array<int>"
 
 
-def _blocks(broadcasts: list) -> Iterator[Phrases]:
-    """The blocks of phrases in turn; several are not held at once."""
-    for one in broadcasts:
-        yield one.value if len(broadcasts) == 1 or one._path is None else one.load_from_path(one._path)
+def _search(block):
+    """For each shard: its documents' windows, with the words at which they occur."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cell = {f: batch.column(k)[i] for k, f in enumerate(_FIELDS)}
+                raw = {f: cell[f].as_buffer() for f in ("bits", "smaller", "sampled", "samples")}
+                index = FMIndex.of_cells(cell["n"].as_py(), **raw)
+                firsts = cell["firsts"].values.to_numpy()
+                for places, windows, size in occurrences(index, np.frombuffer(cell["vocabulary"].as_buffer(), "<u8"), block.value):
+                    if not len(places):
+                        continue
+                    order = np.lexsort((places, windows))
+                    places, windows = places[order], windows[order]
+                    doc = np.searchsorted(firsts, places, "right") - 1
+                    by = np.lexsort((windows, doc))
+                    places, windows, doc = places[by], windows[by], doc[by]
+                    group = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (windows[1:] != windows[:-1])]))
+                    ats = pa.ListArray.from_arrays(pa.array(np.append(group, len(doc)), pa.int32()), pa.array(places - firsts[doc], pa.int32()))
+                    own, some = pa.array(doc[group]), pa.array(windows[group])
+                    keys = [cell[f].values.take(own) for f in ("files", "places")]
+                    yield pa.record_batch([*keys, block.value.wins.take(some), pa.array(np.full(len(group), size, np.int32)), ats], names=["file", "place", "win", "size", "ats"])
+
+    return run
+
+
+def search_index(index: DataFrame, windows: DataFrame, work: Workspace) -> DataFrame:
+    """(__row, found) of documents in which windows (win, words, ids) occur: found lists win, size, ats (words) and ids.
+
+    Blocks of windows are searched one after the other, each in all shards.
+    """
+    spark = index.sparkSession
+    total = windows.agg(F.sum(F.octet_length("words") + 64)).first()[0] or 0
+    blocks = -(-int(total) // ITEM_BYTES)
+    parts = [spark.createDataFrame([], FOUND_IN)]
+    for k in range(blocks):
+        some = windows.where(F.pmod(F.xxhash64("win"), F.lit(blocks)) == k).select("win", "words")
+        sent = spark.sparkContext.broadcast(Block(some.orderBy("win").toArrow()))
+        parts.append(work.table(index.mapInArrow(_search(sent), FOUND_IN), f"found{k}"))
+        sent.destroy()
+    hits = reduce(DataFrame.unionByName, parts[1:] or parts)
+    known = joined(windows.select("win", "ids"), hits.groupBy("win").agg(F.count("*").alias("times")), "win")
+    full = met_by_key(hits, known, ["win"], "times")
+    key = F.struct("file", "place").alias("__row")
+    return work.table(full.groupBy(key).agg(F.collect_list(F.struct("win", "size", "ats", "ids")).alias("found")), "found")
+
+
+FOUND = "n_words long, n_hit long, item_ids array<long>, spans array<struct<start: long, end: long>>"
 
 
-def _search(broadcasts: list, names: list[str], cut: bool = False):
-    """For each shard of rows (kept columns, __text): the kept columns, and those of FOUND or the texts less their spans."""
+def _report(names: list[str], cut: bool = False):
+    """For rows (kept columns, __text, found): the kept columns, and those of FOUND or the texts less their spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches, "__text", SHARD_BYTES):
-            words = Words.of(data, offsets)
+            words = Words(data, offsets)
             n, n_words = rows.num_rows, len(words.starts)
             change = np.zeros(n_words + 1, np.int64)
             item_lists: list[set[int]] = [set() for _ in range(n)]
-            for phrases in _blocks(broadcasts):
-                for at, size, items, window in occurrences(words, phrases):
-                    np.add.at(change, at, 1)
-                    np.add.at(change, at + size, -1)
-                    doc = np.searchsorted(words.texts, at, "right") - 1
-                    for seen in np.unique(doc * len(items) + window).tolist():
-                        item_lists[seen // len(items)].update(items[seen % len(items)])
+            found = rows.column(rows.num_columns - 1)
+            for i in np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                own, first = words.of_text(i), int(words.texts[i])
+                for one in found[i].as_py():
+                    size = one["size"]
+                    ats = np.array([at for at in one["ats"] if digest(own[at : at + size]) == one["win"]], np.int64) + first
+                    np.add.at(change, ats, 1)
+                    np.add.at(change, ats + size, -1)
+                    if len(ats):
+                        item_lists[i].update(one["ids"])
             hit = np.cumsum(change[:-1]) > 0
             totals = np.concatenate([[0], np.cumsum(hit)])[words.texts]
             # spans end where a text ends, whatever follows in the shard
@@ -219,33 +255,29 @@ def _search(broadcasts: list, names: list[str], cut: bool = False):
                 pa.StructArray.from_arrays([pa.array(words.starts[opens] - offsets[doc]), pa.array(words.ends[closes] - offsets[doc])], ["start", "end"]),
             )
             if cut:
-                texts = rows.column(rows.num_columns - 1)
+                texts = rows.column(rows.num_columns - 2)
                 if len(opens):
                     lists = zip(texts.to_pylist(), spans.to_pylist(), strict=True)
                     texts = pa.array([without_spans(t.encode(), x).decode() if x else t for t, x in lists], pa.string())
-                yield pa.record_batch([*rows.columns[:-1], texts], names=names)
+                yield pa.record_batch([*rows.columns[:-2], texts], names=names)
                 continue
             ids = pa.array([sorted(x) for x in item_lists], pa.list_(pa.int64()))
-            yield pa.record_batch([*rows.columns[:-1], pa.array(np.diff(words.texts)), pa.array(np.diff(totals)), ids, spans], names=names)
+            yield pa.record_batch([*rows.columns[:-2], pa.array(np.diff(words.texts)), pa.array(np.diff(totals)), ids, spans], names=names)
 
     return run
 
 
-def _broadcast(items: DataFrame) -> list:
-    """The phrases of test items (item_id, text), in blocks of bounded size."""
-    context = items.sparkSession.sparkContext
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    blocks = max(1, -(-int(total) // ITEM_BYTES))
-    which = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    out = []
-    for block in range(blocks):
-        some = sorted((r["item_id"] is None, r["item_id"], r["text"]) for r in items.where(which == block).collect())
-        out.append(context.broadcast(Phrases([(i, t) for _, i, t in some])))
-    return out
+def _reported(docs: DataFrame, items: DataFrame, keep: list, text_col: str, work: Workspace | None) -> DataFrame:
+    """(c0, c1, ..., __text, found): the kept columns of docs, their texts, and what was found in them or null."""
+    work = work or Workspace(docs.sparkSession, "decontamination")
+    rows = numbered(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").alias("__text")), work, "__row")
+    windows = work.table(windows_of(items), "windows")
+    found = search_index(index_shards(rows, work), windows, work)
+    work.drop("index", "windows", *[name for name in work.names if name.startswith("found") and name != "found"])
+    return joined(rows, found, "__row", "left").drop("__row")
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
+def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], text_col: str = "text", work: Workspace | None = None) -> DataFrame:
     """The kept columns of docs, n_words, n_hit, item_ids and spans, for each row.
 
     items has item_id and text. Spans are byte ranges of the UTF-8 text that
@@ -253,7 +285,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], text_
     """
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), FOUND])
     names = [*keep, "n_words", "n_hit", "item_ids", "spans"]
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(_search(_broadcast(items), names), schema)
+    return _reported(docs, items, keep, text_col, work).mapInArrow(_report(names), schema)
 
 
 def without_spans(text: bytes, spans: list[dict]) -> bytes:
@@ -265,17 +297,18 @@ def without_spans(text: bytes, spans: list[dict]) -> bytes:
     return b"\n".join([*parts, text[at:]])
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", work: Workspace | None = None) -> DataFrame:
     """docs with the spans of occurrences cut out of their texts; every row stays, in its columns.
 
     A text that is all span becomes a line feed. Other columns are carried
     through as they are.
     """
-    columns, place = docs.columns, docs.columns.index(text_col)
-    kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns) if i != place]
-    sent = docs.select(*kept, F.col(f"`{text_col}`").alias("__text"))
-    done = sent.mapInArrow(_search(_broadcast(items), sent.columns, cut=True), sent.schema)
-    return done.select(*[F.col("__text" if i == place else f"c{i}").alias(c) for i, c in enumerate(columns)])
+    kept = [c for c in docs.columns if c != text_col]
+    sent = _reported(docs, items, kept, text_col, work)
+    schema = sent.drop("found").schema
+    done = sent.mapInArrow(_report(schema.names, cut=True), schema)
+    names = {text_col: "__text"} | {c: f"c{i}" for i, c in enumerate(kept)}
+    return done.select(*[F.col(names[c]).alias(c) for c in docs.columns])
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

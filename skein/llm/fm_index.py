@@ -37,10 +37,20 @@ class _Bits:
     def __init__(self, bits: np.ndarray):
         padded = np.zeros((len(bits) // 64 + 1) * 64, bool)
         padded[: len(bits)] = bits
-        self.words = np.packbits(padded, bitorder="little").view("<u8")
-        counts = np.bitwise_count(self.words).astype(np.int64)
+        self._count(np.packbits(padded, bitorder="little").view("<u8"), len(bits))
+
+    @classmethod
+    def of_words(cls, words: np.ndarray, n: int) -> _Bits:
+        """The n bits of these words."""
+        self = cls.__new__(cls)
+        self._count(words, n)
+        return self
+
+    def _count(self, words: np.ndarray, n: int) -> None:
+        self.words = words
+        counts = np.bitwise_count(words).astype(np.int64)
         self.before = np.cumsum(counts) - counts
-        self.zeros = len(bits) - int(counts.sum())
+        self.zeros = n - int(counts.sum())
 
     def rank(self, at: np.ndarray) -> np.ndarray:
         """Ones before each place."""
@@ -60,6 +70,13 @@ class WaveletMatrix:
             self.levels.append((bit, _Bits(ones)))
             symbols = np.concatenate([symbols[~ones], symbols[ones]])
 
+    @classmethod
+    def of_words(cls, levels: np.ndarray, n: int) -> WaveletMatrix:
+        """The matrix of n symbols whose levels have these words."""
+        self = cls.__new__(cls)
+        self.levels = [(len(levels) - 1 - i, _Bits.of_words(words, n)) for i, words in enumerate(levels)]
+        return self
+
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each symbol occurs before each place."""
         begin, at = np.zeros_like(at), at.copy()
@@ -81,17 +98,46 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Index of a sequence of symbols 1 .. n_symbols - 1 (0 is put at its end)."""
+    """Index of a sequence of symbols 1 .. n_symbols - 1 (0 is put at its end).
+
+    A sequence of several texts has their first places in ``texts``, and the
+    symbol 1 after each text and nowhere else. No suffix is then compared, and no
+    row is located, beyond its text; patterns do not hold that symbol.
+    """
 
-    def __init__(self, symbols: np.ndarray, n_symbols: int, step: int = 16):
+    def __init__(self, symbols: np.ndarray, n_symbols: int, step: int = 16, texts: np.ndarray | None = None):
         text = np.append(symbols, 0).astype(np.int64)
-        order = suffix_array(text)
+        key = text
+        if texts is not None:
+            ends = np.flatnonzero(text == 1)
+            key = np.where(text > 1, text + len(ends), 0)
+            key[ends] = 1 + np.arange(len(ends))
+        order = suffix_array(key)
         self.n = len(text)
         self.transform = WaveletMatrix(text[order - 1], n_symbols)
         counts = np.bincount(text, minlength=n_symbols)
         self.smaller = np.cumsum(counts) - counts
-        self.sampled = _Bits(order % step == 0)
-        self.samples = order[order % step == 0]
+        known = np.arange(self.n) % step == 0
+        if texts is not None:
+            known[texts] = True
+        self.sampled = _Bits(known[order])
+        self.samples = order[known[order]]
+
+    def cells(self) -> dict[str, bytes | int]:
+        """The parts of the index as values of a row; rank directories are counted again on loading."""
+        bits = b"".join(bits.words.tobytes() for _, bits in self.transform.levels)
+        return {"n": self.n, "bits": bits, "smaller": self.smaller.astype("<u4").tobytes(), "sampled": self.sampled.words.tobytes(), "samples": self.samples.astype("<u4").tobytes()}
+
+    @classmethod
+    def of_cells(cls, n: int, bits: bytes, smaller: bytes, sampled: bytes, samples: bytes) -> FMIndex:
+        """The index that gave these cells."""
+        self = cls.__new__(cls)
+        self.n = n
+        self.smaller = np.frombuffer(smaller, "<u4").astype(np.int64)
+        self.transform = WaveletMatrix.of_words(np.frombuffer(bits, "<u8").reshape(-1, n // 64 + 1), n)
+        self.sampled = _Bits.of_words(np.frombuffer(sampled, "<u8"), n)
+        self.samples = np.frombuffer(samples, "<u4").astype(np.int64)
+        return self
 
     def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows [low, high) of suffixes that begin with each pattern (patterns, length)."""

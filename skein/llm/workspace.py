@@ -28,13 +28,15 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def table(self, df: DataFrame, name: str, partition_by: list[str] | None = None, compression: str | None = None) -> DataFrame:
-        """Write ``df`` as table ``name`` and return the table that was written."""
+    def table(self, df: DataFrame, name: str, partition_by: list[str] | None = None, compression: str | None = None, group_bytes: int | None = None) -> DataFrame:
+        """Write ``df`` as table ``name``, in row groups of about ``group_bytes``, and return the table that was written."""
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if compression:
             writer = writer.option("compression", compression)
+        if group_bytes:
+            writer = writer.option("parquet.block.size", group_bytes)
         writer.parquet(self.path(name))
         self.names.add(name)
         return self.read(name)

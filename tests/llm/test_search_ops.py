@@ -11,7 +11,7 @@ import xxhash
 
 from skein.llm import components, covering, decontamination, flac, media, quality, simhash
 from skein.llm.fm_index import FMIndex, suffix_array
-from skein.llm.workspace import Workspace
+from skein.llm.workspace import Workspace, numbered
 
 
 def payloads():
@@ -77,6 +77,20 @@ def test_suffix_array_and_search():
                 assert sorted(index.locate(np.arange(a, b)).tolist()) == want
 
 
+def test_index_of_several_texts_and_its_cells():
+    rng = np.random.default_rng(4)
+    for trial in range(20):
+        some = [rng.integers(2, 6, int(rng.integers(0, 40))) for _ in range(12)] + [np.tile([2, 3], 30)] * (trial % 3)
+        text = np.concatenate([np.append(t, 1) for t in some])
+        firsts = np.cumsum([0, *[len(t) + 1 for t in some[:-1]]])
+        first = FMIndex(text, 6, 8, texts=firsts)
+        for index in (first, FMIndex.of_cells(**first.cells())):
+            patterns = rng.integers(2, 6, (10, 3))
+            for p, a, b in zip(patterns, *index.search(patterns), strict=True):
+                want = [i for i in range(len(text) - 2) if (text[i : i + 3] == p).all()]
+                assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
 def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
@@ -123,6 +137,24 @@ def test_contamination(spark, monkeypatch, limit):
     assert sum(again.values()) == 0
 
 
+def test_stored_index_is_searched_again(spark, monkeypatch):
+    """One table of indexes answers several benchmarks, whatever the number of blocks."""
+    work, built = Workspace(spark, "t"), []
+    docs = [(1, "a b c d e f g h i j k l"), (2, "x a b y"), (3, "A B."), (4, None), (5, "")]
+    rows = numbered(spark.createDataFrame(docs, "id long, __text string"), work, "__row")
+    index = decontamination.index_shards(rows, work)
+    files = sorted(r.p for r in index.selectExpr("_metadata.file_path || _metadata.file_modification_time AS p").collect())
+    monkeypatch.setattr(decontamination, "ITEM_BYTES", 100)
+    made = decontamination.Block.__init__
+    monkeypatch.setattr(decontamination.Block, "__init__", lambda self, t: built.append(t.num_rows) or made(self, t))
+    for items, want in (([(1, "a b")], {1, 2, 3}), ([(1, "b c d e f g h i j k"), (2, "x a b"), (3, "b a")], {1, 2}), ([], set())):
+        wins = work.table(decontamination.windows_of(spark.createDataFrame(items, "item_id long, text string")), "windows")
+        found = decontamination.search_index(index, wins, work)
+        assert {r.id for r in rows.join(found, "__row").collect()} == want
+    assert sum(built) == 4 and len(built) > 2
+    assert files == sorted(r.p for r in work.read("index").selectExpr("_metadata.file_path || _metadata.file_modification_time AS p").collect())
+
+
 def test_contamination_edges(spark, edge, none):
     bench = spark.createDataFrame([(1, "lorem ipsum dolor sit amet")], "item_id long, text string")
     got = decontamination.decontaminate(edge, bench)
