@@ -14,15 +14,21 @@ import numpy as np
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Places of the suffixes of text in order, by doubling; the text must end with its unique least symbol."""
     n = len(text)
-    order = np.argsort(text, kind="stable")
-    key, place = text[order], np.arange(n)
+    # as many symbols as fit a number are compared at once; what lies beyond the end is never reached in a tie
+    bits = max(1, int(text.max()).bit_length())
+    width = 63 // bits
+    key = np.zeros(n, np.int64)
+    for k in range(width):
+        key <<= bits
+        key[: max(0, n - k)] |= text[k:]
+    order = np.argsort(key)
+    key, place = key[order], np.arange(n)
     # the rank of a group of equal suffixes is the place of its first
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(np.concatenate([[True], key[1:] != key[:-1]]), place, 0))
-    width = 1
     while len(tied := np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)):
         # a tied suffix is longer than width: the shorter ones hold the last symbol
-        by = tied[np.lexsort((rank[tied + width], rank[tied]))]
+        by = tied[np.argsort(rank[tied] << 32 | rank[tied + width])]
         own, after, at = rank[by], rank[by + width], place[: len(by)]
         group = np.concatenate([[True], own[1:] != own[:-1]])
         change = group | np.concatenate([[True], after[1:] != after[:-1]])
