@@ -42,6 +42,8 @@ WINDOW = 10
 SHARD_BYTES, ITEM_BYTES = 8 << 20, 32 << 20
 #: Bytes of a row group of indexes.
 GROUP_BYTES = 32 << 20
+#: Bytes up to which tables with lists are broadcast.
+BROADCAST_BYTES = 64 << 20
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -215,7 +217,9 @@ def search_index(index: DataFrame, windows: DataFrame, work: Workspace) -> DataF
         sent.destroy()
     hits = reduce(DataFrame.unionByName, parts[1:] or parts)
     known = joined(windows.select("win", "ids"), hits.groupBy("win").agg(F.count("*").alias("times")), "win")
-    full = met_by_key(hits, known, ["win"], "times")
+    known = work.table(known, "known")
+    size = known.agg(F.sum(F.size("ids") * 8 + 64)).first()[0] or 0
+    full = met_by_key(hits, known, ["win"], "times") if size <= BROADCAST_BYTES else hits.join(known, "win")
     key = F.struct("file", "place").alias("__row")
     return work.table(full.groupBy(key).agg(F.collect_list(F.struct("win", "size", "ats", "ids")).alias("found")), "found")
 
@@ -267,14 +271,24 @@ def _report(names: list[str], cut: bool = False):
     return run
 
 
+def _with_found(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows with found or null. If found is large, only texts in which something was found are shuffled."""
+    size = F.aggregate("found", F.lit(64), lambda n, x: n + 64 + 4 * F.size(x["ats"]) + 8 * F.size(x["ids"])).cast("long")
+    if (found.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(found), "__row", "left")
+    hit = joined(rows, found.select("__row"), "__row", "left_semi").join(found, "__row")
+    clean = joined(rows, found.select("__row"), "__row", "left_anti")
+    return hit.unionByName(clean.withColumn("found", F.lit(None).cast(found.schema["found"].dataType)))
+
+
 def _reported(docs: DataFrame, items: DataFrame, keep: list, text_col: str, work: Workspace | None) -> DataFrame:
     """(c0, c1, ..., __text, found): the kept columns of docs, their texts, and what was found in them or null."""
     work = work or Workspace(docs.sparkSession, "decontamination")
     rows = numbered(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").alias("__text")), work, "__row")
     windows = work.table(windows_of(items), "windows")
     found = search_index(index_shards(rows, work), windows, work)
-    work.drop("index", "windows", *[name for name in work.names if name.startswith("found") and name != "found"])
-    return joined(rows, found, "__row", "left").drop("__row")
+    work.drop("index", "windows", "known", *[name for name in work.names if name.startswith("found") and name != "found"])
+    return _with_found(rows, found).drop("__row")
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], text_col: str = "text", work: Workspace | None = None) -> DataFrame:

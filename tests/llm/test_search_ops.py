@@ -117,6 +117,7 @@ def brute_hits(docs, items):
 @pytest.mark.parametrize("limit", [32 << 20, 600])
 def test_contamination(spark, monkeypatch, limit):
     monkeypatch.setattr(decontamination, "ITEM_BYTES", limit)
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 64 << 20 if limit > 600 else 0)  # both ways of the joins
     rng = random.Random(5)
     vocabulary = [f"w{i}é" if i % 7 == 0 else f"word{i}" for i in range(60)]
     items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([0, 3, 9, 10, 14, 30])))) for i in range(25)] + [(3, "one more of item three"), (None, "no id here"), (77, None)]
