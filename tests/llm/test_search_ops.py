@@ -54,6 +54,23 @@ def test_media(spark, sf, edge, none):
     assert media.media_features(media.encode_media(none)).count() == 0
 
 
+def test_media_query_and_blocks_on_the_whole_table(spark, sf, none):
+    """Digests of the query, and blocks read back in order, against the payloads of all documents."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = {r.doc_id: media.payload((r.text or "").encode()) for r in docs.collect()}
+    rows = media.query(spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(want)
+    for r in rows:
+        own = want[r.doc_id]
+        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(own), hashlib.sha256(own).hexdigest(), zlib.crc32(own[-32:]))
+    back = {}
+    for r in sorted(media.pcm_blocks(media.encode_media(docs)).collect(), key=lambda r: (r.doc_id, r.first_sample)):
+        assert r.first_sample == len(back.setdefault(r.doc_id, bytearray())) and r.n_samples == len(r.pcm) == flac.BLOCK
+        back[r.doc_id] += bytes(x ^ 0x80 for x in r.pcm)
+    assert back == want
+    assert media.pcm_blocks(media.encode_media(none)).count() == 0
+
+
 def test_long_text_is_coded_in_groups(monkeypatch):
     text = bytes(np.random.default_rng(3).integers(32, 127, 576 * 40, dtype=np.uint8))
     whole = flac.encode([text, media.payload(b"x")])
