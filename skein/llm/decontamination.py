@@ -33,15 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.batches import text_pieces
+from skein.llm.batches import release, text_pieces
 from skein.llm.fm_index import FMIndex
 from skein.llm.workspace import Workspace, joined, met_by_key, numbered
 
 WINDOW = 10
 #: Text bytes of a shard, and bytes of the windows that are searched together.
-SHARD_BYTES, ITEM_BYTES = 8 << 20, 32 << 20
+SHARD_BYTES, ITEM_BYTES = 2 << 20, 32 << 20
 #: Bytes of a row group of indexes.
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 16 << 20
 #: Bytes up to which tables with lists are broadcast.
 BROADCAST_BYTES = 64 << 20
 
@@ -138,16 +138,22 @@ INDEX = "files array<long>, places array<long>, firsts array<int>, vocabulary bi
 _FIELDS = [x.split()[0] for x in INDEX.split(", ")]
 
 
+def _shard(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+    """The row of one shard's index."""
+    words = Words(data, offsets)
+    vocabulary, numbers = np.unique(words.hashes(), return_inverse=True)
+    firsts = words.texts[:-1] + np.arange(rows.num_rows)  # with a separator after each text
+    index = FMIndex(np.insert(numbers + 2, words.texts[1:], SEPARATOR), len(vocabulary) + 2, texts=firsts)
+    key = rows.column(0)
+    one = {"files": key.field("file").to_numpy(), "places": key.field("place").to_numpy(), "firsts": firsts, "vocabulary": vocabulary.tobytes(), **index.cells()}
+    types = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.int64(), *[pa.binary()] * 4]
+    return pa.record_batch([pa.array([one[f]], t) for f, t in zip(_FIELDS, types, strict=True)], names=_FIELDS)
+
+
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in text_pieces(batches, "__text", SHARD_BYTES):
-        words = Words(data, offsets)
-        vocabulary, numbers = np.unique(words.hashes(), return_inverse=True)
-        firsts = words.texts[:-1] + np.arange(rows.num_rows)  # with a separator after each text
-        index = FMIndex(np.insert(numbers + 2, words.texts[1:], SEPARATOR), len(vocabulary) + 2, texts=firsts)
-        key = rows.column(0)
-        one = {"files": key.field("file").to_numpy(), "places": key.field("place").to_numpy(), "firsts": firsts, "vocabulary": vocabulary.tobytes(), **index.cells()}
-        types = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.int64(), *[pa.binary()] * 4]
-        yield pa.record_batch([pa.array([one[f]], t) for f, t in zip(_FIELDS, types, strict=True)], names=_FIELDS)
+        yield _shard(rows, data, offsets)  # its arrays are gone before memory is given back
+    release()
 
 
 def index_shards(rows: DataFrame, work: Workspace) -> DataFrame:
@@ -174,29 +180,29 @@ def occurrences(index: FMIndex, vocabulary: np.ndarray, block: Block) -> Iterato
 FOUND_IN = "file long, place long, win binary, size int, ats array<int>"
 
 
-def _search(block):
-    """For each shard: its documents' windows, with the words at which they occur."""
+def _in_shard(row: dict, block: Block) -> Iterator[pa.RecordBatch]:
+    """The documents' windows of one shard, given as a row of the index, with the words at which they occur."""
+    index = FMIndex.of_cells(row["n"].as_py(), **{f: row[f].as_buffer() for f in ("bits", "smaller", "sampled", "samples")})
+    firsts = row["firsts"].values.to_numpy()
+    for places, windows, size in occurrences(index, np.frombuffer(row["vocabulary"].as_buffer(), "<u8"), block):
+        if not len(places):
+            continue
+        doc = np.searchsorted(firsts, places, "right") - 1
+        by = np.lexsort((places, windows, doc))
+        places, windows, doc = places[by], windows[by], doc[by]
+        group = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (windows[1:] != windows[:-1])]))
+        ats = pa.ListArray.from_arrays(pa.array(np.append(group, len(doc)), pa.int32()), pa.array(places - firsts[doc], pa.int32()))
+        keys = [row[f].values.take(pa.array(doc[group])) for f in ("files", "places")]
+        wins = block.wins.take(pa.array(windows[group]))
+        yield pa.record_batch([*keys, wins, pa.array(np.full(len(group), size, np.int32)), ats], names=["file", "place", "win", "size", "ats"])
+
 
+def _search(block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                cell = {f: batch.column(k)[i] for k, f in enumerate(_FIELDS)}
-                raw = {f: cell[f].as_buffer() for f in ("bits", "smaller", "sampled", "samples")}
-                index = FMIndex.of_cells(cell["n"].as_py(), **raw)
-                firsts = cell["firsts"].values.to_numpy()
-                for places, windows, size in occurrences(index, np.frombuffer(cell["vocabulary"].as_buffer(), "<u8"), block.value):
-                    if not len(places):
-                        continue
-                    order = np.lexsort((places, windows))
-                    places, windows = places[order], windows[order]
-                    doc = np.searchsorted(firsts, places, "right") - 1
-                    by = np.lexsort((windows, doc))
-                    places, windows, doc = places[by], windows[by], doc[by]
-                    group = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (windows[1:] != windows[:-1])]))
-                    ats = pa.ListArray.from_arrays(pa.array(np.append(group, len(doc)), pa.int32()), pa.array(places - firsts[doc], pa.int32()))
-                    own, some = pa.array(doc[group]), pa.array(windows[group])
-                    keys = [cell[f].values.take(own) for f in ("files", "places")]
-                    yield pa.record_batch([*keys, block.value.wins.take(some), pa.array(np.full(len(group), size, np.int32)), ats], names=["file", "place", "win", "size", "ats"])
+                yield from _in_shard({f: batch.column(k)[i] for k, f in enumerate(_FIELDS)}, block.value)
+        release()
 
     return run
 
