@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from skein.llm import components, covering, decontamination, flac, media, quality, simhash
 from skein.llm.fm_index import FMIndex, suffix_array
@@ -262,6 +263,13 @@ def test_components(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long"), Workspace(spark, "t")).count() == 0
 
 
+def test_components_of_more_than_a_million_links(spark):
+    """The digest that tells whether a round changed anything holds for any number of links."""
+    edges = lambda last: spark.range(1_300_000).select(F.col("id").alias("a"), F.when(F.col("id") < 1_299_999, F.col("id") + 1).otherwise(last).alias("b"))
+    assert components._state(edges(5)) == components._state(edges(5).repartition(3)) != components._state(edges(6))
+    assert components._state(edges(5))[0] == 1_300_000
+
+
 def test_simhash_edges(spark, edge, none):
     got = simhash.near_duplicates(edge, Workspace(spark, "t"))
     assert got.count() == edge.count()
