@@ -89,6 +89,16 @@ def pretty_label(name: Column) -> Column:
     return F.initcap(F.replace(F.regexp_replace(name, "_ok$", ""), F.lit("_"), F.lit(" ")))
 
 
+def round_even(number: Column, places: int) -> Column:
+    """A double rounded by its product with a power of ten, half to even, as DuckDB does; bround goes by the shortest decimal, and differs at ties."""
+    return F.rint(number * float(10**places)) / float(10**places)
+
+
+def fixed(number: Column, places: int) -> Column:
+    """A double with so many decimals by its exact binary value, as printf in C; Java's rounds its shortest decimal half up (25.65 is less than it looks)."""
+    return F.call_function("format_number", number, F.lit("0." + "0" * places))
+
+
 def duration(seconds: Column) -> Column:
     """As 12.3s, 4m 5s or 1h 2m 3s."""
     minutes = F.floor(seconds / 60).cast("long")

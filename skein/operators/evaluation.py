@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import metrics as M
-from skein.functions.text import had_think, strip_think, words
+from skein.functions.text import had_think, round_even, strip_think, words
 from skein.operators.selection import quantiles
 from skein.sources.shared import scratch
 
@@ -56,7 +56,7 @@ def summary(scored: DataFrame) -> DataFrame:
 def check_rates(scored: DataFrame) -> DataFrame:
     """(check, applicable, passed, rate) of checks that apply to any row."""
     each = scored.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("ok")) for c in M.CHECKS])).alias("c")).select("c.*")
-    return each.where("ok is not null").groupBy("check").agg(F.count("*").alias("applicable"), F.count_if("ok").alias("passed"), F.bround(F.avg(F.col("ok").cast("int")), 4).alias("rate"))
+    return each.where("ok is not null").groupBy("check").agg(F.count("*").alias("applicable"), F.count_if("ok").alias("passed"), round_even(F.avg(F.col("ok").cast("int")), 4).alias("rate"))
 
 
 def latency(scored: DataFrame) -> DataFrame:

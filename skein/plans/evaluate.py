@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions.metrics import corpus_bleu
-from skein.functions.text import pretty_label
+from skein.functions.text import fixed, pretty_label
 from skein.operators import evaluation as E
 from skein.sources.shared import stored
 
@@ -29,7 +29,7 @@ def evaluate(rows: DataFrame, k: int = 20) -> Evaluated:
 
 def check_lines(rates: DataFrame) -> DataFrame:
     """Report lines such as 'Filler Removal: 126/126 (100.0%)'."""
-    return rates.select(F.format_string("%s: %d/%d (%.1f%%)", pretty_label(F.col("check")), "passed", "applicable", F.col("rate") * 100).alias("line"))
+    return rates.select(F.format_string("%s: %d/%d (%s%%)", pretty_label(F.col("check")), "passed", "applicable", fixed(F.col("rate") * 100, 1)).alias("line"))
 
 
 def acceptance(summary: DataFrame, cer_below: float = 0.10, fillers_above: float = 0.95) -> DataFrame:

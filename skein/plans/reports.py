@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.functions.text import truncate
+from skein.functions.text import fixed, truncate
 from skein.operators.compare import verdict_counts
 from skein.operators.stats import counts_by, length_stats
 from skein.sources.writers import fixed_width
@@ -38,7 +38,7 @@ def sample_blocks(rows: DataFrame, order: list[Column], k: int = 20, width: int
     mark = F.when(F.col("exact"), F.lit("yes")).otherwise(F.lit("no"))
     cut = lambda c: F.left(F.col(c), F.lit(width))
     lines = [
-        F.format_string("#%d  (CER: %.4f | BLEU: %.4f | Exact: %s | Format: %s)", F.col("rank"), F.col("cer"), F.col("sentence_bleu"), mark, accuracy),
+        F.format_string("#%d  (CER: %s | BLEU: %s | Exact: %s | Format: %s)", F.col("rank"), fixed(F.col("cer"), 4), fixed(F.col("sentence_bleu"), 4), mark, accuracy),
         F.concat(F.lit("INPUT:     "), cut("input")),
         F.concat(F.lit("EXPECTED:  "), cut("expected")),
         F.concat(F.lit("GENERATED: "), cut("generated")),
@@ -80,7 +80,7 @@ def training_summary(log: DataFrame, model: str, train_rows: int, valid_rows: in
 def headline(summary: DataFrame) -> DataFrame:
     """(part, ord, line): the headline metrics of an evaluation's summary with corpus_bleu."""
     lines = [
-        F.format_string("Exact Match:     %d/%d (%.1f%%)", "exact_count", "n", F.col("exact_rate") * 100),
+        F.format_string("Exact Match:     %d/%d (%s%%)", "exact_count", "n", fixed(F.col("exact_rate") * 100, 1)),
         F.format_string("CER (mean):      %.4f (median: %.4f, range: %.4f-%.4f)", "cer_mean", "cer_median", "cer_min", "cer_max"),
         F.format_string("BLEU (corpus):   %.4f", "corpus_bleu"),
         F.format_string("BLEU (sent avg): %.4f", "sentence_bleu_mean"),

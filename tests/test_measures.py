@@ -3,11 +3,13 @@
 import random
 import statistics
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import metrics as M
 from skein.operators import evaluation, selection
+from skein.plans import evaluate
 
 
 def distance(a, b):
@@ -100,3 +102,12 @@ def test_ab_compare(spark):
     assert row.wer_a == 0.05 and row.wer_b == 0.2 and row.low < row.difference == -0.15 < row.high < 0
     none = evaluation.ab_compare(df.where("false")).first()
     assert none.n == 0 and none.low is None
+
+
+def test_lines_of_rates_as_sql_prints_them(spark):
+    """Rates that end in a 5, and those halfway between two: by their exact binary values, as DuckDB rounds and prints them."""
+    for passed, of in ((513, 2000), (889, 20_000), (1851, 20_000), (1, 400), (2000, 2000)):
+        rows = spark.range(of).select(*[(F.col("id") < passed if c == M.CHECKS[0] else F.lit(None).cast("boolean")).alias(c) for c in M.CHECKS])
+        line = evaluate.check_lines(evaluation.check_rates(rows)).first().line
+        want = duckdb.connect().execute(f"select printf('%d/%d (%.1f%%)', {passed}, {of}, round_even({passed}::double / {of}, 4) * 100)").fetchone()[0]
+        assert line.endswith(f": {want}")
