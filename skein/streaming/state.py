@@ -38,8 +38,11 @@ def _machine(patience: int):
         stalled = state.hasTimedOut
         if not stalled:
             for frame in frames:
+                frame = frame[frame["status"].notna()]
                 if len(frame):
                     kept = _fold(kept, frame)
+            if kept[2] is None:
+                return
             state.update(kept)
             if kept[2] == "running":
                 due = (kept[0] + patience) // 1000
@@ -59,6 +62,8 @@ def step_states(transitions: DataFrame, delay: str = "1 hour", patience_seconds:
 
     status is running, completed or failed; the latest by (at, id) counts. A start clears end and error, an end clears
     the error of an earlier one. A step that runs for longer than its patience, by the time of the stream, is stalled.
+    Rows without a status are no transitions, but the stream's time goes on with them; so they are left out by step, after the
+    watermark: Spark would move a filter below it.
     """
     micros = F.unix_micros("at").alias("micros")
     rows = transitions.where("step_id is not null and at is not null").withWatermark("at", delay).select("step_id", "status", "at", micros, F.col("id").cast("long"), "error")

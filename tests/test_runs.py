@@ -4,9 +4,11 @@ import json
 import time
 import uuid
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from skein.functions import lexicons as L
 from skein.operators import compare, dedup, synth
 from skein.plans import gate, generate
@@ -243,6 +245,17 @@ def test_step_states(spark, tmp_path):
     assert (seen["x"].status, seen["x"].error, seen["x"].duration_seconds) == ("failed", "late", 86400.0)
 
 
+def test_step_states_of_events_without_status_or_user(spark, sf, tmp_path):
+    """The last event has no status and comes a day after all others, so that steps that run are stalled; some have no user."""
+    c = duckdb.connect()
+    c.execute(f"create table events as select event_id, ts, if(user_id % 10 = 3, null, user_id) as user_id, event_type, value, props from '{sf}/events.parquet'")
+    c.execute("insert into events select 999999, max(ts) + interval 30 hour, 5, 'signup', 1.0, null from events")
+    c.execute(f"copy events to '{tmp_path}/events.parquet' (format parquet)")
+    want = c.execute(entry.oracle_sql()["stream_step_states"]).fetchall()
+    got = [tuple(r) for r in entry.queries()["stream_step_states"](spark, str(tmp_path)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and any(r[-1] for r in want) and any(r[0] is None for r in want)
+
+
 def test_keys_are_forgotten_after_the_delay(spark, tmp_path):
     rows = lambda *xs: spark.createDataFrame(xs, "input string, at string").withColumn("at", F.to_timestamp("at")).coalesce(1)
     folder = f"{tmp_path}/in"
