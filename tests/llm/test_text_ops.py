@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from skein.llm import chat_format, license_scan, line_dedup
+from skein.llm import chat_format, license_scan, line_dedup, workspace
 from skein.llm.license_texts import KNOWN
 from skein.llm.workspace import Workspace
 
@@ -149,6 +149,18 @@ def test_line_dedup_query_on_its_whole_table(spark, sf):
     assert gone > 0 and differ <= 0.02 * gone + 1
 
 
+def test_line_dedup_with_more_buckets_than_are_broadcast(spark, sf, monkeypatch):
+    """Keys are joined without sketches and codes, which would be shuffled sixteen times; the result is that of the broadcast."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    want = sorted(map(tuple, line_dedup.dedup_lines(docs, Workspace(spark, "t")).collect()))
+    shuffled = []
+    real = workspace.met_by_key
+    monkeypatch.setattr(line_dedup, "met_by_key", lambda df, keys, on, times: (shuffled.append((on, df.columns)), real(df, keys, on, times))[1])
+    monkeypatch.setattr(workspace, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, line_dedup.dedup_lines(docs, Workspace(spark, "t")).collect())) == want
+    assert (["key"], ["key", "band", "node"]) in shuffled
+
+
 def test_line_dedup_edges(spark, edge, none):
     work = Workspace(spark, "t")
     got = line_dedup.dedup_lines(edge, work)
