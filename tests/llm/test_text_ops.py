@@ -202,6 +202,37 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
         assert [roots[i] for i in range(8)] == [0, 0, 0, 0, 4, 4, 4, 4]
 
 
+def test_pairs_with_a_first_line_are_settled_once(spark, monkeypatch):
+    """Lines that share buckets two by two, none of them near: nothing is left to be held in cells."""
+    rng = random.Random(23)
+    texts = []
+    for _ in range(40):
+        words = random_words(rng, 30, 5, 5)
+        texts += [" ".join(words), " ".join([*words[:24], *random_words(rng, 6, 5, 5)])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, real = {}, Workspace.table
+
+    def table(self, df, name, *args, **kwargs):
+        out = real(self, df, name, *args, **kwargs)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Workspace, "table", table)
+    assert all(r.n_kept == 1 for r in line_dedup.dedup_lines(frame, Workspace(spark, "t")).collect())
+    assert rows["buckets"] > 20 and rows["found"] == rows["mixed"] == 0
+
+
+def test_signatures_do_not_depend_on_the_step(spark, monkeypatch):
+    """Minima over several shingles of a row are those over one, for lines from one character on."""
+    text = "".join(random.Random(29).choices("abcdefgh ∂\U0001f642", k=60))
+    raw = spark.createDataFrame([(n, -n, text[:n], 1) for n in range(1, 61)], "k1 long, k2 long, line string, times int")
+    got = []
+    for step in (1, 2, 4):
+        monkeypatch.setattr(line_dedup, "STEP", step)
+        got.append(sorted(map(tuple, line_dedup.signed(raw).select("k1", "keys", "sketch").collect())))
+    assert got[0] == got[1] == got[2] and len(got[0]) == 60
+
+
 def test_recall_at_the_threshold(spark):
     """Pairs of lines with a similarity from 0.8 to 0.85, of 60 to 90 characters or 4 to 8 words: at least 0.98 meet and are linked."""
     rng = random.Random(17)
